@@ -8,6 +8,7 @@ reads the whole tables and its work grows with them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,11 +46,13 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.build_gold(silver_transactions(spark, sf_dir), silver_merchants(spark, sf_dir))
 
 
-def _on_gold(op: Callable[..., DataFrame], **kwargs) -> Query:
+def _on_gold(key: str) -> Query:
+    op = GOLD_OPS[key]
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return op(gold(spark, sf_dir), **kwargs)
+        return op(gold(spark, sf_dir))
 
-    query.__name__ = op.__name__
+    query.__name__ = key
     return query
 
 
@@ -78,6 +81,43 @@ def join_fanout_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.join_fanout_check(st, ops.build_gold(st, silver_merchants(spark, sf_dir)))
 
 
+# Operators over the Gold table, with the registered parameters.
+GOLD_OPS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    # questions
+    "top_merchants_by_city_month": partial(ops.q1_top_merchants_by_city_month, n=Q1_TOP_N),
+    "top_merchants_slice": partial(ops.q1_slice, months=SLICE_MONTHS, cities=SLICE_CITIES, n=Q1_TOP_N),
+    "avg_sale_by_merchant_state": ops.q2_avg_sale_by_merchant_state,
+    "avg_sale_robust_top_per_state": partial(ops.q2_robust_top_per_state, min_sales=ROBUST_MIN_SALES),
+    "top_hours_by_category": partial(ops.q3_top_hours_by_category, n=Q3_TOP_N),
+    "popular_merchants": partial(ops.q4_popular_merchants, n=Q4_TOP_N),
+    # association
+    "city_category_contingency": partial(ops.contingency, a="city_id", b="category"),
+    "cramers_v": partial(ops.cramers_v, a="city_id", b="category"),
+    "category_mix_top_cities": partial(ops.category_mix_top_cities, top=MIX_TOP_CITIES),
+    "dominant_category_by_city": ops.dominant_category_by_city,
+    # new-merchant evidence
+    "city_scorecard": ops.city_scorecard,
+    "category_scorecard": ops.category_scorecard,
+    "monthly_seasonality": ops.monthly_seasonality,
+    "hourly_curve": ops.hourly_curve,
+    "installment_profit": ops.installment_profit,
+    "installment_profit_flat": partial(ops.installment_profit, model=FLAT_MODEL),
+    "installment_schedule": ops.installment_schedule,
+    # published figures
+    "revenue_share_by_category": ops.revenue_share_by_category,
+    "top_city_share": partial(ops.top_city_share, k=TOP_SHARE_CITIES),
+    "peak_month": ops.peak_month,
+    "core_hours_share": ops.core_hours_share,
+    "midnight_share": ops.midnight_share,
+    # data quality on Gold
+    "name_fallback_audit": ops.name_fallback_audit,
+    "distinct_profile": ops.distinct_profile,
+    "month_profile": ops.month_profile,
+    "category_profile": ops.category_profile,
+    "city_volume_topn": partial(ops.city_volume_topn, n=CITY_VOLUME_TOP),
+    "amount_scale_check": ops.amount_scale_check,
+}
+
 QUERIES: dict[str, Query] = {
     # sources and layers
     "bronze_merchants": raw_merchants,
@@ -86,40 +126,10 @@ QUERIES: dict[str, Query] = {
     "silver_transactions": silver_transactions,
     "gold_enriched": gold,
     "layer_round_trip": layer_round_trip,
-    # questions
-    "top_merchants_by_city_month": _on_gold(ops.q1_top_merchants_by_city_month, n=Q1_TOP_N),
-    "top_merchants_slice": _on_gold(ops.q1_slice, months=SLICE_MONTHS, cities=SLICE_CITIES, n=Q1_TOP_N),
-    "avg_sale_by_merchant_state": _on_gold(ops.q2_avg_sale_by_merchant_state),
-    "avg_sale_robust_top_per_state": _on_gold(ops.q2_robust_top_per_state, min_sales=ROBUST_MIN_SALES),
-    "top_hours_by_category": _on_gold(ops.q3_top_hours_by_category, n=Q3_TOP_N),
-    "popular_merchants": _on_gold(ops.q4_popular_merchants, n=Q4_TOP_N),
-    # association
-    "city_category_contingency": _on_gold(ops.contingency, a="city_id", b="category"),
-    "cramers_v": _on_gold(ops.cramers_v, a="city_id", b="category"),
-    "category_mix_top_cities": _on_gold(ops.category_mix_top_cities, top=MIX_TOP_CITIES),
-    "dominant_category_by_city": _on_gold(ops.dominant_category_by_city),
-    # new-merchant evidence
-    "city_scorecard": _on_gold(ops.city_scorecard),
-    "category_scorecard": _on_gold(ops.category_scorecard),
-    "monthly_seasonality": _on_gold(ops.monthly_seasonality),
-    "hourly_curve": _on_gold(ops.hourly_curve),
-    "installment_profit": _on_gold(ops.installment_profit),
-    "installment_profit_flat": _on_gold(ops.installment_profit, model=FLAT_MODEL),
-    "installment_schedule": _on_gold(ops.installment_schedule),
-    # published figures
-    "revenue_share_by_category": _on_gold(ops.revenue_share_by_category),
-    "top_city_share": _on_gold(ops.top_city_share, k=TOP_SHARE_CITIES),
-    "peak_month": _on_gold(ops.peak_month),
-    "core_hours_share": _on_gold(ops.core_hours_share),
-    "midnight_share": _on_gold(ops.midnight_share),
-    # data quality
+    # operators over Gold
+    **{key: _on_gold(key) for key in GOLD_OPS},
+    # reconciliation across layers
     "layer_row_counts": layer_row_counts,
     "merchant_key_uniqueness": merchant_key_uniqueness,
-    "name_fallback_audit": _on_gold(ops.name_fallback_audit),
-    "distinct_profile": _on_gold(ops.distinct_profile),
-    "month_profile": _on_gold(ops.month_profile),
-    "category_profile": _on_gold(ops.category_profile),
-    "city_volume_topn": _on_gold(ops.city_volume_topn, n=CITY_VOLUME_TOP),
     "join_fanout_check": join_fanout_check,
-    "amount_scale_check": _on_gold(ops.amount_scale_check),
 }

@@ -22,14 +22,24 @@ Only the columns used are read (parquet column pruning).
 from __future__ import annotations
 
 import os
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Scans are memoised per session: resolving a parquet scan lists the files and
+# reads a footer on the driver, which costs more than planning the query at
+# small scale.  The test tables are read-only, so a resolved scan stays valid.
+_SCANS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver test table, e.g. ``lineitem`` → ``{sf_dir}/lineitem.parquet``."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    per_session = _SCANS.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 # Fixed values of the test-data mapping (must match the oracle SQL).
@@ -98,53 +108,45 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _merchant_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw-shaped merchants: 9 text columns, duplicated ids, dirty group ids.
+
+    One scan of supplier: each row is expanded in place (``explode``) into
+    its master row plus, for some keys, one duplicate — no union of rescans.
+    """
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     k = F.col("s_suppkey")
-    return (
+    # copy 0 = master row, 1 = duplicate with a higher group, 2 = unparseable group
+    copies = (
+        F.when(k % DUP_EVERY == 0, F.array(F.lit(0), F.lit(1)))
+        .when(k % DUP_EVERY == 1, F.array(F.lit(0), F.lit(2)))
+        .otherwise(F.array(F.lit(0)))
+    )
+    rows = (
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
         .filter(k % ORPHAN_EVERY != ORPHAN_REMAINDER)
-        .select(
-            k.alias("k"),
-            F.when(k % CHAIN_EVERY == 0, F.lit(CHAIN_NAME))
-            .otherwise(F.concat(F.lit(" "), F.col("s_name"), F.lit(" "))).alias("merchant_name"),
-            F.concat(F.lit("M_"), k.cast("string")).alias("merchant_id"),
-            F.col("s_nationkey").cast("string").alias("merchant_group_id"),
-            (k % 50).cast("string").alias("merchant_category_id"),
-            (k % 10).cast("string").alias("subsector_id"),
-            F.chr((k % 5) + 65).alias("most_recent_sales_range"),
-            F.chr((k % 3) + 65).alias("most_recent_purchases_range"),
-            F.col("s_nationkey").cast("string").alias("city_id"),
-            F.col("n_regionkey").cast("string").alias("state_id"),
-        )
+        .select("s_suppkey", "s_name", "s_nationkey", "n_regionkey", F.explode(copies).alias("copy"))
     )
-
-
-def raw_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw-shaped merchants: 9 text columns, duplicated ids, dirty group ids."""
-    base = _merchant_base(spark, sf_dir)
-    cols = [c for c in base.columns if c != "k"]
-    k = F.col("k")
-    dup_name = F.concat(F.col("merchant_name"), F.lit(DUP_SUFFIX)).alias("merchant_name")
-    rest = [F.col(c) for c in cols[2:] if c != "merchant_group_id"]
-
-    higher_group = base.filter(k % DUP_EVERY == 0).select(
-        dup_name,
-        F.col("merchant_id"),
-        (F.col("merchant_group_id").cast("int") + DUP_GROUP_OFFSET).cast("string").alias("merchant_group_id"),
-        *rest,
+    copy = F.col("copy")
+    group = F.col("s_nationkey")
+    name = F.when(k % CHAIN_EVERY == 0, F.lit(CHAIN_NAME)).otherwise(
+        F.concat(F.lit(" "), F.col("s_name"), F.lit(" "))
     )
-    bad_group = base.filter(k % DUP_EVERY == 1).select(
-        dup_name,
-        F.col("merchant_id"),
-        F.when(k % 2 == 0, F.lit("")).otherwise(F.lit("inf")).alias("merchant_group_id"),
-        *rest,
-    )
-    return (
-        base.select(*cols)
-        .unionByName(higher_group.select(*cols))
-        .unionByName(bad_group.select(*cols))
+    return rows.select(
+        F.when(copy == 0, name).otherwise(F.concat(name, F.lit(DUP_SUFFIX))).alias("merchant_name"),
+        F.concat(F.lit("M_"), k.cast("string")).alias("merchant_id"),
+        F.when(copy == 0, group.cast("string"))
+        .when(copy == 1, (group + DUP_GROUP_OFFSET).cast("string"))
+        .when(k % 2 == 0, F.lit(""))
+        .otherwise(F.lit("inf"))
+        .alias("merchant_group_id"),
+        (k % 50).cast("string").alias("merchant_category_id"),
+        (k % 10).cast("string").alias("subsector_id"),
+        F.chr((k % 5) + 65).alias("most_recent_sales_range"),
+        F.chr((k % 3) + 65).alias("most_recent_purchases_range"),
+        group.cast("string").alias("city_id"),
+        F.col("n_regionkey").cast("string").alias("state_id"),
     )
 
 
