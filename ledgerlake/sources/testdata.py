@@ -13,9 +13,9 @@ in the oracle, see ``ledgerlake.plans.oracle``):
   few rows, NULL installments for quantity 50.
 
 Scale notes: the line item ⋈ order join is the big one and runs as a
-sort-merge join on the order key; customer joins on its key; the nation table
-(25 rows by definition of the schema) is the only side small enough by
-construction to broadcast, and Spark's size threshold picks that on its own.
+sort-merge join on the order key; customer joins on its key (broadcast or
+sort-merge by Spark's size check); the nation table (25 rows by definition of
+the schema) is small by construction, and the size threshold broadcasts it.
 Only the columns used are read (parquet column pruning).
 """
 
@@ -83,8 +83,12 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
 
+    # line item ⋈ order is big ⋈ big at any scale (orders are a quarter of
+    # the line items), so it is a shuffle join on the order key: the work then
+    # spreads over the shuffle partitions even when a source file is a single
+    # row group, where a broadcast join would keep the scan's one task.
     joined = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
+        li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey)
         .join(customer, F.col("o_custkey") == customer.c_custkey)
         .join(nation, F.col("c_nationkey") == nation.n_nationkey)
     )
