@@ -7,9 +7,11 @@
 
 Cells that never occur add nothing to the sum, so only observed cells are
 visited.  The sum is regrouped as Σ_j (1/c_j) · Σ_i o_ij²/r_i: one join of the
-cells with their row totals, then an *aggregate* per column value (partial
-aggregation, safe for a column value that holds most of the cells), then a
-one-row aggregate.  No cross join and no unpartitioned window.
+cells with their row totals (an aggregate of the cells; AQE reuses the cells'
+shuffle and broadcasts the totals when they are small), then an *aggregate*
+per column value (partial aggregation, safe for a column value that holds
+most of the cells), then a one-row aggregate.  Gold is scanned once; no cross
+join and no unpartitioned window.
 """
 
 from __future__ import annotations
@@ -34,28 +36,25 @@ def cramers_v(df: DataFrame, a: str = "city_id", b: str = "category") -> DataFra
         .groupBy(a, b)
         .agg(F.count(F.lit(1)).cast("double").alias("o"))
     )
-    rows = cells.groupBy(a).agg(F.sum("o").alias("r_i"))
+    # Per row value: its total and its number of observed cells.  Each cell
+    # then carries 1 / (cells in its row); those shares add up to exactly one
+    # per row, so their sum, rounded, is r — no second scan to count rows.
+    rows = cells.groupBy(a).agg(F.sum("o").alias("r_i"), F.count(F.lit(1)).alias("cells_i"))
     per_col = (
         cells.join(rows, on=a)
         .groupBy(b)
         .agg(
             F.sum(F.col("o") * F.col("o") / F.col("r_i")).alias("s_j"),
             F.sum("o").alias("c_j"),
+            F.sum(F.lit(1.0) / F.col("cells_i")).alias("row_share_j"),
         )
     )
-    totals = per_col.agg(
+    out = per_col.agg(
         F.sum("c_j").alias("n"),
+        F.round(F.sum("row_share_j")).cast("long").alias("r"),
         F.count(F.lit(1)).alias("k"),
         F.sum(F.col("s_j") / F.col("c_j")).alias("phi1"),
     )
-    r = rows.agg(F.count(F.lit(1)).alias("r"))
-    # r is a one-row aggregate; fetch it as a scalar subquery.
-    out = totals.select(
-        "n",
-        r.select("r").scalar().alias("r"),
-        "k",
-        "phi1",
-    )
     excess = F.col("phi1") - F.lit(1.0)
     dof = F.least(F.col("r") - 1, F.col("k") - 1)
     return out.select(
