@@ -28,13 +28,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from ledgerlake import operators as ops  # noqa: E402
-from ledgerlake.plans.layers import run_layers, stage_testdata_sources  # noqa: E402
+from ledgerlake.plans.layers import read_gold, run_layers, stage_testdata_sources  # noqa: E402
 from ledgerlake.plans.registry import GOLD_OPS  # noqa: E402
 from ledgerlake.session import RECOMMENDED_CONF, shared_dir  # noqa: E402
 from ledgerlake.sources.tables import (  # noqa: E402
     T_BRONZE_MERCHANTS,
     T_BRONZE_TRANSACTIONS,
-    T_GOLD_TRANSACTIONS,
     T_SILVER_MERCHANTS,
     T_SILVER_TRANSACTIONS,
     read_layer_table,
@@ -55,6 +54,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("ledgerlake-bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "8g")
     )
@@ -74,7 +74,7 @@ def main() -> None:
     run_layers(spark, paths, ["all"])
     timings["layers_build"] = time.perf_counter() - t0
 
-    gold = read_layer_table(spark, T_GOLD_TRANSACTIONS)
+    gold = read_gold(spark)
     silver_m = read_layer_table(spark, T_SILVER_MERCHANTS)
     silver_t = read_layer_table(spark, T_SILVER_TRANSACTIONS)
     cross_layer = {

@@ -33,19 +33,34 @@ from ..sources.tables import (
     overwrite_table,
     read_layer_table,
 )
+from ..sources.schemas import GOLD_COLUMNS
 from ..sources.testdata import raw_merchants, raw_merchants_csv_layout, raw_transactions
 
 # Fixed value: canonical layer order.
 LAYERS = ("bronze", "silver", "gold")
 
 
+# Largest merchant side (exact in-memory bytes) the Gold job broadcasts.
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+
 @dataclass(frozen=True)
 class LayerPaths:
-    """Where the raw sources are landed and where layer tables are written."""
+    """Where the raw sources are landed and where layer tables are written.
+
+    ``gold_partition_by`` (e.g. ``("txn_month_key",)``) lays Gold out in one
+    folder per value so month-restricted questions skip other months.  It is
+    off by default: every write task writes one file per value it holds, so
+    unless the transactions arrive clustered by time the table fragments into
+    tasks × months small files.  ``broadcast_max_bytes`` bounds the merchant
+    side the Gold join may broadcast (0 leaves the choice to Spark).
+    """
 
     merchants_csv: str
     transactions_parquet: str
     root: str
+    gold_partition_by: tuple[str, ...] = ()
+    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
 
 
 def resolve_layers(requested: Iterable[str]) -> list[str]:
@@ -85,9 +100,16 @@ def run_gold(spark: SparkSession, paths: LayerPaths) -> None:
     """Join Silver into the Gold enriched-transactions table."""
     ensure_namespaces(spark, paths.root)
     gold = build_gold(
-        read_layer_table(spark, T_SILVER_TRANSACTIONS), read_layer_table(spark, T_SILVER_MERCHANTS)
+        read_layer_table(spark, T_SILVER_TRANSACTIONS),
+        read_layer_table(spark, T_SILVER_MERCHANTS),
+        broadcast_max_bytes=paths.broadcast_max_bytes,
     )
-    overwrite_table(gold, T_GOLD_TRANSACTIONS, paths.root)
+    overwrite_table(gold, T_GOLD_TRANSACTIONS, paths.root, paths.gold_partition_by)
+
+
+def read_gold(spark: SparkSession) -> DataFrame:
+    """The Gold table, columns in their documented order."""
+    return read_layer_table(spark, T_GOLD_TRANSACTIONS, GOLD_COLUMNS)
 
 
 _RUNNERS = {"bronze": run_bronze, "silver": run_silver, "gold": run_gold}
@@ -122,4 +144,4 @@ def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = f"{shared_dir(spark)}/layers-{uuid.uuid4().hex[:12]}"
     paths = stage_testdata_sources(spark, sf_dir, landing)
     run_layers(spark, paths, ["all"])
-    return read_layer_table(spark, T_GOLD_TRANSACTIONS)
+    return read_gold(spark)

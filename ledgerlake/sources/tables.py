@@ -7,6 +7,8 @@ full refreshes, so re-running a layer gives the same table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 NAMESPACES = ("bronze", "silver", "gold")
@@ -30,16 +32,26 @@ def ensure_namespaces(spark: SparkSession, root: str) -> None:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns} LOCATION '{root}/{ns}'")
 
 
-def overwrite_table(df: DataFrame, table: str, root: str) -> None:
-    """Create-or-replace ``table`` from ``df`` as parquet at its path under ``root``."""
-    (
-        df.write.mode("overwrite")
-        .format("parquet")
-        .option("path", table_path(root, table))
-        .saveAsTable(table)
-    )
+def overwrite_table(
+    df: DataFrame, table: str, root: str, partition_by: Sequence[str] = ()
+) -> None:
+    """Create-or-replace ``table`` from ``df`` as parquet at its path under ``root``.
+
+    ``partition_by`` lays the files out in one folder per value, so filters
+    on those columns skip whole folders.  Each write task sorts its own rows
+    by the partition columns; nothing is shuffled for it.
+    """
+    writer = df.write.mode("overwrite").format("parquet").option("path", table_path(root, table))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
+
 
+def read_layer_table(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Scan a layer table by name (lazy; pruning and pushdown reach the files).
 
-def read_layer_table(spark: SparkSession, table: str) -> DataFrame:
-    """Scan a layer table by name (lazy; pruning and pushdown reach the files)."""
-    return spark.read.table(table)
+    ``columns`` restores a column order (a partitioned table lists its
+    partition columns last).
+    """
+    df = spark.read.table(table)
+    return df.select(*columns) if columns else df

@@ -11,6 +11,7 @@ from conftest import SF_SMALL
 from ledgerlake.plans.layers import (
     LayerPaths,
     layer_round_trip,
+    read_gold,
     resolve_layers,
     run_layers,
     stage_testdata_sources,
@@ -20,7 +21,6 @@ from ledgerlake.sources import read_merchants_csv
 from ledgerlake.sources.schemas import GOLD_COLUMNS, MERCHANT_CSV_COLUMNS
 from ledgerlake.sources.tables import (
     T_BRONZE_MERCHANTS,
-    T_GOLD_TRANSACTIONS,
     T_SILVER_MERCHANTS,
     read_layer_table,
 )
@@ -72,7 +72,7 @@ def test_run_layers_round_trip_matches_lazy_pipeline(spark):
     assert run_layers(spark, paths, ["all"]) == ["bronze", "silver", "gold"]
     assert read_layer_table(spark, T_BRONZE_MERCHANTS).count() == raw_merchants(spark, SF_SMALL).count()
     assert read_layer_table(spark, T_SILVER_MERCHANTS).count() == 9
-    written = read_layer_table(spark, T_GOLD_TRANSACTIONS)
+    written = read_gold(spark)
     assert written.columns == GOLD_COLUMNS
     lazy = gold(spark, SF_SMALL)
     assert written.count() == lazy.count() == 6000
@@ -83,9 +83,9 @@ def test_rerunning_one_layer_is_idempotent(spark):
     landing = _fresh(spark)
     paths = stage_testdata_sources(spark, SF_SMALL, landing)
     run_layers(spark, paths, ["all"])
-    before = read_layer_table(spark, T_GOLD_TRANSACTIONS).count()
+    before = read_gold(spark).count()
     run_layers(spark, paths, ["gold"])
-    assert read_layer_table(spark, T_GOLD_TRANSACTIONS).count() == before
+    assert read_gold(spark).count() == before
 
 
 def test_registered_round_trip(spark):
