@@ -145,3 +145,26 @@ def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = stage_testdata_sources(spark, sf_dir, landing)
     run_layers(spark, paths, ["all"])
     return read_gold(spark)
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage sources, clean merchants in batch, stream transactions into Gold.
+
+    Runs the incremental query to completion (``availableNow``) and reads the
+    sink back; the result equals the batch Gold table.
+    """
+    from ..streaming import IncrementalGold, start_incremental_gold
+
+    landing = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
+    paths = stage_testdata_sources(spark, sf_dir, landing)
+    merchants = clean_merchants(read_merchants_csv(spark, paths.merchants_csv))
+    cfg = IncrementalGold(
+        transactions_dir=paths.transactions_parquet,
+        gold_path=f"{landing}/gold_stream",
+        checkpoint=f"{landing}/checkpoints/gold_stream",
+    )
+    query = start_incremental_gold(spark, cfg, merchants, available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"incremental gold failed: {query.exception()}")
+    return spark.read.parquet(cfg.gold_path).select(*GOLD_COLUMNS)

@@ -113,6 +113,9 @@ BODIES: dict[str, str] = {
     "silver_merchants": "SELECT * FROM sm",
     "silver_transactions": "SELECT * FROM st",
     "gold_enriched": "SELECT * FROM gold",
+    # written to tables (batch layers) or a streaming sink, then read back
+    "layer_round_trip": "SELECT * FROM gold",
+    "gold_incremental": "SELECT * FROM gold",
     "top_merchants_by_city_month": _Q1,
     "top_merchants_slice": (
         f"SELECT * FROM ({_Q1}) WHERE month IN ('Oct 1997', 'Nov 1997') AND city IN (2, 3)"

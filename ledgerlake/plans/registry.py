@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import operators as ops
 from ..functions import ProfitModel
 from ..sources.testdata import raw_merchants, raw_transactions
-from .layers import layer_round_trip
+from .layers import gold_incremental, layer_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "silver_transactions": silver_transactions,
     "gold_enriched": gold,
     "layer_round_trip": layer_round_trip,
+    "gold_incremental": gold_incremental,
     # operators over Gold
     **{key: _on_gold(key) for key in GOLD_OPS},
     # reconciliation across layers
