@@ -21,7 +21,8 @@ from .questions import (
     q3_top_hours_by_category,
     q4_popular_merchants,
 )
-from .ranking import first_per_key, top_n_per_group
+from .joins import broadcast_if_small, measured_bytes
+from .ranking import first_per_key, preview, top_n_per_group
 from .reports import (
     core_hours_share,
     installment_schedule,

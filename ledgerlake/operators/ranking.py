@@ -43,3 +43,8 @@ def first_per_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[C
     """One row per ``keys`` value: the first by ``order``; columns unchanged."""
     tmp = "__first_rn"
     return top_n_per_group(df, keys, order, 1, tmp).drop(tmp)
+
+
+def preview(df: DataFrame, n: int = 20) -> DataFrame:
+    """A bounded preview of a result (the caller shows or collects it)."""
+    return df.limit(n)
