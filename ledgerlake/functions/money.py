@@ -2,10 +2,13 @@
 
 A double sum depends on the order rows arrive in, which a shuffle does not
 fix, so totals can differ in the last bits between runs and flip a ranking.
-Summing ``DECIMAL(18, scale)`` is exact and associative; the total is cast to
-double once at the end.  ``scale=None`` falls back to the plain double sum
-(needed for amounts with more decimals than ``scale``, or ±inf/NaN, which a
-decimal cannot hold and which ``try_cast`` turns into NULL).
+Summing ``DECIMAL(38, 10)`` is exact and associative; the total is cast to
+double once at the end.  Ten decimals keep amounts such as normalised
+purchase values (``-0.70333127``) exact, not just cents; 28 integer digits
+leave room for any realistic total.  The sum stays in a hash aggregate and
+costs the same as a two-decimal one (measured).  ``scale=None`` falls back to
+the plain double sum (for ±inf/NaN, which a decimal cannot hold and which
+``try_cast`` turns into NULL).
 """
 
 from __future__ import annotations
@@ -14,8 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-MONEY_PRECISION = 18
-MONEY_SCALE = 2
+MONEY_PRECISION = 38
+MONEY_SCALE = 10
 
 
 def _as_money(c: Column, scale: int) -> Column:
@@ -23,7 +26,7 @@ def _as_money(c: Column, scale: int) -> Column:
 
 
 def money_sum_exact(c: Column, scale: int = MONEY_SCALE) -> Column:
-    """Exact decimal sum (``DECIMAL(28, scale)``), not cast back to double."""
+    """Exact decimal sum (``DECIMAL(38, scale)``), not cast back to double."""
     return F.sum(_as_money(c, scale))
 
 
@@ -47,7 +50,7 @@ def money_mean(c: Column, scale: int | None = MONEY_SCALE) -> Column:
 def money_out_of_scale(c: Column, scale: int = MONEY_SCALE) -> Column:
     """Count of non-NULL amounts that the decimal form cannot hold.
 
-    Such rows (±inf, NaN, > 10^16) silently drop out of :func:`money_sum`;
+    Such rows (±inf, NaN, ≥ 10^28) silently drop out of :func:`money_sum`;
     a data-quality report should show how many there are.
     """
     return F.count(F.when(c.isNotNull() & _as_money(c, scale).isNull(), F.lit(1)))

@@ -89,7 +89,7 @@ gold AS (
   FROM st LEFT JOIN sm ON st.merchant_id = sm.merchant_id)
 """
 
-_MONEY = "CAST(sum(CAST(purchase_amount AS DECIMAL(18,2))) AS DOUBLE)"
+_MONEY = "CAST(sum(CAST(purchase_amount AS DECIMAL(38,10))) AS DOUBLE)"
 _MEAN = f"{_MONEY} / count(purchase_amount)"
 _PF = (
     "CASE WHEN installments IS NULL OR installments <= 1 THEN 0.25::DOUBLE "
@@ -206,7 +206,7 @@ BODIES: dict[str, str] = {
     "revenue_share_by_category": (
         "SELECT category, CAST(d AS DOUBLE) AS revenue, round(CAST(d AS DOUBLE) / "
         "CAST(sum(d) OVER () AS DOUBLE), 9) AS share FROM (SELECT category, "
-        "sum(CAST(purchase_amount AS DECIMAL(18,2))) AS d FROM gold GROUP BY 1)"
+        "sum(CAST(purchase_amount AS DECIMAL(38,10))) AS d FROM gold GROUP BY 1)"
     ),
     "top_city_share": (
         "SELECT city_id, n, round(CAST(sum(n) OVER (ORDER BY n DESC, city_id NULLS FIRST ROWS "
@@ -258,7 +258,7 @@ BODIES: dict[str, str] = {
     "amount_scale_check": (
         "SELECT count(*) AS n, count(*) FILTER (WHERE purchase_amount IS NULL) AS null_amounts, "
         "count(*) FILTER (WHERE purchase_amount IS NOT NULL AND "
-        "TRY_CAST(purchase_amount AS DECIMAL(18,2)) IS NULL) AS out_of_scale FROM gold"
+        "TRY_CAST(purchase_amount AS DECIMAL(38,10)) IS NULL) AS out_of_scale FROM gold"
     ),
 }
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,13 @@ def test_money_sum_is_exact_and_partition_independent(spark):
     assert a == b == 600.0 + 1e6 + 0.01
 
 
+def test_money_sum_keeps_many_decimals_exact(spark):
+    vals = [-0.70333127, 0.12345678, 1.00000001] * 500
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = df.repartition(5).agg(money_sum(F.col("x"))).first()[0]
+    assert got == float(sum(Decimal(repr(v)) for v in vals))
+
+
 def test_money_mean_ignores_null_and_keeps_empty_null(spark):
     df = spark.createDataFrame([("a", 10.0), ("a", None), ("a", 20.0), ("b", None)], "k string, x double")
     got = dict(df.groupBy("k").agg(money_mean(F.col("x")).alias("m")).collect())
