@@ -73,22 +73,26 @@ def category_mix_top_cities(gold: DataFrame, top: int = 6) -> DataFrame:
 
     The busiest cities are ranked by transaction count (ties: lowest id, NULL
     first); a NULL city may take a slot but matches no row, as an ``IN`` list
-    would.  The top list is at most ``top`` rows, so it is broadcast; the
-    cell counts are aggregated once and reused for the ranking.
+    would.  The top list (city, total) is at most ``top`` rows, so it is
+    broadcast; the cell counts are aggregated once and feed both the ranking
+    and the mix.
     """
     cells = contingency(gold, "city_id", "category")
     top_cities = (
         cells.groupBy("city_id")
-        .agg(F.sum("n").alias("cnt"))
-        .orderBy(F.col("cnt").desc(), F.col("city_id").asc_nulls_first())
+        .agg(F.sum("n").cast("long").alias("t"))
+        .orderBy(F.col("t").desc(), F.col("city_id").asc_nulls_first())
         .limit(top)
         .filter(F.col("city_id").isNotNull())
-        .select("city_id")
     )
-    mix = cells.join(F.broadcast(top_cities), on="city_id", how="left_semi")
-    totals = mix.groupBy("city_id").agg(F.sum("n").cast("long").alias("t"))
+    # The top list carries each city's total, so one join gives n and t.  The
+    # join is null-safe on purpose: the list holds no NULL city, and a plain
+    # equality would push an inferred `city_id IS NOT NULL` into this copy of
+    # the cells, which then no longer matches the ranking's copy and is
+    # recomputed instead of reusing its shuffle.
+    top_b = F.broadcast(top_cities.withColumnRenamed("city_id", "top_city"))
     return (
-        mix.join(totals, on="city_id")
+        cells.join(top_b, cells.city_id.eqNullSafe(top_b.top_city))
         .withColumn("pct", F.round(F.lit(100.0) * F.col("n") / F.col("t"), 1))
         .orderBy("city_id", "category")
         .select("city_id", "category", "n", "t", "pct")

@@ -148,7 +148,7 @@ def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stage sources, clean merchants in batch, stream transactions into Gold.
+    """Stage sources, build Silver in batch, stream transactions into Gold.
 
     Runs the incremental query to completion (``availableNow``) and reads the
     sink back; the result equals the batch Gold table.
@@ -157,7 +157,8 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     landing = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
     paths = stage_testdata_sources(spark, sf_dir, landing)
-    merchants = clean_merchants(read_merchants_csv(spark, paths.merchants_csv))
+    run_layers(spark, paths, ["bronze", "silver"])
+    merchants = read_layer_table(spark, T_SILVER_MERCHANTS)
     cfg = IncrementalGold(
         transactions_dir=paths.transactions_parquet,
         gold_path=f"{landing}/gold_stream",
