@@ -5,13 +5,13 @@ and questions read the Gold table.  Prints one JSON line:
 
   {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
-``queries`` holds per-key seconds (best of ``BENCH_REPEATS`` runs, default 3,
+``queries`` holds per-key seconds (best of ``BENCH_REPEATS`` runs, default 5,
 each a full ``collect``), plus ``stage_sources`` (landing the adapter-derived
 raw files; not part of ``value``) and ``layers_build`` (Bronze+Silver+Gold
 writes).  ``value`` = ``layers_build`` + Σ query times.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_REPEATS (default 3).
+(default 8), BENCH_REPEATS (default 5).
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def _sf_of(path: str) -> float | str:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
 
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
