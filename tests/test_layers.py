@@ -90,3 +90,20 @@ def test_rerunning_one_layer_is_idempotent(spark):
 
 def test_registered_round_trip(spark):
     assert layer_round_trip(spark, SF_SMALL).count() == 6000
+
+
+def test_cli_runs_chosen_layers(spark):
+    from ledgerlake.plans.cli import main, parse_args
+
+    args = parse_args(["--merchants-csv", "m", "--transactions", "t", "--root", "r/"])
+    assert args.layers == ["all"] and args.gold_partition_by == []
+    landing = _fresh(spark)
+    paths = stage_testdata_sources(spark, SF_SMALL, landing)
+    done = main([
+        "--layers", "silver", "bronze",
+        "--merchants-csv", paths.merchants_csv,
+        "--transactions", paths.transactions_parquet,
+        "--root", paths.root,
+    ])
+    assert done == ["bronze", "silver"]
+    assert read_layer_table(spark, T_SILVER_MERCHANTS).count() == 9
