@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: text that replaces a missing or blank product category.
+# Text that replaces a missing or blank product category, the
+# month label layout ("Oct 2017") and the 24-hour label width ("0800").
 UNKNOWN_CATEGORY = "Unknown category"
+MONTH_LABEL_FORMAT = "MMM yyyy"
+HOUR_LABEL_WIDTH = 4
 
 
 def clean_category(c: Column) -> Column:
@@ -24,9 +27,9 @@ def month_key(ts: Column) -> Column:
 
 def month_label(ts: Column) -> Column:
     """Presentation label such as ``Oct 2017``."""
-    return F.date_format(ts, "MMM yyyy")
+    return F.date_format(ts, MONTH_LABEL_FORMAT)
 
 
 def hour_label(hour: Column) -> Column:
     """24-hour clock label: 8 → ``0800``, 13 → ``1300``; NULL stays NULL."""
-    return F.lpad((hour * F.lit(100)).cast("string"), 4, "0")
+    return F.lpad((hour * F.lit(100)).cast("string"), HOUR_LABEL_WIDTH, "0")
