@@ -6,7 +6,9 @@ while the small side really is small.  ``measured_bytes`` computes the exact
 in-memory (UnsafeRow) size of a DataFrame with one aggregate over it;
 ``broadcast_if_small`` broadcasts it only when that size is within a limit,
 and otherwise returns it unchanged, leaving Spark to plan a sort-merge join
-(whose skewed partitions AQE splits).
+(whose skewed partitions AQE splits).  ``salted_left_join`` is the explicit
+alternative for that case when AQE's skew handling is off: every key is
+spread over ``buckets`` tasks.
 """
 
 from __future__ import annotations
@@ -47,3 +49,22 @@ def broadcast_if_small(df: DataFrame, max_bytes: int) -> tuple[DataFrame, bool]:
     if measured_bytes(df) <= max_bytes:
         return F.broadcast(df), True
     return df, False
+
+
+def salted_left_join(
+    big: DataFrame, small: DataFrame, key: str, buckets: int, salt_of: list[str]
+) -> DataFrame:
+    """``big ⟕ small`` on ``key`` with every key spread over ``buckets`` tasks.
+
+    Each ``big`` row gets a salt from a hash of its own ``salt_of`` columns —
+    deterministic, so a retried task routes every row the same way — and
+    ``small`` is replicated once per salt value.  A key holding a third of
+    ``big`` then lands in ``buckets`` partitions instead of one, for the price
+    of ``buckets`` copies of the (unique-per-key) small side.
+    """
+    if buckets < 2:
+        return big.join(small, on=key, how="left")
+    salt = "__salt"
+    big_s = big.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in salt_of]), F.lit(buckets)))
+    small_s = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>")))
+    return big_s.join(small_s, on=[key, salt], how="left").drop(salt)

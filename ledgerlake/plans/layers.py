@@ -53,7 +53,9 @@ class LayerPaths:
     off by default: every write task writes one file per value it holds, so
     unless the transactions arrive clustered by time the table fragments into
     tasks × months small files.  ``broadcast_max_bytes`` bounds the merchant
-    side the Gold join may broadcast (0 leaves the choice to Spark).
+    side the Gold join may broadcast (0 leaves the choice to Spark);
+    ``salt_buckets`` salts the join when it is not broadcast (for clusters
+    without AQE skew handling).
     """
 
     merchants_csv: str
@@ -61,6 +63,7 @@ class LayerPaths:
     root: str
     gold_partition_by: tuple[str, ...] = ()
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
+    salt_buckets: int = 0
 
 
 def resolve_layers(requested: Iterable[str]) -> list[str]:
@@ -103,6 +106,7 @@ def run_gold(spark: SparkSession, paths: LayerPaths) -> None:
         read_layer_table(spark, T_SILVER_TRANSACTIONS),
         read_layer_table(spark, T_SILVER_MERCHANTS),
         broadcast_max_bytes=paths.broadcast_max_bytes,
+        salt_buckets=paths.salt_buckets,
     )
     overwrite_table(gold, T_GOLD_TRANSACTIONS, paths.root, paths.gold_partition_by)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import merchant, merchants, txn, txns
 
 from ledgerlake.operators import build_gold, clean_merchants, clean_transactions
@@ -45,3 +46,23 @@ def test_limit_zero_leaves_the_choice_to_spark(spark):
     df = spark.range(3)
     same, chosen = broadcast_if_small(df, 0)
     assert same is df and chosen is False
+
+
+def test_salted_join_equals_plain_join_with_a_hot_key(spark, no_auto_broadcast):
+    rows = [txn("HOT", float(i), customer=f"C{i}") for i in range(200)] + [
+        txn("M2", 5.0), txn("ORPHAN", 1.0), txn(None, 2.0)
+    ]
+    t = clean_transactions(txns(spark, rows))
+    m = clean_merchants(merchants(spark, [merchant("HOT"), merchant("M2")]))
+    plain = build_gold(t, m)
+    salted = build_gold(t, m, salt_buckets=8)
+    assert salted.count() == plain.count() == 203
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "__salt" in plan
+    # the hot key's rows are spread over several salt values
+    from ledgerlake.operators.cleaning import SALT_COLUMNS
+    salts = t.filter("merchant_id = 'HOT'").select(
+        F.pmod(F.xxhash64(*SALT_COLUMNS), F.lit(8)).alias("s")
+    ).distinct().count()
+    assert salts == 8
