@@ -11,7 +11,8 @@ raw files; not part of ``value``) and ``layers_build`` (Bronze+Silver+Gold
 writes).  ``value`` = ``layers_build`` + Σ query times.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_REPEATS (default 5).
+(default 8), BENCH_REPEATS (default 5), BENCH_EVENT_LOG_DIR (optional: write
+Spark's event log there, for stage and task times).
 """
 
 from __future__ import annotations
@@ -60,6 +61,9 @@ def main() -> None:
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 

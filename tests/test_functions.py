@@ -78,6 +78,13 @@ def test_parse_timestamp_passes_timestamps_through(spark):
     assert out.schema["t"].dataType.typeName() == "timestamp_ntz"
 
 
+def test_parse_timestamp_accepts_session_timestamps(spark):
+    df = spark.createDataFrame([(dt.datetime(2017, 1, 2, 3, 4, 5),)], "t timestamp")
+    out = df.select(parse_timestamp(F.col("t"), df.schema["t"].dataType).alias("t"))
+    assert out.first().t == dt.datetime(2017, 1, 2, 3, 4, 5)  # UTC session
+    assert out.schema["t"].dataType.typeName() == "timestamp_ntz"
+
+
 def test_clean_category(spark):
     rows = [(None,), ("",), ("   ",), ("  A ",), ("B",), ("\t",)]
     df = spark.createDataFrame(rows, "c string")
