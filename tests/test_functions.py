@@ -59,6 +59,30 @@ def test_parse_timestamp_text(spark, ansi, mode):
     assert got == [dt.datetime(2017, 10, 5, 8, 7), None, None, None, None]
 
 
+EDGE_TEXTS = [
+    "2017-10-01T13:30:00", " 2017-10-01 13:30:00", "2017-10-01 13:30:00 ", "2017-10-01 13:30:00.5",
+    "2017-10-01 24:00:00", "2017-1-01 13:30:00", "-017-10-01 13:30:00", "+017-10-01 13:30:00",
+    "2017-02-29 10:00:00", "2016-02-29 10:00:00", "2017-13-01 10:00:00", "2017-10-01 13:60:00",
+    "2017-10-01 13:30:60", "abcd-ef-gh ij:kl:mn", "2017-10-01 1a:30:00", "2017/10/01 13:30:00",
+    "20171-10-01 13:30:00", "2017-10-01 13:30", "9999-12-31 23:59:59", "0001-01-01 00:00:00",
+    "2017-10-01 13:30:0 ", "2017-10-01  3:30:00", "2017-10-01 13:30:00\n", "\n2017-10-01 13:30:00",
+]
+
+
+def test_parse_timestamp_layout_check_equals_strict_parser(spark):
+    """The fast layout check accepts exactly what the strict formatter accepts."""
+    df = spark.createDataFrame([(s,) for s in EDGE_TEXTS], "s string")
+    t = F.col("s")
+    strict = F.when(F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull(), t.try_cast("timestamp_ntz"))
+    rows = df.select(
+        "s",
+        strict.cast("string").alias("strict"),
+        parse_timestamp(t, StringType()).cast("string").alias("fast"),
+    ).collect()
+    assert [(r.s, r.fast) for r in rows] == [(r.s, r.strict) for r in rows]
+    assert sum(r.fast is not None for r in rows) == 3
+
+
 def test_parse_timestamp_ignores_session_zone(spark):
     """A wall clock inside a daylight-saving gap is kept as written."""
     before = spark.conf.get("spark.sql.session.timeZone")
