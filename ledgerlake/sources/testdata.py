@@ -64,12 +64,19 @@ def _category(flag: Column, qty: Column) -> Column:
 
 def _purchase_date(orderdate: Column, line: Column, partkey: Column,
                    orderkey: Column, qty: Column) -> Column:
+    """Purchase-date text, built without the session time zone.
+
+    ``orderdate`` is TIMESTAMP_NTZ; adding a day-time interval keeps it NTZ.
+    The text comes from casts (NTZ → string, date → string), which are
+    zone-free; ``date_format`` would first convert the NTZ value to a session
+    timestamp and move wall clocks that fall in a daylight-saving gap.
+    """
     hour = F.when(line == 1, F.lit(0)).otherwise(partkey % 24).cast("int")
     minute = (orderkey % 60).cast("int")
-    ts = orderdate + F.make_dt_interval(F.lit(0), hour, minute, F.lit(0))
+    ts = orderdate.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour, minute, F.lit(0))
     date_only = (qty == 47) & (line == 7)
-    return F.when(date_only, F.date_format(orderdate, "yyyy-MM-dd")).otherwise(
-        F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    return F.when(date_only, F.to_date(orderdate.cast("timestamp_ntz")).cast("string")).otherwise(
+        ts.cast("string")
     )
 
 

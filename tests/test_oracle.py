@@ -85,3 +85,22 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["month", "city", "merchant", "purchase_total", "no_of_sales", "rank"]
     assert df.count() == 3747
+
+
+@pytest.mark.parametrize("key", ["bronze_transactions", "gold_enriched", "hourly_curve", "top_hours_by_category"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, key):
+    """sf0.01 has purchase times inside New York's daylight-saving gaps."""
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(sf, t + '.parquet')}')")
+    res = con.execute(ORACLE[key])
+    want = _canon([d[0] for d in res.description], res.fetchall())
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = QUERIES[key](spark, sf)
+        got = _canon(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == want
