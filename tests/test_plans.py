@@ -69,3 +69,17 @@ def test_aggregates_are_partial_then_final(gold_table):
 def test_mix_broadcasts_only_the_bounded_top_list(gold_table):
     plan = ops.category_mix_top_cities(gold_table, top=6)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject(limit=6" in plan
+
+
+@pytest.mark.parametrize("key", sorted(GOLD_OPS))
+def test_every_operator_is_independent_of_partitioning(spark, gold_table, key):
+    def run(n):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        df = GOLD_OPS[key](gold_table.repartition(n))
+        return sorted(repr(tuple(r)) for r in df.collect())
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert run(1) == run(7)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
