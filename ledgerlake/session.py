@@ -22,6 +22,35 @@ RECOMMENDED_CONF = {
 }
 
 
+# Bytes per shuffle partition to aim for: large enough that task overhead is
+# small, small enough that a partition's hash table or sort buffer fits in an
+# executor core's share of memory without spilling much.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, total_cores: int,
+                           target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """``spark.sql.shuffle.partitions`` for a job reading ``input_bytes``.
+
+    One partition per ``target_bytes`` of input (an upper bound on what a
+    shuffle after partial aggregation carries), at least two waves of tasks
+    for ``total_cores``.  AQE then coalesces partitions that turn out small.
+    E.g. 100 TB on 1000 executors × 8 cores → 409,600 partitions.
+    """
+    by_size = -(-max(input_bytes, 0) // target_bytes)
+    return max(2 * total_cores, by_size)
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings for one job over ``input_bytes`` on ``total_cores`` cores."""
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(shuffle_partitions_for(input_bytes, total_cores)),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES // 2),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and written tables.
 

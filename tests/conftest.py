@@ -28,8 +28,10 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    # Tests set their own shared folder (a cluster names one in its config).
-    if not session.sparkContext.getCheckpointDir():
+    # The shared folder comes from spark.checkpoint.dir; tests set their own
+    # only when the session names none.
+    named = session.conf.get("spark.checkpoint.dir", None) or session.sparkContext.getCheckpointDir()
+    if not named:
         session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlake-test-"))
     yield session
     session.stop()
