@@ -20,6 +20,7 @@ from .questions import (
     q2_robust_top_per_state,
     q3_top_hours_by_category,
     q4_popular_merchants,
+    q4_popular_merchants_by_city,
 )
 from .joins import broadcast_if_small, measured_bytes
 from .ranking import first_per_key, preview, top_n_per_group
