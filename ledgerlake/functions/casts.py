@@ -23,8 +23,10 @@ PURCHASE_DATE_FORMAT = "yyyy-MM-dd HH:mm:ss"
 _PURCHASE_DATE_LAYOUT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
 
 # Integer text with a fractional tail ("12.0", "-3.7", "5.") keeps its integer
-# part, as a non-ANSI cast truncates it.
+# part, as a non-ANSI cast truncates it; with no integer part at all (".5",
+# "-.5", ".") the non-ANSI cast gives 0.
 _INT_WITH_FRACTION = r"^([+-]?\d+)\.\d*$"
+_FRACTION_ONLY = r"^[+-]?\.\d*$"
 
 
 def lenient_int(c: Column) -> Column:
@@ -32,10 +34,14 @@ def lenient_int(c: Column) -> Column:
 
     Blank, non-numeric, infinite or out-of-range text gives NULL; padded
     (``' 7 '``) and signed (``'+4'``) text parses; a fractional tail is
-    truncated (``'12.9'`` → 12).
+    truncated (``'12.9'`` → 12, ``'.5'`` → 0) — the results of a non-ANSI
+    cast, without its failure mode under ANSI.
     """
     text = F.trim(c)
-    return F.regexp_replace(text, _INT_WITH_FRACTION, "$1").try_cast("int")
+    whole = F.when(text.rlike(_FRACTION_ONLY), F.lit("0")).otherwise(
+        F.regexp_replace(text, _INT_WITH_FRACTION, "$1")
+    )
+    return whole.try_cast("int")
 
 
 def lenient_double(c: Column) -> Column:

@@ -34,6 +34,13 @@ INT_CASES = [
     ("12.9", 12),
     ("-3.7", -3),
     ("5.", 5),
+    (".5", 0),
+    ("-.5", 0),
+    (" .5 ", 0),
+    (".", 0),
+    ("..5", None),
+    ("+", None),
+    ("2147483647.9", 2147483647),
     ("", None),
     ("abc", None),
     ("inf", None),
@@ -50,6 +57,13 @@ def test_lenient_int_never_raises(spark, ansi, mode):
     assert got == [want for _, want in INT_CASES]
 
 
+def test_lenient_int_equals_non_ansi_cast(spark, ansi):
+    ansi(False)
+    df = spark.createDataFrame([(s,) for s, _ in INT_CASES], "s string")
+    rows = df.select(F.col("s").cast("int").alias("legacy"), lenient_int(F.col("s")).alias("ours")).collect()
+    assert [r.ours for r in rows] == [r.legacy for r in rows]
+
+
 @pytest.mark.parametrize("mode", [True, False])
 def test_parse_timestamp_text(spark, ansi, mode):
     ansi(mode)
