@@ -22,6 +22,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--root", required=True, help="shared folder for the layer tables")
     p.add_argument("--broadcast-max-bytes", type=int, default=DEFAULT_BROADCAST_MAX_BYTES)
     p.add_argument("--gold-partition-by", nargs="*", default=[])
+    p.add_argument("--salt-buckets", type=int, default=0)
+    p.add_argument("--bronze-register", action="store_true",
+                   help="register the landed transaction parquet as Bronze instead of copying it")
     return p.parse_args(argv)
 
 
@@ -35,6 +38,8 @@ def main(argv: list[str] | None = None) -> list[str]:
         root=args.root.rstrip("/"),
         gold_partition_by=tuple(args.gold_partition_by),
         broadcast_max_bytes=args.broadcast_max_bytes,
+        salt_buckets=args.salt_buckets,
+        bronze_copy_transactions=not args.bronze_register,
     )
     spark = SparkSession.builder.getOrCreate()
     return run_layers(spark, paths, args.layers)

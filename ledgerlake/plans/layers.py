@@ -32,6 +32,7 @@ from ..sources.tables import (
     ensure_namespaces,
     overwrite_table,
     read_layer_table,
+    register_external_parquet,
 )
 from ..sources.schemas import GOLD_COLUMNS
 from ..sources.testdata import raw_merchants, raw_merchants_csv_layout, raw_transactions
@@ -55,7 +56,10 @@ class LayerPaths:
     tasks × months small files.  ``broadcast_max_bytes`` bounds the merchant
     side the Gold join may broadcast (0 leaves the choice to Spark);
     ``salt_buckets`` salts the join when it is not broadcast (for clusters
-    without AQE skew handling).
+    without AQE skew handling).  ``bronze_copy_transactions=False`` registers
+    the landed transaction parquet as the Bronze table instead of copying it —
+    no full read and write of the fact data per refresh, at the price of
+    Bronze following later changes to the landing folder.
     """
 
     merchants_csv: str
@@ -64,6 +68,7 @@ class LayerPaths:
     gold_partition_by: tuple[str, ...] = ()
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
     salt_buckets: int = 0
+    bronze_copy_transactions: bool = True
 
 
 def resolve_layers(requested: Iterable[str]) -> list[str]:
@@ -85,9 +90,12 @@ def run_bronze(spark: SparkSession, paths: LayerPaths) -> None:
     """Land both raw sources verbatim as Bronze tables."""
     ensure_namespaces(spark, paths.root)
     overwrite_table(read_merchants_csv(spark, paths.merchants_csv), T_BRONZE_MERCHANTS, paths.root)
-    overwrite_table(
-        read_transactions_parquet(spark, paths.transactions_parquet), T_BRONZE_TRANSACTIONS, paths.root
-    )
+    if paths.bronze_copy_transactions:
+        overwrite_table(
+            read_transactions_parquet(spark, paths.transactions_parquet), T_BRONZE_TRANSACTIONS, paths.root
+        )
+    else:
+        register_external_parquet(spark, T_BRONZE_TRANSACTIONS, paths.transactions_parquet)
 
 
 def run_silver(spark: SparkSession, paths: LayerPaths) -> None:

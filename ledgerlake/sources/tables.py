@@ -55,3 +55,13 @@ def read_layer_table(spark: SparkSession, table: str, columns: Sequence[str] | N
     """
     df = spark.read.table(table)
     return df.select(*columns) if columns else df
+
+
+def register_external_parquet(spark: SparkSession, table: str, location: str) -> None:
+    """Point ``table`` at existing parquet files without copying them.
+
+    Replaces any previous definition of ``table``; the files stay where they
+    are (dropping an external table leaves them in place).
+    """
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path=location, source="parquet")

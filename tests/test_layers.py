@@ -107,3 +107,19 @@ def test_cli_runs_chosen_layers(spark):
     ])
     assert done == ["bronze", "silver"]
     assert read_layer_table(spark, T_SILVER_MERCHANTS).count() == 9
+
+
+def test_bronze_can_register_instead_of_copy(spark):
+    from dataclasses import replace
+
+    from ledgerlake.sources.tables import T_BRONZE_TRANSACTIONS
+
+    landing = _fresh(spark)
+    paths = replace(stage_testdata_sources(spark, SF_SMALL, landing), bronze_copy_transactions=False)
+    run_layers(spark, paths, ["all"])
+    bronze_files = spark.read.table(T_BRONZE_TRANSACTIONS).inputFiles()
+    assert bronze_files and all(paths.transactions_parquet in f for f in bronze_files)
+    written = read_gold(spark)
+    lazy = gold(spark, SF_SMALL)
+    assert written.count() == 6000
+    assert written.exceptAll(lazy).count() == 0 and lazy.exceptAll(written).count() == 0
