@@ -40,6 +40,28 @@ PATTERNS = {
 }
 
 
+NOTES = """
+## Reading the table
+
+* Every question reads its few columns of Gold **once** (`scans` = 1). `top_city_share`'s second
+  scan is a row count with an empty read schema (parquet footers only). The cells of
+  `cramers_v` and `category_mix_top_cities` are aggregated once and the second use reads the
+  same shuffle (`reused`).
+* Every aggregate is partial + final (`HashAgg` counts come in pairs). The two `SortAgg` pairs
+  are the arg-max aggregates of `popular_merchants` and `dominant_category_by_city`, which sort
+  already-aggregated rows.
+* Rankings carry a partial `WindowGroupLimit` below their shuffle, so a hot key ships ≤ n rows
+  per map task.
+* Broadcasts are bounded: the top-k city list (≤ 6 rows), the row totals in `cramers_v` (one row
+  per city, below Spark's size threshold at run time), and the merchant side of the Gold join
+  (measured exactly, ≤ 256 MiB, else sort-merge).
+* `range shuffles` are the final `orderBy` of a report's small result; `single-partition`
+  shuffles carry one partial row per task into a global aggregate.
+* The merchant de-duplication ships at most one row per merchant id per map task (partial group
+  limit), then keeps one per id.
+"""
+
+
 def _drop_initial_plans(text: str) -> str:
     """Subquery plans print their final and initial plans; keep the final only."""
     out, skip_indent = [], None
@@ -111,7 +133,7 @@ def main(argv):
         counts = [str(len(re.findall(p, plan))) for p in PATTERNS.values()]
         lines.append("| " + " | ".join([f"`{key}`", columns_read(plan)] + counts) + " |")
     with open(out, "w") as fh:
-        fh.write("\n".join(lines) + "\n")
+        fh.write("\n".join(lines) + "\n" + NOTES)
     print(f"wrote {out}")
     spark.stop()
 
