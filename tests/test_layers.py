@@ -55,14 +55,16 @@ def test_csv_binds_by_position_and_reads_empties_as_null(spark):
     header = ",".join(f"h{i}" for i in range(20))  # header names are not enforced
     full = ",".join(["Name A", "M_1", "3"] + [""] * 15 + ["7", "9"])
     short = 'Name B,M_2,""'
+    long = ",".join(["Name C", "M_3", "4"] + ["x"] * 15 + ["8", "1", "extra", "more"])
     with open(path, "w") as fh:
-        fh.write("\n".join([header, full, short]) + "\n")
+        fh.write("\n".join([header, full, short, long]) + "\n")
     df = read_merchants_csv(spark, path)
     assert df.columns == MERCHANT_CSV_COLUMNS
     rows = {r.merchant_id: r for r in df.collect()}
     assert (rows["M_1"].merchant_name, rows["M_1"].city_id, rows["M_1"].state_id) == ("Name A", "7", "9")
     assert rows["M_1"].numerical_1 is None
     assert rows["M_2"].merchant_group_id is None and rows["M_2"].state_id is None
+    assert (rows["M_3"].city_id, rows["M_3"].state_id) == ("8", "1")  # long row truncated
 
 
 def test_run_layers_round_trip_matches_lazy_pipeline(spark):
