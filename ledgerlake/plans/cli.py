@@ -23,6 +23,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--broadcast-max-bytes", type=int, default=DEFAULT_BROADCAST_MAX_BYTES)
     p.add_argument("--gold-partition-by", nargs="*", default=[])
     p.add_argument("--salt-buckets", type=int, default=0)
+    p.add_argument("--catalog-prefix", default="", help="namespace prefix, e.g. 'staging_'")
     p.add_argument("--bronze-register", action="store_true",
                    help="register the landed transaction parquet as Bronze instead of copying it")
     return p.parse_args(argv)
@@ -40,6 +41,7 @@ def main(argv: list[str] | None = None) -> list[str]:
         broadcast_max_bytes=args.broadcast_max_bytes,
         salt_buckets=args.salt_buckets,
         bronze_copy_transactions=not args.bronze_register,
+        catalog_prefix=args.catalog_prefix,
     )
     spark = SparkSession.builder.getOrCreate()
     return run_layers(spark, paths, args.layers)

@@ -69,6 +69,9 @@ class LayerPaths:
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
     salt_buckets: int = 0
     bronze_copy_transactions: bool = True
+    # Catalog namespaces become {prefix}bronze, {prefix}silver, {prefix}gold,
+    # so several pipelines (or test runs) can share one session.
+    catalog_prefix: str = ""
 
 
 def resolve_layers(requested: Iterable[str]) -> list[str]:
@@ -88,40 +91,43 @@ def resolve_layers(requested: Iterable[str]) -> list[str]:
 
 def run_bronze(spark: SparkSession, paths: LayerPaths) -> None:
     """Land both raw sources verbatim as Bronze tables."""
-    ensure_namespaces(spark, paths.root)
-    overwrite_table(read_merchants_csv(spark, paths.merchants_csv), T_BRONZE_MERCHANTS, paths.root)
+    pre = paths.catalog_prefix
+    ensure_namespaces(spark, paths.root, pre)
+    merchants = read_merchants_csv(spark, paths.merchants_csv)
+    overwrite_table(merchants, T_BRONZE_MERCHANTS, paths.root, prefix=pre)
     if paths.bronze_copy_transactions:
-        overwrite_table(
-            read_transactions_parquet(spark, paths.transactions_parquet), T_BRONZE_TRANSACTIONS, paths.root
-        )
+        transactions = read_transactions_parquet(spark, paths.transactions_parquet)
+        overwrite_table(transactions, T_BRONZE_TRANSACTIONS, paths.root, prefix=pre)
     else:
-        register_external_parquet(spark, T_BRONZE_TRANSACTIONS, paths.transactions_parquet)
+        register_external_parquet(spark, T_BRONZE_TRANSACTIONS, paths.transactions_parquet, prefix=pre)
 
 
 def run_silver(spark: SparkSession, paths: LayerPaths) -> None:
     """Clean Bronze into the two Silver tables."""
-    ensure_namespaces(spark, paths.root)
-    merchants = clean_merchants(read_layer_table(spark, T_BRONZE_MERCHANTS))
-    overwrite_table(merchants, T_SILVER_MERCHANTS, paths.root)
-    transactions = clean_transactions(read_layer_table(spark, T_BRONZE_TRANSACTIONS))
-    overwrite_table(transactions, T_SILVER_TRANSACTIONS, paths.root)
+    pre = paths.catalog_prefix
+    ensure_namespaces(spark, paths.root, pre)
+    merchants = clean_merchants(read_layer_table(spark, T_BRONZE_MERCHANTS, prefix=pre))
+    overwrite_table(merchants, T_SILVER_MERCHANTS, paths.root, prefix=pre)
+    transactions = clean_transactions(read_layer_table(spark, T_BRONZE_TRANSACTIONS, prefix=pre))
+    overwrite_table(transactions, T_SILVER_TRANSACTIONS, paths.root, prefix=pre)
 
 
 def run_gold(spark: SparkSession, paths: LayerPaths) -> None:
     """Join Silver into the Gold enriched-transactions table."""
-    ensure_namespaces(spark, paths.root)
+    pre = paths.catalog_prefix
+    ensure_namespaces(spark, paths.root, pre)
     gold = build_gold(
-        read_layer_table(spark, T_SILVER_TRANSACTIONS),
-        read_layer_table(spark, T_SILVER_MERCHANTS),
+        read_layer_table(spark, T_SILVER_TRANSACTIONS, prefix=pre),
+        read_layer_table(spark, T_SILVER_MERCHANTS, prefix=pre),
         broadcast_max_bytes=paths.broadcast_max_bytes,
         salt_buckets=paths.salt_buckets,
     )
-    overwrite_table(gold, T_GOLD_TRANSACTIONS, paths.root, paths.gold_partition_by)
+    overwrite_table(gold, T_GOLD_TRANSACTIONS, paths.root, paths.gold_partition_by, prefix=pre)
 
 
-def read_gold(spark: SparkSession) -> DataFrame:
+def read_gold(spark: SparkSession, prefix: str = "") -> DataFrame:
     """The Gold table, columns in their documented order."""
-    return read_layer_table(spark, T_GOLD_TRANSACTIONS, GOLD_COLUMNS)
+    return read_layer_table(spark, T_GOLD_TRANSACTIONS, GOLD_COLUMNS, prefix=prefix)
 
 
 _RUNNERS = {"bronze": run_bronze, "silver": run_silver, "gold": run_gold}
@@ -135,7 +141,9 @@ def run_layers(spark: SparkSession, paths: LayerPaths, layers: Iterable[str] = (
     return chosen
 
 
-def stage_testdata_sources(spark: SparkSession, sf_dir: str, landing: str) -> LayerPaths:
+def stage_testdata_sources(
+    spark: SparkSession, sf_dir: str, landing: str, catalog_prefix: str = ""
+) -> LayerPaths:
     """Land the adapter-derived raw sources as files, as a source system would.
 
     Merchants become a 20-column header CSV, transactions a parquet folder;
@@ -145,7 +153,7 @@ def stage_testdata_sources(spark: SparkSession, sf_dir: str, landing: str) -> La
     pq_path = f"{landing}/raw/transactions"
     write_merchants_csv(raw_merchants_csv_layout(raw_merchants(spark, sf_dir)), csv_path)
     write_parquet(raw_transactions(spark, sf_dir), pq_path)
-    return LayerPaths(csv_path, pq_path, f"{landing}/warehouse")
+    return LayerPaths(csv_path, pq_path, f"{landing}/warehouse", catalog_prefix=catalog_prefix)
 
 
 def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,10 +161,11 @@ def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Files go to a fresh run folder under the shared folder.
     """
-    landing = f"{shared_dir(spark)}/layers-{uuid.uuid4().hex[:12]}"
-    paths = stage_testdata_sources(spark, sf_dir, landing)
+    run_id = uuid.uuid4().hex[:12]
+    landing = f"{shared_dir(spark)}/layers-{run_id}"
+    paths = stage_testdata_sources(spark, sf_dir, landing, catalog_prefix=f"rt{run_id}_")
     run_layers(spark, paths, ["all"])
-    return read_gold(spark)
+    return read_gold(spark, paths.catalog_prefix)
 
 
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,10 +176,11 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from ..streaming import IncrementalGold, start_incremental_gold
 
-    landing = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
-    paths = stage_testdata_sources(spark, sf_dir, landing)
+    run_id = uuid.uuid4().hex[:12]
+    landing = f"{shared_dir(spark)}/stream-{run_id}"
+    paths = stage_testdata_sources(spark, sf_dir, landing, catalog_prefix=f"st{run_id}_")
     run_layers(spark, paths, ["bronze", "silver"])
-    merchants = read_layer_table(spark, T_SILVER_MERCHANTS)
+    merchants = read_layer_table(spark, T_SILVER_MERCHANTS, prefix=paths.catalog_prefix)
     cfg = IncrementalGold(
         transactions_dir=paths.transactions_parquet,
         gold_path=f"{landing}/gold_stream",

@@ -26,17 +26,25 @@ def table_path(root: str, table: str) -> str:
     return f"{root}/{namespace}/{name}"
 
 
-def ensure_namespaces(spark: SparkSession, root: str) -> None:
+def qualified(table: str, prefix: str = "") -> str:
+    """``bronze.merchants`` → ``{prefix}bronze.merchants`` (own namespaces per prefix)."""
+    return f"{prefix}{table}"
+
+
+def ensure_namespaces(spark: SparkSession, root: str, prefix: str = "") -> None:
     """Create the three layer namespaces (located under ``root``) if absent."""
     for ns in NAMESPACES:
-        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns} LOCATION '{root}/{ns}'")
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {prefix}{ns} LOCATION '{root}/{ns}'")
 
 
 def overwrite_table(
-    df: DataFrame, table: str, root: str, partition_by: Sequence[str] = ()
+    df: DataFrame, table: str, root: str, partition_by: Sequence[str] = (), prefix: str = ""
 ) -> None:
     """Create-or-replace ``table`` from ``df`` as parquet at its path under ``root``.
 
+    The catalog name carries ``prefix`` (see :func:`qualified`); the files go
+    to ``{root}/{namespace}/{table}`` either way.
+
     ``partition_by`` lays the files out in one folder per value, so filters
     on those columns skip whole folders.  Each write task sorts its own rows
     by the partition columns; nothing is shuffled for it.
@@ -44,24 +52,27 @@ def overwrite_table(
     writer = df.write.mode("overwrite").format("parquet").option("path", table_path(root, table))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    writer.saveAsTable(qualified(table, prefix))
 
 
-def read_layer_table(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_layer_table(
+    spark: SparkSession, table: str, columns: Sequence[str] | None = None, prefix: str = ""
+) -> DataFrame:
     """Scan a layer table by name (lazy; pruning and pushdown reach the files).
 
     ``columns`` restores a column order (a partitioned table lists its
     partition columns last).
     """
-    df = spark.read.table(table)
+    df = spark.read.table(qualified(table, prefix))
     return df.select(*columns) if columns else df
 
 
-def register_external_parquet(spark: SparkSession, table: str, location: str) -> None:
+def register_external_parquet(spark: SparkSession, table: str, location: str, prefix: str = "") -> None:
     """Point ``table`` at existing parquet files without copying them.
 
     Replaces any previous definition of ``table``; the files stay where they
     are (dropping an external table leaves them in place).
     """
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=location, source="parquet")
+    name = qualified(table, prefix)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=location, source="parquet")

@@ -125,3 +125,10 @@ def test_bronze_can_register_instead_of_copy(spark):
     lazy = gold(spark, SF_SMALL)
     assert written.count() == 6000
     assert written.exceptAll(lazy).count() == 0 and lazy.exceptAll(written).count() == 0
+
+
+def test_two_registered_round_trips_share_a_session(spark):
+    first = layer_round_trip(spark, SF_SMALL)
+    second = layer_round_trip(spark, SF_SMALL)  # own namespaces: does not replace the first
+    assert first.count() == second.count() == 6000
+    assert first.inputFiles() != second.inputFiles()
