@@ -1,10 +1,12 @@
-"""spark-submit entry point for the layer jobs.
+"""Command line for the layer jobs.
 
-    spark-submit -m ledgerlake.plans.cli --layers all \\
+    python -m ledgerlake.plans.cli --layers all \\
         --merchants-csv s3://…/merchants.csv --transactions s3://…/txns/ --root s3://…/warehouse
 
-Uses the session spark-submit provides (``getOrCreate``); the layers run in
-canonical order whatever order they are given in.
+On a cluster, submit ``scripts/run_layers.py`` (same arguments) with the
+package on ``--py-files``.  Uses the session the launcher provides
+(``getOrCreate``); the layers run in canonical order whatever order they are
+given in.
 """
 
 from __future__ import annotations
