@@ -62,6 +62,10 @@ NOTES = """
 """
 
 
+# Plans printed in full after the table.
+APPENDIX_KEYS = ["top_merchants_by_city_month", "cramers_v", "gold join (layer job, sized broadcast)"]
+
+
 def _drop_initial_plans(text: str) -> str:
     """Subquery plans print their final and initial plans; keep the final only."""
     out, skip_indent = [], None
@@ -128,12 +132,18 @@ def main(argv):
         "| " + " | ".join(header) + " |",
         "| " + " | ".join("---" for _ in header) + " |",
     ]
+    plans = {}
     for key, build in jobs.items():
         plan = final_plan(build())
+        plans[key] = plan
         counts = [str(len(re.findall(p, plan))) for p in PATTERNS.values()]
         lines.append("| " + " | ".join([f"`{key}`", columns_read(plan)] + counts) + " |")
+    appendix = ["", "## Appendix: executed plans", ""]
+    for key in APPENDIX_KEYS:
+        text = "\n".join(line[:220] for line in plans[key].splitlines())
+        appendix += [f"### `{key}`", "", "```", text, "```", ""]
     with open(out, "w") as fh:
-        fh.write("\n".join(lines) + "\n" + NOTES)
+        fh.write("\n".join(lines) + "\n" + NOTES + "\n".join(appendix))
     print(f"wrote {out}")
     spark.stop()
 
