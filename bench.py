@@ -97,12 +97,17 @@ def main() -> None:
     jobs = {key: (lambda op=op: op(gold)) for key, op in GOLD_OPS.items()}
     jobs.update(cross_layer)
 
+    errors: dict[str, str] = {}
     for key, build in jobs.items():
         best = float("inf")
-        for _ in range(repeats):
-            t0 = time.perf_counter()
-            build().collect()
-            best = min(best, time.perf_counter() - t0)
+        try:
+            for _ in range(repeats):
+                t0 = time.perf_counter()
+                build().collect()
+                best = min(best, time.perf_counter() - t0)
+        except Exception as exc:  # keep timing the others; report the failure
+            errors[key] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            continue
         timings[key] = best
 
     total = sum(v for k, v in timings.items() if k != "stage_sources")
@@ -116,6 +121,7 @@ def main() -> None:
                 "sf": _sf_of(sf_dir),
                 "cpus": cpus,
                 "spark": spark.version,
+                **({"errors": errors} if errors else {}),
             }
         )
     )
