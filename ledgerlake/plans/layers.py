@@ -10,7 +10,8 @@ layer rather than recomputing the whole chain.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,27 +90,52 @@ def resolve_layers(requested: Iterable[str]) -> list[str]:
     return [layer for layer in LAYERS if layer in requested]
 
 
+def _run_together(*jobs: Callable[[], None]) -> None:
+    """Run independent table writes as concurrent Spark jobs.
+
+    The merchant and transaction tables of a layer do not depend on each
+    other; submitting both at once lets the small merchant job run in the
+    cluster's spare slots instead of after the big one.  The first failure is
+    raised.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for future in [pool.submit(job) for job in jobs]:
+            future.result()
+
+
 def run_bronze(spark: SparkSession, paths: LayerPaths) -> None:
     """Land both raw sources verbatim as Bronze tables."""
     pre = paths.catalog_prefix
     ensure_namespaces(spark, paths.root, pre)
-    merchants = read_merchants_csv(spark, paths.merchants_csv)
-    overwrite_table(merchants, T_BRONZE_MERCHANTS, paths.root, prefix=pre)
-    if paths.bronze_copy_transactions:
-        transactions = read_transactions_parquet(spark, paths.transactions_parquet)
-        overwrite_table(transactions, T_BRONZE_TRANSACTIONS, paths.root, prefix=pre)
-    else:
-        register_external_parquet(spark, T_BRONZE_TRANSACTIONS, paths.transactions_parquet, prefix=pre)
+
+    def merchants() -> None:
+        raw = read_merchants_csv(spark, paths.merchants_csv)
+        overwrite_table(raw, T_BRONZE_MERCHANTS, paths.root, prefix=pre)
+
+    def transactions() -> None:
+        if paths.bronze_copy_transactions:
+            raw = read_transactions_parquet(spark, paths.transactions_parquet)
+            overwrite_table(raw, T_BRONZE_TRANSACTIONS, paths.root, prefix=pre)
+        else:
+            register_external_parquet(spark, T_BRONZE_TRANSACTIONS, paths.transactions_parquet, prefix=pre)
+
+    _run_together(merchants, transactions)
 
 
 def run_silver(spark: SparkSession, paths: LayerPaths) -> None:
     """Clean Bronze into the two Silver tables."""
     pre = paths.catalog_prefix
     ensure_namespaces(spark, paths.root, pre)
-    merchants = clean_merchants(read_layer_table(spark, T_BRONZE_MERCHANTS, prefix=pre))
-    overwrite_table(merchants, T_SILVER_MERCHANTS, paths.root, prefix=pre)
-    transactions = clean_transactions(read_layer_table(spark, T_BRONZE_TRANSACTIONS, prefix=pre))
-    overwrite_table(transactions, T_SILVER_TRANSACTIONS, paths.root, prefix=pre)
+
+    def merchants() -> None:
+        clean = clean_merchants(read_layer_table(spark, T_BRONZE_MERCHANTS, prefix=pre))
+        overwrite_table(clean, T_SILVER_MERCHANTS, paths.root, prefix=pre)
+
+    def transactions() -> None:
+        clean = clean_transactions(read_layer_table(spark, T_BRONZE_TRANSACTIONS, prefix=pre))
+        overwrite_table(clean, T_SILVER_TRANSACTIONS, paths.root, prefix=pre)
+
+    _run_together(merchants, transactions)
 
 
 def run_gold(spark: SparkSession, paths: LayerPaths) -> None:
