@@ -177,8 +177,10 @@ def stage_testdata_sources(
     """
     csv_path = f"{landing}/raw/merchants_csv"
     pq_path = f"{landing}/raw/transactions"
-    write_merchants_csv(raw_merchants_csv_layout(raw_merchants(spark, sf_dir)), csv_path)
-    write_parquet(raw_transactions(spark, sf_dir), pq_path)
+    _run_together(
+        lambda: write_merchants_csv(raw_merchants_csv_layout(raw_merchants(spark, sf_dir)), csv_path),
+        lambda: write_parquet(raw_transactions(spark, sf_dir), pq_path),
+    )
     return LayerPaths(csv_path, pq_path, f"{landing}/warehouse", catalog_prefix=catalog_prefix)
 
 
