@@ -83,3 +83,16 @@ def test_every_operator_is_independent_of_partitioning(spark, gold_table, key):
         assert run(1) == run(7)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("key", sorted(GOLD_OPS))
+def test_every_operator_scans_gold_once(gold_table, key):
+    """After AQE, each question reads Gold once; second uses reuse the shuffle."""
+    import os
+    import sys
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
+    from plan_summary import final_plan
+
+    plan = final_plan(GOLD_OPS[key](gold_table))
+    assert len(re.findall(r"FileScan parquet", plan)) == 1, plan
