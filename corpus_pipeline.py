@@ -1,22 +1,49 @@
-"""Corpus pipeline: stages over the documents table, each written and read again."""
+"""Corpus pipeline: quality rules, exact dedup, SimHash near-dedup, secret scan, packing.
+
+Each stage takes what its predecessor kept, written as Parquet and read again.
+All but the last return the columns of ``documents``: rejected documents and
+all but one of a group of copies go, confirmed secrets are replaced in the
+text.  The last returns the packed pieces of what is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm.common import documents, written
+from ledgerlake.llm.filters import drop_exact_copies, drop_near_copies, keep_good
 from ledgerlake.llm.packing import pack_documents
+from ledgerlake.llm.quality_rules import quality_labels
+from ledgerlake.llm.secret_scan import fit_on_corpus, redact
+from ledgerlake.llm.simhash import MAX_BITS, SHINGLE_WORDS
 from ledgerlake.llm.word_tokens import vocabulary_path
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, as pieces placed in sequences."""
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_good(docs, quality_labels(spark, sf_dir))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_exact_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_copies(docs, SHINGLE_WORDS, MAX_BITS)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    dictionary = vocabulary_path()
+    return redact(docs, fit_on_corpus(docs, dictionary), dictionary)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, vocabulary_path())
 
 
-STAGES = [("best-fit packing", best_fit_packing)]
+STAGES = [("quality rules", quality), ("exact dedup", exact_dedup), ("simhash near-dedup", near_dedup),
+          ("secret scan", secrets), ("best-fit packing", packing)]
 
-# Token ids are beyond SQL; the tests hold the run against a brute-force version.
+# SQL has neither the forest nor the token ids: tests hold the run against a brute-force version.
 ORACLE_SQL = None
 
 

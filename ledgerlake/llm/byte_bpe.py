@@ -25,6 +25,7 @@ from .segments import PieceEncoder, spaced_words
 
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 BATCH_BYTES = 12 << 20
+CACHED_WORDS = 300_000
 _loaded: dict[tuple[str, str], "ByteBpe"] = {}
 
 
@@ -258,7 +259,7 @@ class ByteBpe:
 
     def _pieces(self, pieces: list[bytes]) -> list[bytes]:
         words = self.words
-        if len(words) > 700_000:
+        if len(words) > CACHED_WORDS:
             words.clear()
         split = [[w.encode() for w in self.pattern.findall(p.decode("utf-8"))] for p in pieces]
         new = list({w for ws in split for w in ws if w not in words})

@@ -3,13 +3,27 @@
 from __future__ import annotations
 
 from .byte_bpe import op6_byte_bpe
+from .exact_dedup import OP5_SQL, op5_exact_dedup
+from .line_dedup import op1_fuzzy_lines
 from .packing import op4_packing
+from .quality_rules import op8_quality_rules
+from .secret_scan import op3_secret_scan
+from .sharding import op7_sharding
+from .simhash import op10_simhash
+from .suffix_dedup import op9_suffix_dedup
 from .token_store import op2_token_store
 
 QUERIES = {
+    "op1_fuzzy_lines": op1_fuzzy_lines,
     "op2_token_store": op2_token_store,
+    "op3_secret_scan": op3_secret_scan,
     "op4_packing": op4_packing,
+    "op5_exact_dedup": op5_exact_dedup,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_sharding": op7_sharding,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
