@@ -1,0 +1,74 @@
+"""Secret scan: held-out accuracy, odd rows, redaction."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlake.llm import secret_scan
+from ledgerlake.llm.word_tokens import vocabulary_path
+
+SECRET = re.compile(r"""token = "([0-9a-f]{40})\"""", re.I)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def forest(docs):
+    return secret_scan.fit_on_corpus(docs.where("doc_id % 2 = 0"), vocabulary_path())
+
+
+def test_held_out_accuracy(docs, forest):
+    """Trained on even ids, judged on odd ones, where the plain pattern knows the truth."""
+    held = docs.where("doc_id % 2 = 1")
+    found = secret_scan.scan(held, forest, vocabulary_path()).where("is_secret").collect()
+    want = sorted((r.doc_id, m.group(1)) for r in held.collect() for m in SECRET.finditer(r.text))
+    assert want and sorted((r.doc_id, r.finding) for r in found) == want
+
+
+def test_places_are_bytes(docs, forest):
+    texts = {r.doc_id: r.text.encode() for r in docs.collect()}
+    for r in secret_scan.scan(docs, forest, vocabulary_path()).collect():
+        assert texts[r.doc_id][r.begin : r.end].decode() == r.finding
+
+
+def test_redaction_keeps_all_else(docs, forest):
+    left = {r.doc_id: r for r in secret_scan.redact(docs, forest, vocabulary_path()).collect()}
+    for r in docs.collect():
+        assert left[r.doc_id].text == SECRET.sub('token = "[SECRET]"', r.text) or r.text.upper() == r.text
+        assert left[r.doc_id].source == r.source
+    assert len(left) == docs.count()
+
+
+def test_odd_rows(odd, empty, forest):
+    found = secret_scan.scan(odd, forest, vocabulary_path())
+    secrets = found.where("is_secret").collect()
+    assert [r.doc_id for r in secrets] == [12]
+    left = secret_scan.redact(odd, forest, vocabulary_path())
+    assert left.columns == odd.columns and left.dtypes == odd.dtypes
+    assert left.where("text IS NULL").count() == odd.where("text IS NULL").count() and left.count() == odd.count()
+    assert "[SECRET]" in left.where("doc_id = 12").first().text
+    assert secret_scan.scan(empty, forest, vocabulary_path()).count() == 0
+
+
+def test_without_labels_nothing_is_a_secret(spark, odd):
+    none = spark.createDataFrame([], "features array<double>, label double")
+    forest = secret_scan.train_forest(none)
+    assert secret_scan.scan(odd, forest, vocabulary_path()).where("is_secret").count() == 0
+
+
+def test_trees_as_arrays_decide_like_the_model(spark, docs):
+    labelled = secret_scan.label_by_rule(secret_scan.findings(docs, vocabulary_path()))
+    counts = {r.label: r["count"] for r in labelled.groupBy("label").count().collect()}
+    assert counts[1.0] >= 5 and counts[0.0] >= 20
+    assert secret_scan.bounded_sample(labelled, 4).count() == 8
+    marked = labelled.withColumn("label", F.when(F.get("features", F.lit(0)) > 17, 1.0).otherwise(0.0))
+    trained = secret_scan.train_forest(marked, trees=5)
+    scanned = secret_scan.scan(docs, trained, vocabulary_path()).collect()
+    assert all((len(r.finding) > 17) == r.is_secret for r in scanned)
