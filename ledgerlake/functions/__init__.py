@@ -6,8 +6,8 @@ so they stay inside whole-stage codegen and behave the same whether
 """
 
 from .casts import lenient_double, lenient_int, parse_timestamp, to_int_column
-from .labels import UNKNOWN_CATEGORY, clean_category, hour_label, month_key, month_label
-from .money import money_mean, money_sum, money_sum_exact, money_total
+from .labels import UNKNOWN_CATEGORY, clean_category, hour_label, month_key, month_label, month_label_of
+from .money import money_mean, money_parts, money_sum, money_value
 from .profit import DEFAULT_PROFIT_MODEL, ProfitModel, default_probability, profit_factor
 
 __all__ = [
@@ -20,11 +20,12 @@ __all__ = [
     "lenient_double",
     "lenient_int",
     "money_mean",
+    "money_parts",
     "money_sum",
-    "money_sum_exact",
-    "money_total",
+    "money_value",
     "month_key",
     "month_label",
+    "month_label_of",
     "parse_timestamp",
     "profit_factor",
     "to_int_column",

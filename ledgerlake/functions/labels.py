@@ -30,6 +30,15 @@ def month_label(ts: Column) -> Column:
     return F.date_format(ts, MONTH_LABEL_FORMAT)
 
 
+def month_label_of(key: Column) -> Column:
+    """Label of a ``yyyymm`` key: 201710 → ``Oct 2017``; NULL stays NULL.
+
+    A label follows from its key, so grouping by the key alone is enough.
+    """
+    day = F.make_date(F.floor(key / 100).cast("int"), (key % 100).cast("int"), F.lit(1))
+    return F.date_format(day, MONTH_LABEL_FORMAT)
+
+
 def hour_label(hour: Column) -> Column:
     """24-hour clock label: 8 → ``0800``, 13 → ``1300``; NULL stays NULL."""
     return F.lpad((hour * F.lit(100)).cast("string"), HOUR_LABEL_WIDTH, "0")

@@ -11,8 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import money_sum
-from ..functions.money import money_out_of_scale
+from ..functions import money_sum, month_label_of
+from ..functions.money import money_off_grid
 
 
 def _distinct_with_null(c: str) -> Column:
@@ -63,9 +63,10 @@ def distinct_profile(gold: DataFrame) -> DataFrame:
 def month_profile(gold: DataFrame) -> DataFrame:
     """Rows per calendar month, in month order."""
     return (
-        gold.groupBy("txn_month_key", "txn_month_label")
+        gold.groupBy("txn_month_key")
         .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("txn_month_key", "txn_month_label")
+        .select("txn_month_key", month_label_of(F.col("txn_month_key")).alias("txn_month_label"), "n")
+        .orderBy("txn_month_key")
     )
 
 
@@ -97,10 +98,10 @@ def join_fanout_check(silver_transactions: DataFrame, gold: DataFrame) -> DataFr
 
 
 def amount_scale_check(gold: DataFrame) -> DataFrame:
-    """Rows, NULL amounts, and amounts the exact money sum cannot hold."""
+    """Rows, NULL amounts, and amounts that money sums add as plain doubles."""
     amt = F.col("purchase_amount")
     return gold.agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(amt.isNull(), F.lit(1))).alias("null_amounts"),
-        money_out_of_scale(amt).alias("out_of_scale"),
+        money_off_grid(amt).alias("out_of_scale"),
     )

@@ -1,9 +1,7 @@
 """Figures the published findings state in prose, as operators over Gold.
 
-Grand totals are one-row scalar subqueries (``DataFrame.scalar()``) — bounded
-to one value, no cross join — or, where the rows being totalled are already an
-aggregate over a small dimension (one row per category), a window sum over
-that aggregate.  No window ever runs over Gold's rows.
+Grand totals are one-row scalar subqueries (``DataFrame.scalar()``): bounded to
+one value, no cross join.  The only window runs over the k rows of a top-k.
 """
 
 from __future__ import annotations
@@ -15,7 +13,8 @@ from ..functions import (
     DEFAULT_PROFIT_MODEL,
     ProfitModel,
     default_probability,
-    money_sum_exact,
+    money_parts,
+    money_value,
     profit_factor,
 )
 from .scorecards import monthly_seasonality
@@ -26,15 +25,15 @@ SHARE_DECIMALS = 9
 def revenue_share_by_category(gold: DataFrame) -> DataFrame:
     """Revenue and its share of all revenue, per category.
 
-    The total is a window sum over the per-category aggregate — one row per
-    category, a small dimension — so Gold is scanned once.
+    The total is a scalar subquery that adds the parts of the per-category
+    sums, so it is as exact as they are and Spark reuses their shuffle.
     """
-    per_cat = gold.groupBy("category").agg(money_sum_exact(F.col("purchase_amount")).alias("d"))
-    total = F.sum("d").over(Window.partitionBy()).cast("double")
+    sums = money_parts(F.col("purchase_amount"))
+    per_cat = gold.groupBy("category").agg(*[part.alias(name) for name, part in sums.items()])
+    revenue = money_value({name: F.col(name) for name in sums})
+    total = per_cat.select(money_value({name: F.sum(name) for name in sums})).scalar()
     return per_cat.select(
-        "category",
-        F.col("d").cast("double").alias("revenue"),
-        F.round(F.col("d").cast("double") / total, SHARE_DECIMALS).alias("share"),
+        "category", revenue.alias("revenue"), F.round(F.try_divide(revenue, total), SHARE_DECIMALS).alias("share")
     ).orderBy(F.col("revenue").desc(), F.col("category"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import DEFAULT_PROFIT_MODEL, ProfitModel, money_mean, money_sum, profit_factor
+from ..functions import DEFAULT_PROFIT_MODEL, ProfitModel, money_mean, money_sum, month_label_of, profit_factor
 
 
 def _revenue_txns():
@@ -39,8 +39,11 @@ def category_scorecard(gold: DataFrame) -> DataFrame:
 
 def monthly_seasonality(gold: DataFrame) -> DataFrame:
     """Revenue and transactions per calendar month, in month order."""
-    return gold.groupBy("txn_month_key", "txn_month_label").agg(*_revenue_txns()).orderBy(
-        "txn_month_key", "txn_month_label"
+    return (
+        gold.groupBy("txn_month_key")
+        .agg(*_revenue_txns())
+        .select("txn_month_key", month_label_of(F.col("txn_month_key")).alias("txn_month_label"), "revenue", "txns")
+        .orderBy("txn_month_key")
     )
 
 
@@ -56,12 +59,7 @@ def installment_profit(gold: DataFrame, model: ProfitModel = DEFAULT_PROFIT_MODE
     ``expected_profit`` = factor × revenue and ``cash_profit`` = margin ×
     revenue, both rounded to whole units.
     """
-    pf = profit_factor(F.col("installments"), model)
-    return (
-        gold.groupBy("installments")
-        .agg(*_revenue_txns())
-        .withColumn("profit_factor", pf)
-        .withColumn("expected_profit", F.round(F.col("profit_factor") * F.col("revenue"), 0))
-        .withColumn("cash_profit", F.round(F.lit(float(model.margin)) * F.col("revenue"), 0))
-        .orderBy("installments")
-    )
+    per_plan = gold.groupBy("installments").agg(*_revenue_txns())
+    factors = {"expected_profit": profit_factor(F.col("installments"), model), "cash_profit": F.lit(float(model.margin))}
+    profits = [F.round(factor * F.col("revenue"), 0).alias(name) for name, factor in factors.items()]
+    return per_plan.select("*", factors["expected_profit"].alias("profit_factor"), *profits).orderBy("installments")

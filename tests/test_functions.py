@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import random
 from decimal import Decimal
 
 import pytest
@@ -19,11 +20,14 @@ from ledgerlake.functions import (
     hour_label,
     lenient_int,
     money_mean,
+    money_parts,
     money_sum,
+    money_value,
+    month_label_of,
     parse_timestamp,
     profit_factor,
 )
-from ledgerlake.functions.money import money_out_of_scale
+from ledgerlake.functions.money import money_off_grid
 
 INT_CASES = [
     ("12", 12),
@@ -157,12 +161,72 @@ def test_money_mean_ignores_null_and_keeps_empty_null(spark):
     assert got == {"a": 15.0, "b": None}
 
 
-def test_infinite_amounts_are_counted_as_out_of_scale(spark):
-    df = spark.createDataFrame([(1.0,), (float("inf"),), (None,), (2.5,)], "x double")
-    row = df.agg(money_sum(F.col("x")).alias("s"), money_out_of_scale(F.col("x")).alias("bad")).first()
-    assert row.s == 3.5 and row.bad == 1
-    plain = df.agg(money_sum(F.col("x"), scale=None).alias("s")).first().s
-    assert math.isinf(plain)
+INF, NAN = float("inf"), float("nan")
+
+
+@pytest.mark.parametrize("mode", [True, False])
+@pytest.mark.parametrize("amounts, total, mean", [
+    ([10.0, INF], INF, INF),
+    ([INF, -INF], NAN, NAN),
+    ([NAN, 2.0], NAN, NAN),
+    ([1e-12] * 1000, 1e-9, 1e-12),
+    ([1e30, 5.25], 1e30, 5e29),
+    ([1e300, 1e300], 2e300, 1e300),
+    ([None, 7.5], 7.5, 7.5),
+    ([None, None], None, None),
+    ([0.0, -0.0], 0.0, 0.0),
+])
+def test_no_amount_is_left_out(spark, ansi, mode, amounts, total, mean):
+    ansi(mode)
+    df = spark.createDataFrame([(v,) for v in amounts], "x double").repartition(3)
+    row = df.agg(money_sum(F.col("x")).alias("s"), money_mean(F.col("x")).alias("m")).first()
+    for got, want in ((row.s, total), (row.m, mean)):
+        assert got is None and want is None or math.isnan(got) and math.isnan(want) or got == pytest.approx(want, rel=1e-12)
+
+
+@pytest.mark.parametrize("magnitude", [1, 10**4, 4 * 10**7])
+@pytest.mark.parametrize("decimals", [0, 2, 8])
+def test_range_in_which_sums_are_exact(spark, magnitude, decimals):
+    rnd = random.Random(magnitude + decimals)
+    texts = [f"{rnd.uniform(-magnitude, magnitude):.{decimals}f}" for _ in range(4000)]
+    df = spark.createDataFrame([(float(t),) for t in texts], "x double")
+    sums = {df.repartition(parts).agg(money_sum(F.col("x"))).first()[0] for parts in (1, 5, 13)}
+    assert sums == {float(sum(map(Decimal, texts)))}
+    assert df.agg(money_off_grid(F.col("x"))).first()[0] == 0
+
+
+def test_very_large_totals_of_the_exact_part(spark):
+    """Far beyond a BIGINT of hundred-millionths: 2^20 rows of 1.3e8 and their decimals."""
+    df = spark.range(1 << 20).select(F.lit(134217727.75).alias("x"))
+    assert df.agg(money_sum(F.col("x"))).first()[0] == 134217727.75 * (1 << 20)
+
+
+def test_off_grid_amounts_are_counted(spark):
+    df = spark.createDataFrame([(1.0,), (INF,), (None,), (2.5,), (1e-12,), (2.0**27,), (NAN,)], "x double")
+    assert df.agg(money_off_grid(F.col("x"))).first()[0] == 4
+
+
+def test_parts_of_groups_add_up(spark):
+    df = spark.createDataFrame([(i % 3, i / 8) for i in range(50)] + [(0, INF)], "g int, x double")
+    per = df.groupBy("g").agg(*[c.alias(n) for n, c in money_parts(F.col("x")).items()])
+    names = list(money_parts(F.col("x")))
+    assert per.select(money_value({n: F.sum(n) for n in names})).first()[0] == INF
+    finite = per.where("g > 0").select(money_value({n: F.sum(n) for n in names})).first()[0]
+    assert finite == sum(i / 8 for i in range(50) if i % 3)
+
+
+def test_month_label_of_a_key(spark):
+    df = spark.createDataFrame([(201612,), (199901,), (None,)], "k int")
+    assert [r[0] for r in df.select(month_label_of(F.col("k"))).collect()] == ["Dec 2016", "Jan 1999", None]
+
+
+@pytest.mark.parametrize("text", ["\t12.0", " \n-3\r", "\x0b7.9\x0c", "\x1f4", "\u00a05", "\t", "1 2"])
+def test_blanks_are_those_of_a_cast(spark, ansi, text):
+    ansi(False)
+    df = spark.createDataFrame([(text,)], "s string")
+    plain = df.select(F.col("s").cast("int")).first()[0]
+    ansi(True)
+    assert df.select(lenient_int(F.col("s"))).first()[0] == plain
 
 
 def _python_factor(n, model: ProfitModel):
