@@ -1,6 +1,6 @@
 """Operators: ``DataFrame -> DataFrame`` functions, all lazy."""
 
-from .association import category_mix_top_cities, contingency, cramers_v, dominant_category_by_city
+from .association import category_mix_top_cities, contingency, cramers_v, cramers_v_of_cells, dominant_category_by_city
 from .cleaning import build_gold, clean_merchants, clean_transactions
 from .quality import (
     amount_scale_check,
@@ -20,7 +20,6 @@ from .questions import (
     q2_robust_top_per_state,
     q3_top_hours_by_category,
     q4_popular_merchants,
-    q4_popular_merchants_by_city,
 )
 from .joins import broadcast_if_small, measured_bytes
 from .ranking import first_per_key, preview, top_n_per_group

@@ -1,17 +1,17 @@
 """Association between two categorical columns, computed inside Spark.
 
 ``cramers_v`` needs no pivot and no driver round trip.  With cell counts
-``o_ij``, row totals ``r_i``, column totals ``c_j`` and ``N`` rows,
+``o_ij``, row totals ``r_i``, column totals ``c_j``, ``N`` rows and
+``e_ij = r_i · c_j / N``,
 
-    χ² = N · (Σ_ij o_ij² / (r_i · c_j) − 1),   V = √(χ² / N / min(r − 1, k − 1)).
+    χ² = Σ_observed (o_ij − e_ij)² / e_ij + Σ_never observed e_ij,
+    V = √(χ² / N / min(r − 1, k − 1)).
 
-Cells that never occur add nothing to the sum, so only observed cells are
-visited.  The sum is regrouped as Σ_j (1/c_j) · Σ_i o_ij²/r_i: one join of the
-cells with their row totals (an aggregate of the cells; AQE reuses the cells'
-shuffle and broadcasts the totals when they are small), then an *aggregate*
-per column value (partial aggregation, safe for a column value that holds
-most of the cells), then a one-row aggregate.  Gold is scanned once; no cross
-join and no unpartitioned window.
+Every term is positive, so nothing cancels however large ``N`` is.  The cells
+that never occur are not listed: those of a row value together expect
+``r_i · (N − Σ_observed c_j) / N``, a difference of exact integers.  Gold is
+scanned once; the row and column totals are aggregates of the cells and reuse
+their shuffle.
 """
 
 from __future__ import annotations
@@ -31,41 +31,38 @@ def cramers_v(df: DataFrame, a: str = "city_id", b: str = "category") -> DataFra
     Rows with a NULL in either column are left out (a pivot drops NULL keys).
     ``r`` or ``k`` equal to 1 gives a NULL V.
     """
-    cells = (
-        df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-        .groupBy(a, b)
-        .agg(F.count(F.lit(1)).cast("double").alias("o"))
-    )
-    # Per row value: its total and its number of observed cells.  Each cell
-    # then carries 1 / (cells in its row); those shares add up to exactly one
-    # per row, so their sum, rounded, is r — no second scan to count rows.
-    rows = cells.groupBy(a).agg(F.sum("o").alias("r_i"), F.count(F.lit(1)).alias("cells_i"))
-    per_col = (
+    return cramers_v_of_cells(contingency(df.where(F.col(a).isNotNull() & F.col(b).isNotNull()), a, b), a, b)
+
+
+def cramers_v_of_cells(cells: DataFrame, a: str, b: str) -> DataFrame:
+    """:func:`cramers_v` of a contingency table (a, b, n) without NULL keys."""
+    rows = cells.groupBy(a).agg(F.sum("n").alias("r_i"))
+    cols = cells.groupBy(b).agg(F.sum("n").alias("c_j"))
+    whole = cols.select(F.struct(F.sum("c_j").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
+    total = F.col("whole.n")
+    per_row = (
         cells.join(rows, on=a)
-        .groupBy(b)
+        .join(cols, on=b)
+        .withColumn("whole", whole)
+        .withColumn("e", F.col("r_i").cast("double") * F.col("c_j") / total)
+        .groupBy(a)
         .agg(
-            F.sum(F.col("o") * F.col("o") / F.col("r_i")).alias("s_j"),
-            F.sum("o").alias("c_j"),
-            F.sum(F.lit(1.0) / F.col("cells_i")).alias("row_share_j"),
+            F.sum((F.col("n") - F.col("e")) * (F.col("n") - F.col("e")) / F.col("e")).alias("seen"),
+            F.sum("c_j").alias("seen_c"),
+            F.max("r_i").alias("r_i"),
+            F.max("whole").alias("whole"),
         )
     )
-    out = per_col.agg(
-        F.sum("c_j").alias("n"),
-        F.round(F.sum("row_share_j")).cast("long").alias("r"),
-        F.count(F.lit(1)).alias("k"),
-        F.sum(F.col("s_j") / F.col("c_j")).alias("phi1"),
-    )
-    excess = F.col("phi1") - F.lit(1.0)
-    dof = F.least(F.col("r") - 1, F.col("k") - 1)
-    return out.select(
-        "n",
-        "r",
-        "k",
-        F.round(F.col("n") * excess, 6).alias("chi2"),
-        F.round(F.sqrt(F.try_divide(F.greatest(excess, F.lit(0.0)), dof.cast("double"))), 9).alias(
-            "cramers_v"
-        ),
+    unseen = F.col("r_i").cast("double") * (total - F.col("seen_c")) / total
+    out = per_row.agg(
+        F.max(total).cast("double").alias("n"),
+        F.coalesce(F.max("whole.k"), F.lit(0).cast("long")).alias("k"),
+        F.count(F.lit(1)).alias("r"),
+        (F.sum("seen") + F.sum(unseen)).alias("x2"),
     )
+    dof = F.least(F.col("r") - 1, F.col("k") - 1).cast("double")
+    v = F.sqrt(F.try_divide(F.col("x2"), F.col("n") * dof))
+    return out.select("n", "r", "k", F.round("x2", 6).alias("chi2"), F.round(v, 9).alias("cramers_v"))
 
 
 def category_mix_top_cities(gold: DataFrame, top: int = 6) -> DataFrame:

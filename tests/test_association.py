@@ -14,6 +14,7 @@ from ledgerlake.operators import (
     category_mix_top_cities,
     contingency,
     cramers_v,
+    cramers_v_of_cells,
     dominant_category_by_city,
 )
 
@@ -67,6 +68,35 @@ def test_perfect_association_is_one(spark):
     assert cramers_v(_frame(spark, pairs)).first().cramers_v == pytest.approx(1.0)
 
 
+def test_chi2_is_stable_at_very_large_counts(spark):
+    """Cell counts of a 10^12-row table: any order of rows and partitions gives the exact figure."""
+    from fractions import Fraction
+
+    rnd = random.Random(3)
+    cells = {(a, b): 10**12 // 307 // 4 + rnd.randint(-2_000_000, 2_000_000) for a in range(307) for b in "ABCD"}
+    del cells[5, "A"], cells[9, "C"]
+    r, c, n = {}, {}, sum(cells.values())
+    for (a, b), o in cells.items():
+        r[a] = r.get(a, 0) + o
+        c[b] = c.get(b, 0) + o
+    exact = sum((Fraction(cells.get((a, b), 0)) - Fraction(r[a] * c[b], n)) ** 2 / Fraction(r[a] * c[b], n) for a in r for b in c)
+    rows = [(a, b, o) for (a, b), o in cells.items()]
+    found = set()
+    for parts in (1, 3, 11):
+        rnd.shuffle(rows)
+        counted = spark.createDataFrame(rows, "city_id int, category string, n long").repartition(parts)
+        row = cramers_v_of_cells(counted, "city_id", "category").first()
+        assert (row.n, row.r, row.k) == (n, 307, 4)
+        assert row.chi2 == pytest.approx(float(exact), rel=1e-12)
+        found.add((row.chi2, row.cramers_v))
+    assert len({v for _, v in found}) == 1
+
+
+def test_nothing_to_associate(spark):
+    row = cramers_v(_frame(spark, [(None, "A"), (1, None)])).first()
+    assert row.cramers_v is None and row.r == 0 and row.k == 0
+
+
 def test_contingency_is_long_form(spark):
     pairs = [(1, "A"), (1, "A"), (2, "B"), (None, "A")]
     got = {(r.city_id, r.category): r.n for r in contingency(_frame(spark, pairs), "city_id", "category").collect()}
