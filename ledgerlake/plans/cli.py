@@ -24,6 +24,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--root", required=True, help="shared folder for the layer tables")
     p.add_argument("--broadcast-max-bytes", type=int, default=DEFAULT_BROADCAST_MAX_BYTES)
     p.add_argument("--gold-partition-by", nargs="*", default=[])
+    p.add_argument("--gold-cluster-files", type=int, default=0, help="cluster Gold by month and city into this many files")
     p.add_argument("--salt-buckets", type=int, default=0)
     p.add_argument("--catalog-prefix", default="", help="namespace prefix, e.g. 'staging_'")
     p.add_argument("--bronze-register", action="store_true",
@@ -42,6 +43,7 @@ def main(argv: list[str] | None = None) -> list[str]:
         gold_partition_by=tuple(args.gold_partition_by),
         broadcast_max_bytes=args.broadcast_max_bytes,
         salt_buckets=args.salt_buckets,
+        gold_cluster_files=args.gold_cluster_files,
         bronze_copy_transactions=not args.bronze_register,
         catalog_prefix=args.catalog_prefix,
     )

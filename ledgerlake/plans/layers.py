@@ -1,22 +1,25 @@
 """Layer jobs: Bronze lands, Silver cleans, Gold joins.
 
-Layers talk only through persisted tables, so any single layer can be re-run.
-Each write is a full refresh.  Table files live under ``root`` — a folder all
-executors can reach (``ledgerlake.session.shared_dir`` by default); writing a
-layer table also cuts the lineage, so a lost executor re-reads the previous
-layer rather than recomputing the whole chain.
+Layers talk only through persisted tables under ``root`` — a folder all
+executors can reach (``ledgerlake.session.shared_dir`` by default) — so any
+single layer can be re-run, also by a process of its own that knows nothing but
+``root``.  Each write is a full refresh that replaces the table only once it is
+complete.  Writing a layer table also cuts the lineage: a lost executor
+re-reads the previous layer rather than recomputing the whole chain.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cleaning import build_gold, clean_merchants, clean_transactions
+from ..operators.quality import layer_row_counts
 from ..session import shared_dir
 from ..sources.files import (
     read_merchants_csv,
@@ -30,6 +33,7 @@ from ..sources.tables import (
     T_GOLD_TRANSACTIONS,
     T_SILVER_MERCHANTS,
     T_SILVER_TRANSACTIONS,
+    drop_namespaces,
     ensure_namespaces,
     overwrite_table,
     read_layer_table,
@@ -70,24 +74,25 @@ class LayerPaths:
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
     salt_buckets: int = 0
     bronze_copy_transactions: bool = True
+    # Files to cluster Gold into by (month, city); 0 leaves it as the join gives it.
+    gold_cluster_files: int = 0
     # Catalog namespaces become {prefix}bronze, {prefix}silver, {prefix}gold,
     # so several pipelines (or test runs) can share one session.
     catalog_prefix: str = ""
 
 
 def resolve_layers(requested: Iterable[str]) -> list[str]:
-    """Expand ``all`` and return the requested layers in canonical order.
+    """The layers named, each once, in the order they build on each other; ``all`` is every layer.
 
     ``all`` anywhere wins (other names are then not checked); an unknown name
-    raises ``ValueError``; duplicates collapse.
+    raises ``ValueError``.
     """
-    requested = list(requested)
-    if "all" in requested:
-        return list(LAYERS)
-    unknown = sorted({name for name in requested if name not in LAYERS})
-    if unknown:
-        raise ValueError(f"unknown layer(s) {unknown}; choose from {LAYERS} or 'all'")
-    return [layer for layer in LAYERS if layer in requested]
+    names = set(requested)
+    if "all" in names:
+        names = set(LAYERS)
+    if wrong := names.difference(LAYERS):
+        raise ValueError(f"no such layer: {', '.join(sorted(wrong))} (there are {', '.join(LAYERS)} and all)")
+    return sorted(names, key=LAYERS.index)
 
 
 def _run_together(*jobs: Callable[[], None]) -> None:
@@ -117,7 +122,7 @@ def run_bronze(spark: SparkSession, paths: LayerPaths) -> None:
             raw = read_transactions_parquet(spark, paths.transactions_parquet)
             overwrite_table(raw, T_BRONZE_TRANSACTIONS, paths.root, prefix=pre)
         else:
-            register_external_parquet(spark, T_BRONZE_TRANSACTIONS, paths.transactions_parquet, prefix=pre)
+            register_external_parquet(spark, T_BRONZE_TRANSACTIONS, paths.transactions_parquet, paths.root, prefix=pre)
 
     _run_together(merchants, transactions)
 
@@ -128,11 +133,11 @@ def run_silver(spark: SparkSession, paths: LayerPaths) -> None:
     ensure_namespaces(spark, paths.root, pre)
 
     def merchants() -> None:
-        clean = clean_merchants(read_layer_table(spark, T_BRONZE_MERCHANTS, prefix=pre))
+        clean = clean_merchants(read_layer_table(spark, T_BRONZE_MERCHANTS, paths.root))
         overwrite_table(clean, T_SILVER_MERCHANTS, paths.root, prefix=pre)
 
     def transactions() -> None:
-        clean = clean_transactions(read_layer_table(spark, T_BRONZE_TRANSACTIONS, prefix=pre))
+        clean = clean_transactions(read_layer_table(spark, T_BRONZE_TRANSACTIONS, paths.root))
         overwrite_table(clean, T_SILVER_TRANSACTIONS, paths.root, prefix=pre)
 
     _run_together(merchants, transactions)
@@ -143,17 +148,29 @@ def run_gold(spark: SparkSession, paths: LayerPaths) -> None:
     pre = paths.catalog_prefix
     ensure_namespaces(spark, paths.root, pre)
     gold = build_gold(
-        read_layer_table(spark, T_SILVER_TRANSACTIONS, prefix=pre),
-        read_layer_table(spark, T_SILVER_MERCHANTS, prefix=pre),
+        read_layer_table(spark, T_SILVER_TRANSACTIONS, paths.root),
+        read_layer_table(spark, T_SILVER_MERCHANTS, paths.root),
         broadcast_max_bytes=paths.broadcast_max_bytes,
         salt_buckets=paths.salt_buckets,
     )
+    if paths.gold_cluster_files:
+        gold = cluster_gold(gold, paths.gold_cluster_files)
     overwrite_table(gold, T_GOLD_TRANSACTIONS, paths.root, paths.gold_partition_by, prefix=pre)
 
 
-def read_gold(spark: SparkSession, prefix: str = "") -> DataFrame:
-    """The Gold table, columns in their documented order."""
-    return read_layer_table(spark, T_GOLD_TRANSACTIONS, GOLD_COLUMNS, prefix=prefix)
+def cluster_gold(gold: DataFrame, files: int) -> DataFrame:
+    """Gold in ``files`` ranges of (month key, city): a slice's rows lie in few files and row groups.
+
+    A month or city with very many rows is spread over several ranges by the
+    merchant id and the time of purchase, so no task gathers it.
+    """
+    place = ["txn_month_key", "city_id"]
+    return gold.repartitionByRange(files, *place, "merchant_id", "purchase_ts").sortWithinPartitions(*place)
+
+
+def read_gold(spark: SparkSession, root: str) -> DataFrame:
+    """The Gold table under ``root``, columns in their documented order."""
+    return read_layer_table(spark, T_GOLD_TRANSACTIONS, root, GOLD_COLUMNS)
 
 
 _RUNNERS = {"bronze": run_bronze, "silver": run_silver, "gold": run_gold}
@@ -184,16 +201,40 @@ def stage_testdata_sources(
     return LayerPaths(csv_path, pq_path, f"{landing}/warehouse", catalog_prefix=catalog_prefix)
 
 
-def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stage sources, run all layers, and read the Gold table back.
+@contextmanager
+def testdata_layers(spark: SparkSession, sf_dir: str, layers: Iterable[str]) -> Iterator[LayerPaths]:
+    """The test sources landed and ``layers`` built, all removed again afterwards.
 
-    Files go to a fresh run folder under the shared folder.
+    Names and files belong to this call alone.  What is to outlive it must be
+    checkpointed (its files are then the session's).
     """
-    run_id = uuid.uuid4().hex[:12]
-    landing = f"{shared_dir(spark)}/layers-{run_id}"
-    paths = stage_testdata_sources(spark, sf_dir, landing, catalog_prefix=f"rt{run_id}_")
-    run_layers(spark, paths, ["all"])
-    return read_gold(spark, paths.catalog_prefix)
+    run = uuid.uuid4().hex[:12]
+    landing = f"{shared_dir(spark)}/layers-{run}"
+    paths = stage_testdata_sources(spark, sf_dir, landing, catalog_prefix=f"t{run}_")
+    try:
+        run_layers(spark, paths, layers)
+        yield paths
+    finally:
+        drop_namespaces(spark, landing, paths.catalog_prefix)
+
+
+def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage sources, run all layers, and read the Gold table back."""
+    with testdata_layers(spark, sf_dir, ["all"]) as paths:
+        return read_gold(spark, paths.root).checkpoint()
+
+
+def bronze_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A Bronze table as landed from its source file (CSV or parquet) and written."""
+    with testdata_layers(spark, sf_dir, ["bronze"]) as paths:
+        return read_layer_table(spark, table, paths.root).checkpoint()
+
+
+def written_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of the five written layer tables."""
+    names = (T_BRONZE_MERCHANTS, T_SILVER_MERCHANTS, T_BRONZE_TRANSACTIONS, T_SILVER_TRANSACTIONS, T_GOLD_TRANSACTIONS)
+    with testdata_layers(spark, sf_dir, ["all"]) as paths:
+        return layer_row_counts({name: read_layer_table(spark, name, paths.root) for name in names}).checkpoint()
 
 
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,18 +245,14 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from ..streaming import IncrementalGold, start_incremental_gold
 
-    run_id = uuid.uuid4().hex[:12]
-    landing = f"{shared_dir(spark)}/stream-{run_id}"
-    paths = stage_testdata_sources(spark, sf_dir, landing, catalog_prefix=f"st{run_id}_")
-    run_layers(spark, paths, ["bronze", "silver"])
-    merchants = read_layer_table(spark, T_SILVER_MERCHANTS, prefix=paths.catalog_prefix)
-    cfg = IncrementalGold(
-        transactions_dir=paths.transactions_parquet,
-        gold_path=f"{landing}/gold_stream",
-        checkpoint=f"{landing}/checkpoints/gold_stream",
-    )
-    query = start_incremental_gold(spark, cfg, merchants, available_now=True)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(f"incremental gold failed: {query.exception()}")
-    return spark.read.parquet(cfg.gold_path).select(*GOLD_COLUMNS)
+    with testdata_layers(spark, sf_dir, ["bronze", "silver"]) as paths:
+        cfg = IncrementalGold(
+            transactions_dir=paths.transactions_parquet,
+            gold_path=f"{paths.root}/gold_stream",
+            checkpoint=f"{paths.root}/checkpoints/gold_stream",
+        )
+        query = start_incremental_gold(spark, cfg, read_layer_table(spark, T_SILVER_MERCHANTS, paths.root))
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"incremental gold failed: {query.exception()}")
+        return spark.read.parquet(cfg.gold_path).select(*GOLD_COLUMNS).checkpoint()

@@ -108,7 +108,13 @@ _Q1 = (
 )
 
 BODIES: dict[str, str] = {
-    "bronze_merchants": "SELECT * FROM raw_m",
+    "bronze_merchants": (
+        "SELECT merchant_name, merchant_id, merchant_group_id, merchant_category_id, subsector_id, "
+        "NULL::VARCHAR AS numerical_1, NULL::VARCHAR AS numerical_2, most_recent_sales_range, "
+        "most_recent_purchases_range, "
+        + ", ".join(f"NULL::VARCHAR AS {m}_lag{k}" for k in (3, 6, 12) for m in ("avg_sales", "avg_purchases", "active_months"))
+        + ", city_id, state_id FROM raw_m"
+    ),
     "bronze_transactions": "SELECT * FROM raw_t",
     "silver_merchants": "SELECT * FROM sm",
     "silver_transactions": "SELECT * FROM st",
@@ -130,6 +136,12 @@ BODIES: dict[str, str] = {
         f"state_id, {_MEAN} AS average_amount, count(*) AS n FROM gold GROUP BY 1, 2) "
         "WHERE n >= 100) WHERE rank_in_state = 1"
     ),
+    "avg_sale_robust_top_per_state_500": (
+        "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY state_id ORDER BY "
+        "average_amount DESC, merchant_name) AS INTEGER) AS rank_in_state FROM (SELECT merchant_name, "
+        f"state_id, {_MEAN} AS average_amount, count(*) AS n FROM gold GROUP BY 1, 2) "
+        "WHERE n >= 500) WHERE rank_in_state = 1"
+    ),
     "top_hours_by_category": (
         "SELECT category AS product_category, txn_hour_label AS hour, purchase_total, rank FROM "
         "(SELECT *, CAST(row_number() OVER (PARTITION BY category ORDER BY purchase_total DESC, "
@@ -257,8 +269,8 @@ BODIES: dict[str, str] = {
     ),
     "amount_scale_check": (
         "SELECT count(*) AS n, count(*) FILTER (WHERE purchase_amount IS NULL) AS null_amounts, "
-        "count(*) FILTER (WHERE purchase_amount IS NOT NULL AND "
-        "TRY_CAST(purchase_amount AS DECIMAL(38,10)) IS NULL) AS out_of_scale FROM gold"
+        "count(*) FILTER (WHERE purchase_amount IS NOT NULL AND NOT (abs(purchase_amount) < 134217728 "
+        "AND abs(purchase_amount - round(purchase_amount, 8)) <= abs(purchase_amount) * pow(2, -51))) AS out_of_scale FROM gold"
     ),
 }
 

@@ -28,24 +28,31 @@ RECOMMENDED_CONF = {
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
 
-def shuffle_partitions_for(input_bytes: int, total_cores: int,
+# Beyond this many, the map outputs a driver has to track (map tasks times
+# partitions) cost more than larger partitions, which may spill.
+MAX_SHUFFLE_PARTITIONS = 32_768
+
+
+def shuffle_partitions_for(shuffled_bytes: int, total_cores: int,
                            target_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """``spark.sql.shuffle.partitions`` for a job reading ``input_bytes``.
+    """``spark.sql.shuffle.partitions`` for a job whose largest shuffle moves ``shuffled_bytes``.
 
-    One partition per ``target_bytes`` of input (an upper bound on what a
-    shuffle after partial aggregation carries), at least two waves of tasks
-    for ``total_cores``.  AQE then coalesces partitions that turn out small.
-    E.g. 100 TB on 1000 executors × 8 cores → 409,600 partitions.
+    What counts is what is left after column pruning and partial aggregation,
+    not what is read: the questions shuffle one row per group and map task,
+    the merchant join (when it isn't a broadcast) the 24 Gold columns.  At
+    least two waves of tasks, at most ``MAX_SHUFFLE_PARTITIONS``; AQE coalesces
+    partitions that turn out small.  E.g. 2 TB moved on 1000 executors × 8
+    cores → 16,000 partitions.
     """
-    by_size = -(-max(input_bytes, 0) // target_bytes)
-    return max(2 * total_cores, by_size)
+    by_size = -(-max(shuffled_bytes, 0) // target_bytes)
+    return min(MAX_SHUFFLE_PARTITIONS, max(2 * total_cores, by_size))
 
 
-def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
-    """Settings for one job over ``input_bytes`` on ``total_cores`` cores."""
+def scale_conf(shuffled_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings for one job whose largest shuffle moves ``shuffled_bytes`` on ``total_cores`` cores."""
     return {
         **RECOMMENDED_CONF,
-        "spark.sql.shuffle.partitions": str(shuffle_partitions_for(input_bytes, total_cores)),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions_for(shuffled_bytes, total_cores)),
         "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES // 2),
     }
@@ -63,6 +70,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
+        if not sc.getCheckpointDir():  # named in the session after it started
+            sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError(

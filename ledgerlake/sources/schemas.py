@@ -29,66 +29,41 @@ MERCHANT_CSV_COLUMNS = [
     "state_id",
 ]
 
-# Everything is landed as text; typing happens in Silver, so values such as
-# ``inf`` in the lag columns cannot break the scan.
-MERCHANTS_RAW_SCHEMA = StructType(
-    [StructField(name, StringType(), True) for name in MERCHANT_CSV_COLUMNS]
-)
+# Landed verbatim as text; typing is Silver's work, so no value can break the scan.
+MERCHANTS_RAW_SCHEMA = StructType([StructField(name, StringType()) for name in MERCHANT_CSV_COLUMNS])
 
-# Raw merchant columns that Silver reads (the rest are landed only).
-MERCHANT_RAW_USED = [
-    "merchant_name",
-    "merchant_id",
-    "merchant_group_id",
-    "merchant_category_id",
-    "subsector_id",
-    "most_recent_sales_range",
-    "most_recent_purchases_range",
-    "city_id",
-    "state_id",
-]
-
-# Raw transaction columns that Silver reads.
-TRANSACTION_RAW_USED = [
-    "customer_id",
-    "merchant_id",
-    "merchant_category_id",
-    "subsector_id",
-    "authorized_flag",
-    "installments",
-    "month_lag",
-    "purchase_amount",
-    "city_id",
-    "state_id",
-    "category",
-    "purchase_date",
-]
-
-SILVER_MERCHANT_COLUMNS = [
-    "merchant_id",
-    "merchant_name",
-    "merchant_group_id",
-    "merchant_category_id",
-    "subsector_id",
-    "most_recent_sales_range",
-    "most_recent_purchases_range",
-    "city_id",
-    "state_id",
-]
+# Silver's output contracts, as column → how it is read (see
+# ``operators.cleaning``).  The source column has the same name unless stated.
+SILVER_MERCHANT_KINDS = {
+    "merchant_id": "text",
+    "merchant_name": "trimmed",
+    "merchant_group_id": "int",
+    "merchant_category_id": "int",
+    "subsector_id": "int",
+    "most_recent_sales_range": "text",
+    "most_recent_purchases_range": "text",
+    "city_id": "int",
+    "state_id": "int",
+}
+SILVER_TRANSACTION_KINDS = {
+    "customer_id": "text",
+    "merchant_id": "text",
+    "merchant_category_id": "int",
+    "subsector_id": "int",
+    "authorized_flag": "text",
+    "installments": "int",
+    "month_lag": "int",
+    "purchase_amount": "amount",
+    "city_id": "int",
+    "state_id": "int",
+    "category": "category",
+    "purchase_ts": "time",
+}
+RENAMED_SOURCES = {"purchase_ts": "purchase_date"}
 
+SILVER_MERCHANT_COLUMNS = list(SILVER_MERCHANT_KINDS)
 SILVER_TRANSACTION_COLUMNS = [
-    "customer_id",
-    "merchant_id",
-    "merchant_category_id",
-    "subsector_id",
-    "authorized_flag",
-    "installments",
-    "month_lag",
-    "purchase_amount",
-    "city_id",
-    "state_id",
-    "category",
-    "purchase_ts",
+    *SILVER_TRANSACTION_KINDS,
     "txn_year",
     "txn_month_num",
     "txn_month_key",
@@ -97,6 +72,16 @@ SILVER_TRANSACTION_COLUMNS = [
     "txn_hour_label",
 ]
 
+# What Gold takes from the merchant side, and under which name.
+GOLD_FROM_MERCHANT = {
+    "merchant_group_id": "merchant_group_id",
+    "most_recent_sales_range": "most_recent_sales_range",
+    "most_recent_purchases_range": "most_recent_purchases_range",
+    "city_id": "merchant_city_id",
+    "state_id": "merchant_state_id",
+}
+
+# Gold's output contract.
 GOLD_COLUMNS = [
     "customer_id",
     "merchant_id",

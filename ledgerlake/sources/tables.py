@@ -1,12 +1,18 @@
-"""Layered tables ``bronze.* / silver.* / gold.*`` in the session catalog.
-
-Each table is parquet under ``{root}/{namespace}/{table}``, where ``root`` is a
-folder every executor can reach (normally ``shared_dir(spark)``).  Writes are
-full refreshes, so re-running a layer gives the same table.
+"""Layered tables ``bronze.* / silver.* / gold.*``: runs of parquet files under a root.
+
+A refresh of a table writes a new run folder, ``{root}/{namespace}/{table}/
+run-{id}``; the table is its latest *finished* run (the one with Spark's
+``_SUCCESS`` mark), so a write that fails part-way leaves the previous rows in
+place, and any process that knows ``root`` finds the table without a catalog.
+The session catalog is pointed at the new run as well, for SQL by name, and
+only then are older runs removed.  ``root`` is a folder every executor can
+reach (normally ``shared_dir(spark)``).
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +26,8 @@ T_SILVER_MERCHANTS = "silver.merchants"
 T_SILVER_TRANSACTIONS = "silver.transactions"
 T_GOLD_TRANSACTIONS = "gold.transactions_enriched"
 
+_RUN, _DONE, _ELSEWHERE = "run-", "_SUCCESS", "_location"
+
 
 def table_path(root: str, table: str) -> str:
     namespace, name = table.split(".", 1)
@@ -31,48 +39,120 @@ def qualified(table: str, prefix: str = "") -> str:
     return f"{prefix}{table}"
 
 
+class _Files:
+    """The few file operations needed, through Spark's own file systems (driver only)."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path_of = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self.path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def folders(self, path: str) -> list[str]:
+        target = self.path_of(path)
+        if not self.fs.exists(target):
+            return []
+        return [s.getPath().getName() for s in self.fs.listStatus(target) if s.isDirectory()]
+
+    def exists(self, path: str) -> bool:
+        return self.fs.exists(self.path_of(path))
+
+    def remove(self, path: str) -> None:
+        self.fs.delete(self.path_of(path), True)
+
+    def write(self, path: str, text: str) -> None:
+        out = self.fs.create(self.path_of(path), True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    def read(self, path: str) -> str:
+        file = self.fs.open(self.path_of(path))
+        try:
+            return bytes(file.readAllBytes()).decode()
+        finally:
+            file.close()
+
+
+def _new_run(root: str, table: str) -> str:
+    """A run folder whose name sorts after all earlier ones."""
+    return f"{table_path(root, table)}/{_RUN}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def _finished_runs(files: _Files, path: str) -> list[str]:
+    runs = sorted(f"{path}/{name}" for name in files.folders(path) if name.startswith(_RUN))
+    return [run for run in runs if files.exists(f"{run}/{_DONE}")]
+
+
+def table_location(spark: SparkSession, table: str, root: str) -> str:
+    """Where the table's current rows are; FileNotFoundError if it was never written."""
+    path = table_path(root, table)
+    files = _Files(spark, path)
+    runs = _finished_runs(files, path)
+    if not runs:
+        raise FileNotFoundError(f"{table} has no finished run under {path}")
+    pointer = f"{runs[-1]}/{_ELSEWHERE}"
+    return files.read(pointer) if files.exists(pointer) else runs[-1]
+
+
 def ensure_namespaces(spark: SparkSession, root: str, prefix: str = "") -> None:
     """Create the three layer namespaces (located under ``root``) if absent."""
     for ns in NAMESPACES:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {prefix}{ns} LOCATION '{root}/{ns}'")
 
 
+def drop_namespaces(spark: SparkSession, root: str, prefix: str = "") -> None:
+    """Forget the layer namespaces of ``prefix`` and remove all files under ``root``."""
+    for ns in NAMESPACES:
+        spark.sql(f"DROP NAMESPACE IF EXISTS {prefix}{ns} CASCADE")
+    _Files(spark, root).remove(root)
+
+
+def _switch(spark: SparkSession, table: str, root: str, run: str, location: str, prefix: str) -> None:
+    """Point the catalog at ``location``, then remove the runs before ``run`` and unfinished ones."""
+    name = qualified(table, prefix)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=location, source="parquet")
+    path = table_path(root, table)
+    files = _Files(spark, path)
+    for old in files.folders(path):
+        if old.startswith(_RUN) and f"{path}/{old}" < run:
+            files.remove(f"{path}/{old}")
+
+
 def overwrite_table(
     df: DataFrame, table: str, root: str, partition_by: Sequence[str] = (), prefix: str = ""
 ) -> None:
-    """Create-or-replace ``table`` from ``df`` as parquet at its path under ``root``.
+    """Replace ``table`` by ``df``: write a new run, switch to it, remove older runs.
+
+    If the write fails, the table keeps its rows; the unfinished run is
+    removed by the next refresh that succeeds.  ``partition_by`` lays the
+    files out in one folder per value.
+    """
+    run = _new_run(root, table)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(run)
+    _switch(df.sparkSession, table, root, run, run, prefix)
 
-    The catalog name carries ``prefix`` (see :func:`qualified`); the files go
-    to ``{root}/{namespace}/{table}`` either way.
 
-    ``partition_by`` lays the files out in one folder per value, so filters
-    on those columns skip whole folders.  Each write task sorts its own rows
-    by the partition columns; nothing is shuffled for it.
+def register_external_parquet(spark: SparkSession, table: str, location: str, root: str, prefix: str = "") -> None:
+    """Make existing parquet files the current rows of ``table`` without copying them.
+
+    The run folder then holds only the files' place; they stay where they are.
     """
-    writer = df.write.mode("overwrite").format("parquet").option("path", table_path(root, table))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(qualified(table, prefix))
+    run = _new_run(root, table)
+    files = _Files(spark, run)
+    files.write(f"{run}/{_ELSEWHERE}", location)
+    files.write(f"{run}/{_DONE}", "")
+    _switch(spark, table, root, run, location, prefix)
 
 
 def read_layer_table(
-    spark: SparkSession, table: str, columns: Sequence[str] | None = None, prefix: str = ""
+    spark: SparkSession, table: str, root: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Scan a layer table by name (lazy; pruning and pushdown reach the files).
+    """Scan the table's current run (lazy; pruning and pushdown reach the files).
 
     ``columns`` restores a column order (a partitioned table lists its
     partition columns last).
     """
-    df = spark.read.table(qualified(table, prefix))
+    df = spark.read.parquet(table_location(spark, table, root))
     return df.select(*columns) if columns else df
-
-
-def register_external_parquet(spark: SparkSession, table: str, location: str, prefix: str = "") -> None:
-    """Point ``table`` at existing parquet files without copying them.
-
-    Replaces any previous definition of ``table``; the files stay where they
-    are (dropping an external table leaves them in place).
-    """
-    name = qualified(table, prefix)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=location, source="parquet")

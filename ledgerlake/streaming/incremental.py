@@ -18,7 +18,13 @@ stream–static left join with the Silver merchants, and a parquet file sink.
 * No state is kept: each transaction is joined on its own, so there is no
   watermark and no state store to grow.
 * Pass the Silver merchants *table* as ``merchants`` (as the batch Gold job
-  does); a static side is re-read for every micro-batch.
+  does).  Whether it fits a broadcast is measured when a run starts, and only
+  an ``available_now`` run, which ends with what is present, fixes the
+  broadcast; a standing query leaves the choice to Spark per micro-batch, as
+  the table may grow meanwhile.
+* Rows already written keep the merchant attributes of their time.  The sink
+  equals the batch Gold as long as merchants do not change; after a change of
+  merchants, refresh Gold in batch.
 """
 
 from __future__ import annotations
@@ -40,19 +46,19 @@ class IncrementalGold:
     checkpoint: str
     max_files_per_trigger: int = 1000
     processing_time: str = "1 minute"
-    # Largest merchant side broadcast to every micro-batch (measured once).
+    # Largest merchant side broadcast to every micro-batch (measured as a run starts).
     broadcast_max_bytes: int | None = 256 * 1024 * 1024
 
 
 def incremental_gold_stream(
-    spark: SparkSession, cfg: IncrementalGold, merchants: DataFrame
+    spark: SparkSession, cfg: IncrementalGold, merchants: DataFrame, available_now: bool = True
 ) -> DataFrame:
     """The streaming Gold DataFrame (not started).
 
     The source schema is taken once from the landed files; a file source must
-    have a fixed schema.  The static merchant side is measured once and, when
-    it fits ``cfg.broadcast_max_bytes``, broadcast to every micro-batch, so
-    new transactions are never shuffled for the join.
+    have a fixed schema.  For a run that ends (``available_now``) the merchant
+    side is measured and, when it fits ``cfg.broadcast_max_bytes``, broadcast,
+    so new transactions are never shuffled for the join.
     """
     schema = spark.read.parquet(cfg.transactions_dir).schema
     raw = (
@@ -60,7 +66,7 @@ def incremental_gold_stream(
         .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
         .parquet(cfg.transactions_dir)
     )
-    return build_gold(clean_transactions(raw), merchants, broadcast_max_bytes=cfg.broadcast_max_bytes)
+    return build_gold(clean_transactions(raw), merchants, broadcast_max_bytes=cfg.broadcast_max_bytes if available_now else None)
 
 
 def start_incremental_gold(
@@ -71,7 +77,7 @@ def start_incremental_gold(
 ) -> StreamingQuery:
     """Start the Gold stream into a parquet sink at ``cfg.gold_path``."""
     writer = (
-        incremental_gold_stream(spark, cfg, merchants)
+        incremental_gold_stream(spark, cfg, merchants, available_now)
         .writeStream.format("parquet")
         .option("path", cfg.gold_path)
         .option("checkpointLocation", cfg.checkpoint)

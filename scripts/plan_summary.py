@@ -110,10 +110,10 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     paths = stage_testdata_sources(spark, sf_dir, f"{shared_dir(spark)}/plans-{uuid.uuid4().hex[:10]}")
     run_layers(spark, paths, ["all"])
-    gold = read_gold(spark)
+    gold = read_gold(spark, paths.root)
     jobs = {key: (lambda op=op: op(gold)) for key, op in GOLD_OPS.items()}
-    silver_t = read_layer_table(spark, T_SILVER_TRANSACTIONS)
-    silver_m = read_layer_table(spark, T_SILVER_MERCHANTS)
+    silver_t = read_layer_table(spark, T_SILVER_TRANSACTIONS, paths.root)
+    silver_m = read_layer_table(spark, T_SILVER_MERCHANTS, paths.root)
     jobs["gold join (layer job, sized broadcast)"] = lambda: ops.build_gold(
         silver_t, silver_m, broadcast_max_bytes=paths.broadcast_max_bytes
     )

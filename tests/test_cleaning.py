@@ -3,137 +3,109 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 
+import pytest
 from helpers import gold_of, merchant, merchants, txn, txns
+from pyspark.sql import functions as F
 
 from ledgerlake.functions import UNKNOWN_CATEGORY
 from ledgerlake.operators import build_gold, clean_merchants, clean_transactions
 from ledgerlake.sources.schemas import GOLD_COLUMNS, SILVER_MERCHANT_COLUMNS, SILVER_TRANSACTION_COLUMNS
 
+CALENDAR = ("purchase_ts", "txn_year", "txn_month_num", "txn_month_key", "txn_month_label", "txn_hour", "txn_hour_label")
 
-def test_dedupe_keeps_lowest_group_and_types_ints(spark):
-    raw = merchants(
-        spark,
-        [
-            merchant("M_1", "Alpha inc", group="10", city="2"),
-            merchant("M_1", "Alpha inc DUP", group="99", city="2"),
-            merchant("M_2", "Beta inc", group="20", city="3"),
-        ],
-    )
-    out = clean_merchants(raw)
-    assert out.columns == SILVER_MERCHANT_COLUMNS
-    assert out.count() == 2
-    alpha = out.filter(out.merchant_id == "M_1").first()
-    assert alpha.merchant_group_id == 10 and alpha.merchant_name == "Alpha inc"
-    assert isinstance(alpha.city_id, int) and alpha.city_id == 2
-
-
-def test_dedupe_puts_unparseable_group_last(spark, ansi):
+
+def test_the_row_that_stays_is_the_smallest_whatever_the_order(spark, ansi):
+    """Group, then city, then category; what does not parse comes last."""
     ansi(True)
-    raw = merchants(
-        spark,
-        [
-            merchant("M_1", "dirty", group="inf"),
-            merchant("M_1", "blank", group=""),
-            merchant("M_1", "clean", group="12.0"),
-            merchant("M_2", "only dirty", group="abc"),
-        ],
-    )
-    rows = {r.merchant_id: r for r in clean_merchants(raw).collect()}
-    assert rows["M_1"].merchant_name == "clean" and rows["M_1"].merchant_group_id == 12
-    assert rows["M_2"].merchant_group_id is None
-
-
-def test_dedupe_breaks_ties_on_city_then_category(spark):
-    raw = merchants(
-        spark,
-        [
-            merchant("M_1", "b", group="1", city="7", category="3"),
-            merchant("M_1", "a", group="1", city="7", category="2"),
-            merchant("M_1", "c", group="1", city="9", category="1"),
-        ],
-    )
-    assert clean_merchants(raw).first().merchant_name == "a"
-
-
-def test_null_and_blank_category_become_unknown_no_row_dropped(spark):
-    raw = txns(spark, [txn("M_1", 100.0, category=c) for c in (None, "  ", "A", " B ")])
-    out = clean_transactions(raw)
+    ranked = [
+        merchant("dup", " first ", group=" -4", city="60", category="8"),
+        merchant("dup", "later category", group="-4.0", city="60", category="9"),
+        merchant("dup", "later city", group="-4", city="61", category="0"),
+        merchant("dup", "no city", group="-4", city="n/a", category="0"),
+        merchant("dup", "later group", group="31", city="1", category="0"),
+        merchant("dup", "no group", group="inf", city="0", category="0"),
+    ]
+    for k, order in enumerate(itertools.islice(itertools.permutations(ranked), 0, 720, 180)):
+        out = clean_merchants(merchants(spark, [*order, merchant("single", "no group either", group="-")]).repartition(1 + k))
+        assert out.columns == SILVER_MERCHANT_COLUMNS
+        rows = {r.merchant_id: r for r in out.collect()}
+        assert len(rows) == out.count() == 2
+        assert (rows["dup"].merchant_name, rows["dup"].merchant_group_id, rows["dup"].city_id) == ("first", -4, 60)
+        assert rows["single"].merchant_group_id is None
+
+
+def test_types_of_silver_merchants(spark):
+    out = clean_merchants(merchants(spark, [merchant("t")]))
+    numbers = {"merchant_group_id", "merchant_category_id", "subsector_id", "city_id", "state_id"}
+    assert {name for name, kind in out.dtypes if kind == "int"} == numbers
+    assert {name for name, kind in out.dtypes if kind == "string"} == set(SILVER_MERCHANT_COLUMNS) - numbers
+
+
+@pytest.mark.parametrize("raw, clean", [(None, UNKNOWN_CATEGORY), ("   ", UNKNOWN_CATEGORY), (" garden ", "garden"), ("\t", "\t")])
+def test_category(spark, raw, clean):
+    out = clean_transactions(txns(spark, [txn("m", 3.25, category=raw)]))
     assert out.columns == SILVER_TRANSACTION_COLUMNS
-    assert [r.category for r in out.collect()] == [UNKNOWN_CATEGORY, UNKNOWN_CATEGORY, "A", "B"]
+    assert [r.category for r in out.collect()] == [clean]
 
 
-def test_time_dimensions(spark):
-    out = clean_transactions(txns(spark, [txn("M_1", 1.0, date="2017-10-05 08:07:00")])).first()
-    assert out.purchase_ts == dt.datetime(2017, 10, 5, 8, 7)
-    assert (out.txn_year, out.txn_month_num, out.txn_month_key) == (2017, 10, 201710)
-    assert (out.txn_month_label, out.txn_hour, out.txn_hour_label) == ("Oct 2017", 8, "0800")
+@pytest.mark.parametrize("text, want", [
+    ("2016-02-29 23:59:58", (dt.datetime(2016, 2, 29, 23, 59, 58), 2016, 2, 201602, "Feb 2016", 23, "2300")),
+    ("2019-12-01 00:00:00", (dt.datetime(2019, 12, 1), 2019, 12, 201912, "Dec 2019", 0, "0000")),
+    ("2019-02-29 10:00:00", (None,) * 7),
+    ("2019-12-01", (None,) * 7),
+    (None, (None,) * 7),
+])
+def test_calendar_columns(spark, ansi, text, want):
+    ansi(True)
+    row = clean_transactions(txns(spark, [txn("m", 1.5, date=text)])).first()
+    assert tuple(row[c] for c in CALENDAR) == want and row.purchase_amount == 1.5
 
 
-def test_bad_timestamp_keeps_row_with_null_time_columns(spark, ansi):
-    ansi(True)
-    out = clean_transactions(txns(spark, [txn("M_1", 1.0, date="2017-10-05")])).first()
-    assert out.purchase_ts is None
-    assert all(
-        getattr(out, c) is None
-        for c in ("txn_year", "txn_month_num", "txn_month_key", "txn_month_label", "txn_hour", "txn_hour_label")
-    )
+def test_a_date_typed_purchase_date_is_midnight(spark):
+    raw = txns(spark, [txn("m", 1.5, date="2020-08-09")]).withColumn("purchase_date", F.col("purchase_date").cast("date"))
+    row = clean_transactions(raw).first()
+    assert tuple(row[c] for c in CALENDAR) == (dt.datetime(2020, 8, 9), 2020, 8, 202008, "Aug 2020", 0, "0000")
 
 
-def test_string_typed_numbers_are_cast_leniently(spark, ansi):
+def test_text_numbers_are_read_leniently(spark, ansi):
     ansi(True)
-    df = spark.createDataFrame(
-        [("C", "M", "3", "x", "Y", "2.0", "-1", "12.5", " 4 ", "", "A", "2017-10-01 13:00:00")],
-        ", ".join(
-            f"{c} string"
-            for c in (
-                "customer_id merchant_id merchant_category_id subsector_id authorized_flag "
-                "installments month_lag purchase_amount city_id state_id category purchase_date"
-            ).split()
-        ),
-    )
-    r = clean_transactions(df).first()
-    assert (r.merchant_category_id, r.subsector_id, r.installments, r.month_lag) == (3, None, 2, -1)
-    assert (r.purchase_amount, r.city_id, r.state_id) == (12.5, 4, None)
-
-
-def test_gold_uses_id_when_no_merchant_matches(spark):
-    g = gold_of(
-        spark,
-        [txn("M_known", 100.0), txn("M_orphan", 100.0)],
-        [merchant("M_known", "Known inc")],
-    )
-    assert g.columns == GOLD_COLUMNS
-    names = {r.merchant_id: r.merchant_name for r in g.collect()}
-    assert names == {"M_known": "Known inc", "M_orphan": "M_orphan"}
-
-
-def test_gold_keeps_empty_name_but_fills_null_name(spark):
-    raw_m = merchants(spark, [("", "M_empty", "1", "1", "1", "A", "A", "5", "9"),
-                              (None, "M_null", "1", "1", "1", "A", "A", "5", "9")])
-    g = build_gold(clean_transactions(txns(spark, [txn("M_empty", 1.0), txn("M_null", 1.0)])),
-                   clean_merchants(raw_m))
-    names = {r.merchant_id: r.merchant_name for r in g.collect()}
-    assert names == {"M_empty": "", "M_null": "M_null"}
-
-
-def test_gold_does_not_fan_out_on_duplicate_merchants(spark):
-    g = gold_of(
-        spark,
-        [txn("M_1", 100.0)],
-        [merchant("M_1", "Alpha", group="10"), merchant("M_1", "Alpha DUP", group="99")],
-    )
-    assert g.count() == 1
-
-
-def test_null_merchant_id_never_joins(spark):
-    raw_m = merchants(spark, [("Ghost", None, "1", "1", "1", "A", "A", "5", "9")])
-    g = build_gold(clean_transactions(txns(spark, [txn(None, 5.0)])), clean_merchants(raw_m))
-    row = g.first()
-    assert g.count() == 1 and row.merchant_name is None and row.merchant_group_id is None
-
-
-def test_gold_geography_is_the_transactions(spark):
-    g = gold_of(spark, [txn("M_1", 1.0, city=77, state=3)], [merchant("M_1", city="5", state="9")])
-    r = g.first()
-    assert (r.city_id, r.state_id, r.merchant_city_id, r.merchant_state_id) == (77, 3, 5, 9)
+    raw = txns(spark, [txn("m", 1.0)]).select(
+        *[F.lit(v).alias(c) if v is not None else F.col(c).cast("string").alias(c) for c, v in {
+            "customer_id": None, "merchant_id": None, "merchant_category_id": "\t61.9\n", "subsector_id": "six",
+            "authorized_flag": None, "installments": "+7", "month_lag": "-.5", "purchase_amount": " 8.125 ",
+            "city_id": "99999999999", "state_id": "", "category": None, "purchase_date": None}.items()])
+    row = clean_transactions(raw).first()
+    assert (row.merchant_category_id, row.subsector_id, row.installments, row.month_lag) == (61, None, 7, 0)
+    assert (row.purchase_amount, row.city_id, row.state_id) == (8.125, None, None)
+
+
+@pytest.mark.parametrize("how", [{}, {"broadcast_max_bytes": 1 << 20}, {"broadcast_max_bytes": 1}, {"salt_buckets": 3}])
+def test_gold_rows_and_names(spark, how):
+    """Matched, unmatched, unnamed, empty-named and missing merchants, by every join strategy."""
+    side = merchants(spark, [
+        merchant("m-17", "Tannery", group="3", city="70", state="8"),
+        merchant("m-17", "Tannery copy", group="5", city="70", state="8"),
+        ("", "m-18", "1", "1", "1", "A", "B", "71", "8"),
+        (None, "m-19", "1", "1", "1", "A", "B", "72", "8"),
+        ("Nobody's", None, "1", "1", "1", "A", "B", "73", "8"),
+        ("Blank id", "", "1", "1", "1", "A", "B", "74", "8"),
+    ])
+    sales = [txn(i, 2.0 + k, city=50 + k, state=k) for k, i in enumerate(["m-17", "m-18", "m-19", "m-99", None, None, ""])]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        gold = build_gold(clean_transactions(txns(spark, sales)), clean_merchants(side), **how)
+        assert gold.columns == GOLD_COLUMNS
+        got = {(r.city_id, r.state_id): (r.merchant_id, r.merchant_name, r.merchant_city_id) for r in gold.collect()}
+        assert gold.count() == len(sales)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = [("m-17", "Tannery", 70), ("m-18", "", 71), ("m-19", "m-19", 72), ("m-99", "m-99", None),
+            (None, None, None), (None, None, None), ("", "Blank id", 74)]
+    assert got == {(50 + k, k): row for k, row in enumerate(want)}
+
+
+def test_gold_of_no_merchants(spark):
+    assert [r.merchant_name for r in gold_of(spark, [txn("m-5", 1.0)], [merchant("m-6")]).collect()] == ["m-5"]

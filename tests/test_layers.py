@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
+import tempfile
 import uuid
 
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from ledgerlake.plans.layers import (
     LayerPaths,
+    gold_incremental,
     layer_round_trip,
     read_gold,
     resolve_layers,
@@ -22,27 +27,27 @@ from ledgerlake.sources.schemas import GOLD_COLUMNS, MERCHANT_CSV_COLUMNS
 from ledgerlake.sources.tables import (
     T_BRONZE_MERCHANTS,
     T_SILVER_MERCHANTS,
+    ensure_namespaces,
+    overwrite_table,
     read_layer_table,
 )
 from ledgerlake.plans.registry import gold, raw_merchants
 
 
-@pytest.mark.parametrize(
-    "requested, expected",
-    [
-        (["all"], ["bronze", "silver", "gold"]),
-        (["gold", "bronze"], ["bronze", "gold"]),
-        (["silver", "silver"], ["silver"]),
-        (["nope", "all"], ["bronze", "silver", "gold"]),
-    ],
-)
+@pytest.mark.parametrize("requested, expected", [
+    (["all"], "bronze silver gold"),
+    (["gold", "silver"], "silver gold"),
+    (["bronze"] * 3, "bronze"),
+    (["all", "iron"], "bronze silver gold"),
+    ([], ""),
+])
 def test_resolve_layers(requested, expected):
-    assert resolve_layers(requested) == expected
+    assert resolve_layers(requested) == expected.split()
 
 
-def test_resolve_layers_rejects_unknown():
-    with pytest.raises(ValueError):
-        resolve_layers(["bronze", "platinum"])
+def test_unknown_layers_are_named():
+    with pytest.raises(ValueError, match="iron, tin"):
+        resolve_layers(["tin", "gold", "iron"])
 
 
 def _fresh(spark) -> str:
@@ -72,9 +77,9 @@ def test_run_layers_round_trip_matches_lazy_pipeline(spark):
     paths = stage_testdata_sources(spark, SF_SMALL, landing)
     assert isinstance(paths, LayerPaths)
     assert run_layers(spark, paths, ["all"]) == ["bronze", "silver", "gold"]
-    assert read_layer_table(spark, T_BRONZE_MERCHANTS).count() == raw_merchants(spark, SF_SMALL).count()
-    assert read_layer_table(spark, T_SILVER_MERCHANTS).count() == 9
-    written = read_gold(spark)
+    assert read_layer_table(spark, T_BRONZE_MERCHANTS, paths.root).count() == raw_merchants(spark, SF_SMALL).count()
+    assert read_layer_table(spark, T_SILVER_MERCHANTS, paths.root).count() == 9
+    written = read_gold(spark, paths.root)
     assert written.columns == GOLD_COLUMNS
     lazy = gold(spark, SF_SMALL)
     assert written.count() == lazy.count() == 6000
@@ -85,9 +90,9 @@ def test_rerunning_one_layer_is_idempotent(spark):
     landing = _fresh(spark)
     paths = stage_testdata_sources(spark, SF_SMALL, landing)
     run_layers(spark, paths, ["all"])
-    before = read_gold(spark).count()
+    before = read_gold(spark, paths.root).count()
     run_layers(spark, paths, ["gold"])
-    assert read_gold(spark).count() == before
+    assert read_gold(spark, paths.root).count() == before
 
 
 def test_registered_round_trip(spark):
@@ -108,7 +113,7 @@ def test_cli_runs_chosen_layers(spark):
         "--root", paths.root,
     ])
     assert done == ["bronze", "silver"]
-    assert read_layer_table(spark, T_SILVER_MERCHANTS).count() == 9
+    assert read_layer_table(spark, T_SILVER_MERCHANTS, paths.root).count() == 9
 
 
 def test_bronze_can_register_instead_of_copy(spark):
@@ -121,14 +126,74 @@ def test_bronze_can_register_instead_of_copy(spark):
     run_layers(spark, paths, ["all"])
     bronze_files = spark.read.table(T_BRONZE_TRANSACTIONS).inputFiles()
     assert bronze_files and all(paths.transactions_parquet in f for f in bronze_files)
-    written = read_gold(spark)
+    written = read_gold(spark, paths.root)
     lazy = gold(spark, SF_SMALL)
     assert written.count() == 6000
     assert written.exceptAll(lazy).count() == 0 and lazy.exceptAll(written).count() == 0
 
 
-def test_two_registered_round_trips_share_a_session(spark):
-    first = layer_round_trip(spark, SF_SMALL)
-    second = layer_round_trip(spark, SF_SMALL)  # own namespaces: does not replace the first
+def test_registered_keys_leave_nothing_behind(spark):
+    def namespaces():
+        return {r[0] for r in spark.sql("SHOW NAMESPACES").collect()}
+
+    def folders():
+        return {f for f in os.listdir(shared_dir(spark).removeprefix("file:")) if f.startswith(("layers-", "stream-"))}
+
+    before = namespaces(), folders()
+    first, second = layer_round_trip(spark, SF_SMALL), layer_round_trip(spark, SF_SMALL)
     assert first.count() == second.count() == 6000
-    assert first.inputFiles() != second.inputFiles()
+    assert gold_incremental(spark, SF_SMALL).count() == 6000
+    assert (namespaces(), folders()) == before
+
+
+def test_a_failed_write_keeps_the_rows_and_a_rerun_succeeds(spark):
+    root = _fresh(spark)
+    ensure_namespaces(spark, root, "f_")
+    overwrite_table(spark.range(5).toDF("v"), "gold.kept", root, prefix="f_")
+    fails = spark.range(100).repartition(4).select(F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("half-way")).cast("long")).alias("v"))
+    with pytest.raises(Exception, match="half-way"):
+        overwrite_table(fails, "gold.kept", root, prefix="f_")
+    assert read_layer_table(spark, "gold.kept", root).count() == 5
+    assert spark.read.table("f_gold.kept").count() == 5
+    overwrite_table(spark.range(7).toDF("v"), "gold.kept", root, prefix="f_")
+    assert read_layer_table(spark, "gold.kept", root).count() == spark.read.table("f_gold.kept").count() == 7
+    runs = os.listdir(f"{root}/gold/kept".removeprefix("file:"))
+    assert len([r for r in runs if r.startswith("run-")]) == 1
+    with pytest.raises(FileNotFoundError):
+        read_layer_table(spark, "gold.never_written", root)
+
+
+def test_layers_run_as_processes_of_their_own(spark):
+    """Three processes share nothing but ``root``."""
+    paths = stage_testdata_sources(spark, SF_SMALL, _fresh(spark))
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"PYTHONPATH": repo, "PYSPARK_SUBMIT_ARGS": "--conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=2 --master local[2] pyspark-shell"}
+    with tempfile.TemporaryDirectory() as cwd:
+        for layer in ("bronze", "silver", "gold"):
+            args = ["--layers", layer, "--merchants-csv", paths.merchants_csv, "--transactions", paths.transactions_parquet, "--root", paths.root]
+            subprocess.run([sys.executable, "-m", "ledgerlake.plans.cli", *args], cwd=cwd, env=env, check=True, timeout=300, capture_output=True)
+    written, lazy = read_gold(spark, paths.root), gold(spark, SF_SMALL)
+    assert written.count() == 6000 and written.exceptAll(lazy).count() == 0
+
+
+def test_a_slice_of_clustered_gold_reads_less(spark):
+    from dataclasses import replace
+
+    from ledgerlake.operators import q1_slice
+
+    paths = stage_testdata_sources(spark, SF_SMALL, _fresh(spark))
+    rows = {}
+    for files in (0, 12):
+        own = replace(paths, root=f"{paths.root}-{files}", gold_cluster_files=files, catalog_prefix=f"c{files}_")
+        run_layers(spark, own, ["all"])
+        scanned = read_gold(spark, own.root)
+        part = q1_slice(scanned, ["Oct 1997", "Nov 1997"], [2, 3])
+        result = sorted(map(tuple, part.collect()))
+        plan = part._jdf.queryExecution().executedPlan()
+        leaves = plan.collectLeaves() if not plan.getClass().getSimpleName().startswith("Adaptive") else plan.executedPlan().collectLeaves()
+        scans = [leaves.apply(i) for i in range(leaves.length())]
+        while any(x.getClass().getSimpleName().endswith("QueryStageExec") for x in scans):
+            scans = [y.apply(i) for x in scans for y in [x.plan().collectLeaves() if x.getClass().getSimpleName().endswith("QueryStageExec") else None] if y is not None for i in range(y.length())]
+        rows[files] = sum(x.metrics().apply("numOutputRows").value() for x in scans if x.metrics().contains("numOutputRows")), result
+    assert rows[12][1] == rows[0][1]
+    assert rows[12][0] < rows[0][0] / 2

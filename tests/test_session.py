@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from ledgerlake.session import TARGET_PARTITION_BYTES, scale_conf, shared_dir, shuffle_partitions_for
+from ledgerlake.session import MAX_SHUFFLE_PARTITIONS, TARGET_PARTITION_BYTES, scale_conf, shared_dir, shuffle_partitions_for
 
 
-def test_shuffle_partitions_scale_with_input():
+def test_shuffle_partitions_scale_with_what_is_shuffled():
     assert shuffle_partitions_for(0, 8) == 16
     assert shuffle_partitions_for(10 * TARGET_PARTITION_BYTES, 2) == 10
-    assert shuffle_partitions_for(100 * 1024**4, 8000) == 409600
-    conf = scale_conf(100 * 1024**4, 8000)
-    assert conf["spark.sql.shuffle.partitions"] == "409600"
+    assert shuffle_partitions_for(5 * 1024**4, 8000) == 20480
+    assert shuffle_partitions_for(100 * 1024**4, 8000) == MAX_SHUFFLE_PARTITIONS
+    conf = scale_conf(2 * 1024**4, 8000)
+    assert conf["spark.sql.shuffle.partitions"] == "16000"
     assert conf["spark.sql.adaptive.enabled"] == "true"
 
 
