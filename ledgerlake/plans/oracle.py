@@ -109,8 +109,8 @@ _Q1 = (
 
 BODIES: dict[str, str] = {
     "bronze_merchants": (
-        "SELECT merchant_name, merchant_id, merchant_group_id, merchant_category_id, subsector_id, "
-        "NULL::VARCHAR AS numerical_1, NULL::VARCHAR AS numerical_2, most_recent_sales_range, "
+        "SELECT merchant_name, merchant_id, nullif(merchant_group_id, '') AS merchant_group_id, "
+        "merchant_category_id, subsector_id, NULL::VARCHAR AS numerical_1, NULL::VARCHAR AS numerical_2, most_recent_sales_range, "
         "most_recent_purchases_range, "
         + ", ".join(f"NULL::VARCHAR AS {m}_lag{k}" for k in (3, 6, 12) for m in ("avg_sales", "avg_purchases", "active_months"))
         + ", city_id, state_id FROM raw_m"
