@@ -187,6 +187,10 @@ BODIES: dict[str, str] = {
         f"SELECT city_id, {_MONEY} AS revenue, count(*) AS txns, round({_MEAN}, 2) AS avg_ticket "
         "FROM gold GROUP BY 1"
     ),
+    "preview_city_scorecard": (
+        f"SELECT city_id, {_MONEY} AS revenue, count(*) AS txns, round({_MEAN}, 2) AS avg_ticket "
+        "FROM gold GROUP BY 1 ORDER BY revenue DESC, city_id NULLS FIRST LIMIT 10"
+    ),
     "category_scorecard": (
         f"SELECT category, {_MONEY} AS revenue, count(*) AS txns, round({_MEAN}, 2) AS avg_ticket "
         "FROM gold GROUP BY 1"

@@ -33,6 +33,7 @@ ROBUST_MIN_SALES_SMALL = 100
 MIX_TOP_CITIES = 6
 TOP_SHARE_CITIES = 5
 CITY_VOLUME_TOP = 15
+PREVIEW_ROWS = 10
 FLAT_MODEL = ProfitModel(compounding=False)
 
 
@@ -48,6 +49,11 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.build_gold(silver_transactions(spark, sf_dir), silver_merchants(spark, sf_dir))
 
 
+def preview_city_scorecard(gold: DataFrame) -> DataFrame:
+    """The bounded preview of a report: its first rows, in report order."""
+    return ops.preview(ops.city_scorecard(gold), PREVIEW_ROWS)
+
+
 def _on_gold(key: str) -> Query:
     op = GOLD_OPS[key]
 
@@ -103,6 +109,8 @@ GOLD_OPS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "category_profile": ops.category_profile,
     "city_volume_topn": partial(ops.city_volume_topn, n=CITY_VOLUME_TOP),
     "amount_scale_check": ops.amount_scale_check,
+    # a report as a notebook shows it
+    "preview_city_scorecard": preview_city_scorecard,
 }
 
 QUERIES: dict[str, Query] = {
