@@ -5,9 +5,9 @@ longer documents are cut), and pieces are packed in groups of bounded size, a
 task each.  A group starts from best fit by falling length; then the emptiest
 underfull bin gives its pieces away by moves, one-for-one and two-for-one
 exchanges with other underfull bins, every step raising the sum of squared
-fills, until it is empty or nothing helps.  What lies in bins that stay
-underfull is pooled over all groups and packed again, so the loss does not
-grow with the number of groups.
+fills, until it is empty or nothing helps.  What lies in the emptiest bins is
+pooled over all groups and packed again, so the loss does not grow with the
+number of groups.
 """
 
 from __future__ import annotations
@@ -26,6 +26,10 @@ from .word_tokens import WordTokens, vocabulary_path
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 8192
+# The search gives up on a group after this many givers in a row that could not be emptied.
+PATIENCE = 64
+# Of a group's bins, one in so many (the emptiest) is pooled for the next round; there are at most so many rounds.
+POOLED_SHARE, ROUNDS = 16, 4
 BATCH_BYTES = 16 << 20
 
 
@@ -90,7 +94,7 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> l
     under = [b for b in range(len(bins)) if fill[b] < capacity]
     while count > fewest:
         givers = [b for b in under if b not in tried and bins[b]]
-        if not givers:
+        if not givers or len(tried) >= PATIENCE:
             break
         giver = min(givers, key=lambda b: fill[b])
         tried.add(giver)
@@ -140,24 +144,26 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> l
 
 
 def pack_group(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bin of each piece, its place there, and its bin's fill."""
+    """Bin of each piece, its place there, and whether the bin is one of the emptiest underfull ones."""
     bins = local_search(best_fit(lengths, capacity), lengths, capacity)
-    number, offset, fill = (np.zeros(len(lengths), np.int64) for _ in range(3))
+    fills = sorted((int(lengths[b].sum()), k) for k, b in enumerate(bins))
+    pooled = {k for fill, k in fills[: max(1, len(bins) // POOLED_SHARE)] if fill < capacity}
+    number, offset, poor = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64), np.zeros(len(lengths), bool)
     for b, items in enumerate(bins):
         items = np.array(items)
         number[items] = b
         offset[items] = np.concatenate([[0], np.cumsum(lengths[items])[:-1]])
-        fill[items] = lengths[items].sum()
-    return number, offset, fill
+        poor[items] = b in pooled
+    return number, offset, poor
 
 
 def _packer(number: int, last: bool, capacity: int):
     """Packs one group of a round; its sequences are numbered by round, group and bin."""
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "piece", "start", "ids_crc32"], ignore_index=True)
-        b, offset, fill = pack_group(rows["length"].to_numpy(np.int64), capacity)
+        b, offset, poor = pack_group(rows["length"].to_numpy(np.int64), capacity)
         named = (number << 52) | (int(key[0]) << 20) | b
-        return rows.drop(columns="g").assign(sequence_id=named, offset=offset, full=last | (fill >= capacity))
+        return rows.drop(columns="g").assign(sequence_id=named, offset=offset, full=last | ~poor)
 
     return run
 
@@ -166,8 +172,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     """``pieces`` with sequence_id and offset; ``pieces`` must be a written table.
 
     Rounds: each packs groups of about ``group_pieces`` pieces side by side and
-    keeps the full bins; the rest is pooled for the next round.  The last
-    round is a single group.  Pieces with equal columns are packed one by one;
+    keeps all but the emptiest of their bins; what those hold is pooled for
+    the next round.  The last round keeps all.  Pieces with equal columns are packed one by one;
     an empty table gives no rows.
     """
     schema = pieces.select("doc_id", "piece", "start", "length", "ids_crc32")
@@ -176,7 +182,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     while True:
         n = rest.count()
         groups = max(1, -(-n // group_pieces))
-        last = groups == 1
+        last = groups == 1 or number == ROUNDS - 1
 
         spread = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.lit(number)), F.lit(groups))
         packed = written(rest.withColumn("g", spread).groupBy("g").applyInPandas(_packer(number, last, capacity), fields), "packed")
