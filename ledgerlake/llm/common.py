@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 
@@ -54,13 +55,26 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 
     A lost executor re-reads files instead of repeating the work before.
     """
-    path = scratch(df.sparkSession, tag)
+    spark, path = df.sparkSession, scratch(df.sparkSession, tag)
     df.write.parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    release_shuffles(spark)
+    table = spark.read.schema(df.schema).parquet(path)
     table.written_path = path
     return table
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of finished queries now.
+
+    It does so when the driver's garbage collector finds their plans unused,
+    which on a large heap can take very long.  The listener threads hold the
+    last finished query until the next one, so a trivial one comes first.
+    """
+    spark.range(1).count()
+    time.sleep(0.1)
+    spark._jvm.System.gc()
+
+
 def discard(table: DataFrame) -> None:
     """Delete the files of a :func:`written` table that nothing reads any more."""
     remove(table.sparkSession, table.written_path)

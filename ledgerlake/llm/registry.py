@@ -6,6 +6,7 @@ from .byte_bpe import op6_byte_bpe
 from .exact_dedup import OP5_SQL, op5_exact_dedup
 from .line_dedup import op1_fuzzy_lines
 from .packing import op4_packing
+from .quality_oracle import quality_sql
 from .quality_rules import op8_quality_rules
 from .secret_scan import op3_secret_scan
 from .sharding import op7_sharding
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL, "op8_quality_rules": quality_sql()}
