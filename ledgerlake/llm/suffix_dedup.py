@@ -17,7 +17,8 @@ two equal strings always meet in an anchor's bucket.  The levels:
    reach to either side.  Suffixes that share that bucket repeat as a whole.
 3. where a q-gram bucket fell into several, its strings of ``length`` bytes
    through the anchor are bucketed one by one, one suffix speaking for each
-   bucket of level 2.
+   bucket of level 2: within a task for buckets of at most ``HOT_CONTEXTS``
+   suffixes, by a pre-aggregated count over all tasks for larger ones.
 
 Work is linear in the anchors: a bucket is counted before the shuffle, and no
 pairs are formed.
@@ -33,11 +34,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_small
 from .common import discard, documents, slices, text_rows, utf8, written
 
 LENGTH = 200
 QGRAM = 32
 BATCH_BYTES = 2 << 20
+# Contexts of one q-gram bucket that a task takes together; a bucket with more is counted string by string, in any task.
+HOT_CONTEXTS = 8000
+BROADCAST_BYTES = 8 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_IDS = np.array([xxhash.xxh64_intdigest(bytes([b]), 9) for b in range(256)], np.uint64)
@@ -118,16 +123,11 @@ def _anchor_rows(length: int, q: int, contexts: bool):
     return run
 
 
-def spans_of(places: list[int], singles: list[int], size: int, length: int, q: int) -> list[tuple[int, int]]:
-    """Maximal removed runs: contexts of ``places`` and strings at ``singles``."""
-    runs = []
-    for place in places:
-        lo, hi = max(0, place + q - length), min(size, place + length)
-        if hi - lo >= length:
-            runs.append((lo, hi))
-    runs += [(s, s + length) for s in singles]
+def spans_of(places: list[int], runs: list[tuple[int, int]], size: int, length: int, q: int) -> list[tuple[int, int]]:
+    """Maximal removed runs: the contexts of ``places`` and the ``runs`` together."""
+    reach = [(max(0, p + q - length), min(size, p + length)) for p in places]
     out: list[tuple[int, int]] = []
-    for lo, hi in sorted(runs):
+    for lo, hi in sorted([r for r in reach if r[1] - r[0] >= length] + runs):
         if out and lo <= out[-1][1]:
             out[-1] = (out[-1][0], max(hi, out[-1][1]))
         else:
@@ -137,12 +137,12 @@ def spans_of(places: list[int], singles: list[int], size: int, length: int, q: i
 
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                    ("spans", pa.list_(pa.list_(pa.int64()))), ("kept_sha256", pa.string())])
-_STRINGS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("i", pa.int64())]))
-_OPEN = pa.schema([("mark", pa.int64()), ("text", pa.string()), ("shared", pa.list_(pa.int64())), ("strings", _STRINGS), *_KEPT])
+_PART = pa.struct([("bucket", pa.int64()), ("hot", pa.bool_()), ("begin", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
+_OPEN = pa.schema([("mark", pa.int64()), ("text", pa.string()), ("shared", pa.list_(pa.int64())), ("parts", pa.list_(_PART)), *_KEPT])
 
 
-def _kept(key, text: bytes, places: list[int], singles: list[int], length: int, q: int) -> tuple:
-    spans = spans_of(places, singles, len(text), length, q)
+def _kept(key, text: bytes, places: list[int], runs: list[tuple[int, int]], length: int, q: int) -> tuple:
+    spans = spans_of(places, runs, len(text), length, q)
     at, digest = 0, hashlib.sha256()
     for lo, hi in [*spans, (len(text), len(text))]:
         digest.update(text[at:lo])
@@ -150,48 +150,118 @@ def _kept(key, text: bytes, places: list[int], singles: list[int], length: int,
     return key, len(text), sum(b - a for a, b in spans), len(spans), [list(s) for s in spans], digest.hexdigest()
 
 
-def _string_rows(length: int, q: int):
-    """Level 3: a document's strings through its open anchors, each under two identifiers.
-
-    A document without open anchors is finished here and leaves its result.
-    """
+def _open_rows(length: int, q: int):
+    """Per document the contexts of its open anchors; one without any is finished here and leaves its result."""
     def run(batches):
         for batch in batches:
             rows = []
             texts = batch.column(2).cast(pa.binary())
             for i, (key, mark) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                text, shared = texts[i].as_py(), batch.column(3)[i].as_py() or []
-                view, begins = memoryview(text), set()
-                for place in batch.column(4)[i].as_py() or ():
-                    begins.update(range(max(0, place + q - length), min(place, len(text) - length) + 1))
-                if not begins:
+                text, shared, open_ = texts[i].as_py(), batch.column(3)[i].as_py() or [], batch.column(4)[i].as_py() or []
+                if not open_:
                     rows.append((mark, None, None, None, *_kept(key, text, shared, [], length, q)))
                     continue
-                strings = []
-                for s in sorted(begins):
+                parts = []
+                for o in open_:
+                    lo = max(0, o["place"] + q - length)
+                    parts.append({"bucket": o["bucket"], "hot": o["hot"], "begin": lo, "at": o["place"] - lo, "bytes": text[lo : o["place"] + length]})
+                rows.append((mark, text.decode("utf-8", "surrogatepass"), shared, parts, key, None, None, None, None, None))
+            for lo in range(0, len(rows), 200):
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows[lo : lo + 200]), _OPEN)], schema=_OPEN)
+
+    return run
+
+
+_RUNS = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
+
+
+def repeated_in_buckets(rows: pa.RecordBatch, length: int) -> pa.RecordBatch:
+    """Runs of each document that repeat within whole buckets, given as rows (bucket, doc_id, mark, begin, at, bytes).
+
+    Equal strings through the anchors lie at the same distance from them, so a
+    string's bucket is the anchor's bucket, that distance and the string's
+    own identifier.
+    """
+    bucket, begin, at = (rows.column(i).to_numpy() for i in (0, 3, 4))
+    buf, offsets = utf8(rows.column(5))
+    many = np.maximum(0, np.minimum(at, np.diff(offsets) - length) + 1)
+    row = np.repeat(np.arange(len(many)), many)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    ids = bucket_ids(buf, length)[offsets[row] + place]
+    number = np.concatenate([[0], np.cumsum(bucket[1:] != bucket[:-1])]) if len(bucket) else bucket
+    where = number[row] * (length + 1) + at[row] - place
+    order = np.lexsort((ids, where))
+    same = (ids[order[1:]] == ids[order[:-1]]) & (where[order[1:]] == where[order[:-1]])
+    again = np.zeros(len(row), bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    row, place = row[again], place[again]
+    starts = np.ones(len(row), bool)
+    starts[1:] = (row[1:] != row[:-1]) | (np.diff(place) > length)
+    first = np.flatnonzero(starts)
+    last = np.append(first[1:], len(row))[: len(first)] - 1
+    own = pa.array(row[first])
+    return pa.record_batch([rows.column(1).take(own), rows.column(2).take(own), pa.array(begin[row[first]] + place[first]),
+                            pa.array(begin[row[last]] + place[last] + length)], names=["doc_id", "mark", "lo", "hi"])
+
+
+def _bucket_rows(length: int):
+    """Level 3: rows (bucket, doc_id, mark, begin, at, bytes) sorted by bucket -> repeated runs, whole buckets at a time."""
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            bucket = held.column(0).to_numpy()
+            cut = int(np.searchsorted(bucket, bucket[-1]))
+            if cut:
+                yield repeated_in_buckets(held.slice(0, cut), length)
+                held = held.slice(cut)
+        if held is not None:
+            yield repeated_in_buckets(held, length)
+
+    return run
+
+
+def _single_strings(length: int):
+    """Level 3 of a bucket with very many contexts: every string through the anchor, under two identifiers."""
+    schema = pa.schema([("bucket", pa.int64()), ("far", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), *_RUNS])
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for bucket, key, mark, begin, at, context in zip(*[c.to_pylist() for c in batch.columns]):
+                view = memoryview(context)
+                for s in range(0, min(at, len(context) - length) + 1):
                     h = xxhash.xxh3_128_digest(view[s : s + length])
-                    strings.append({"a": int.from_bytes(h[:8], "big", signed=True), "b": int.from_bytes(h[8:], "big", signed=True), "i": s})
-                rows.append((mark, text.decode("utf-8", "surrogatepass"), shared, strings, key, None, None, None, None, None))
-            for lo in range(0, len(rows), 500):
-                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows[lo : lo + 500]), _OPEN)], schema=_OPEN)
+                    rows.append((bucket, at - s, int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True),
+                                 key, mark, begin + s, begin + s + length))
+                if len(rows) > 20_000:
+                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                    rows = []
+            if rows:
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return run
 
 
 def _removal(length: int, q: int):
-    """(doc_id, text, shared places, single strings) -> what is kept."""
+    """(doc_id, text, shared places, runs) -> what is kept."""
     def run(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
-            rows = [_kept(key, texts[i].as_py(), batch.column(2)[i].as_py() or [], batch.column(3)[i].as_py() or [], length, q)
-                    for i, key in enumerate(batch.column(0).to_pylist())]
+            rows = []
+            for i, key in enumerate(batch.column(0).to_pylist()):
+                runs = [(r["lo"], r["hi"]) for r in batch.column(3)[i].as_py() or []]
+                rows.append(_kept(key, texts[i].as_py(), batch.column(2)[i].as_py() or [], runs, length, q))
             if rows:
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _KEPT)], schema=_KEPT)
 
     return run
 
 
-def repeated_strings(docs: DataFrame, length: int = LENGTH, q: int = QGRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_strings(docs: DataFrame, length: int = LENGTH, q: int = QGRAM, id_col: str = "doc_id", text_col: str = "text",
+                     hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_bytes, n_removed, n_spans, spans, kept_sha256).
 
     A byte goes if a string of ``length`` bytes that covers it also starts
@@ -212,27 +282,36 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, q: int = QGRAM, id_c
     refined = written(active.groupBy("bucket", "context").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "place")).alias("first")), "refined")
     split = refined.groupBy("bucket").agg(F.count("*").alias("parts")).where("parts > 1")
-    again = refined.join(split, "bucket").select("first.*")
+    again = refined.join(split, "bucket").select("first.*", "bucket", (F.col("parts") > hot_contexts).alias("hot"))
     shared = active.join(refined.where("n > 1").select("bucket", "context"), ["bucket", "context"])
-    per_doc = shared.select("doc_id", "mark", "place", F.lit(True).alias("whole")).unionAll(
-        again.select("doc_id", "mark", "place", F.lit(False).alias("whole")))
+    per_doc = shared.select("doc_id", "mark", "place", "bucket", F.lit(None).cast("boolean").alias("hot")).unionAll(
+        again.select("doc_id", "mark", "place", "bucket", "hot"))
     per_doc = per_doc.groupBy(F.col("doc_id").alias("d"), F.col("mark").alias("m")).agg(
-        F.collect_set(F.when(F.col("whole"), F.col("place"))).alias("shared"),
-        F.collect_set(F.when(~F.col("whole"), F.col("place"))).alias("open"))
+        F.collect_set(F.when(F.col("hot").isNull(), F.col("place"))).alias("shared"),
+        F.collect_set(F.when(F.col("hot").isNotNull(), F.struct("place", "bucket", "hot"))).alias("open"))
     of = lambda left, right: left["doc_id"].eqNullSafe(right["d"]) & (left["mark"] == right["m"])
     joined = rows.join(per_doc, of(rows, per_doc), "left").select("doc_id", "mark", "text", "shared", "open")
     # Level 3: the strings themselves, where a bucket fell into several.
     kept = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<array<long>>, kept_sha256 string"
-    strings = written(joined.mapInArrow(_string_rows(length, q),
-                                        f"mark long, text string, shared array<long>, strings array<struct<a:long,b:long,i:long>>, {kept}"), "strings")
-    each = strings.select("doc_id", "mark", F.explode("strings").alias("s")).select("doc_id", "mark", "s.a", "s.b", "s.i")
-    twice = each.groupBy("a", "b").count().where("count > 1").select("a", "b")
-    found = each.join(twice, ["a", "b"]).groupBy(F.col("doc_id").alias("d"), F.col("mark").alias("m")).agg(F.collect_set("i").alias("singles"))
+    strings = written(joined.mapInArrow(_open_rows(length, q), "mark long, text string, shared array<long>, "
+                                        f"parts array<struct<bucket:long,hot:boolean,begin:long,at:long,bytes:binary>>, {kept}"), "strings")
+    runs = "doc_id long, mark long, lo long, hi long"
+    parts = strings.select("doc_id", "mark", F.explode("parts").alias("p"))
+    columns = ("p.bucket", "doc_id", "mark", "p.begin", "p.at", "p.bytes")
+    usual = parts.where("NOT p.hot").select(*columns).repartition("bucket").sortWithinPartitions("bucket")
+    found = usual.mapInArrow(_bucket_rows(length), runs)
+    each = parts.where("p.hot").select(*columns).mapInArrow(_single_strings(length), f"bucket long, far long, a long, b long, {runs}")
+    key = ["bucket", "far", "a", "b"]
+    # Strings found again are few beside all of them: a small table, sent to every task if it measures so.
+    twice = written(each.groupBy(*key).count().where("count > 1").select(*key), "twice")
+    again, _ = broadcast_if_small(twice, BROADCAST_BYTES)
+    found = found.unionAll(each.join(again, key).select("doc_id", "mark", "lo", "hi"))
+    found = found.groupBy(F.col("doc_id").alias("d"), F.col("mark").alias("m")).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
     pending = strings.where("text IS NOT NULL").select("doc_id", "mark", "text", "shared")
-    last = pending.join(found, of(pending, found), "left").select("doc_id", "text", "shared", "singles")
+    last = pending.join(found, of(pending, found), "left").select("doc_id", "text", "shared", "runs")
     names = _KEPT.names
     out = written(strings.where("text IS NULL").select(*names).unionAll(last.mapInArrow(_removal(length, q), kept).select(*names)), "removed")
-    for table in (open_, active, refined, strings):
+    for table in (open_, active, refined, strings, twice):
         discard(table)
     return out
 

@@ -8,12 +8,13 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import byte_bpe, exact_dedup, line_dedup, packing, quality_rules, sharding, simhash, suffix_dedup, token_store
+from ledgerlake.llm import byte_bpe, exact_dedup, line_dedup, packing, quality_rules, registry, sharding, simhash, suffix_dedup, token_store
 from ledgerlake.llm.common import connected_components, scratch
 from ledgerlake.llm.word_tokens import WordTokens, vocabulary_path
 
@@ -80,12 +81,13 @@ def test_repeated_strings(spark, odd, odd_rows, tiny, tiny_rows, which):
     assert bag(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(brute.repeated(rows))
 
 
-def test_repeated_strings_of_a_small_alphabet(spark):
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT_CONTEXTS, 2])
+def test_repeated_strings_of_a_small_alphabet(spark, hot):
     rng = np.random.default_rng(4)
     base = "".join(rng.choice(list("abcé"), 400))
     rows = [(i, base[int(rng.integers(0, 300)):][: int(rng.integers(0, 90))] + "".join(rng.choice(list("abcé"), int(rng.integers(0, 50))))) for i in range(60)]
     rows += [(100, "ab" * 60), (101, "c" * 30), (102, "c" * 19), (103, base), (103, base)]
-    found = suffix_dedup.repeated_strings(spark.createDataFrame(rows, "doc_id long, text string"), length=20, q=6)
+    found = suffix_dedup.repeated_strings(spark.createDataFrame(rows, "doc_id long, text string"), length=20, q=6, hot_contexts=hot)
     assert bag(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(brute.repeated(rows, 20))
 
 
@@ -135,6 +137,29 @@ def test_cutoffs_hold_the_risk(spark):
     assert rates[True] >= 1 - quality_rules.RISK and rates[False] <= 0.2
 
 
+def test_cutoffs_against_sql(spark):
+    """Enough labels that cutoffs are certified in some strata and not in others."""
+    import duckdb
+
+    rng = np.random.default_rng(13)
+    rows = []
+    for i in range(4000):
+        stratum = ("big", "big", "big", "small", None)[i % 5]
+        good = bool(rng.random() < 0.8)
+        text = " ".join("w" * int(rng.integers(2, 6) + (0 if good else 2)) + str((i * 31 + k * k) % 4999) for k in range(60))
+        rows.append((i, text + "#" * int(rng.poisson(0.2 if good else 12)) + "\nx y z\nx y z" * int(rng.random() < 0.01), stratum, good))
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    found = quality_rules.quality_rules(docs, spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, good boolean")).drop("stratum")
+    con = duckdb.connect()
+    documents = pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows], "lang": [r[2] for r in rows]})  # noqa: F841
+    labels = pa.table({"doc_id": [r[0] for r in rows], "quality": [int(r[3]) for r in rows]})  # noqa: F841
+    want = con.execute(registry.ORACLE_SQL["op8_quality_rules"])
+    columns = [d[0] for d in want.description]
+    assert bag(found, *columns) == Counter(want.fetchall())
+    rejected = Counter((r[2], r[3]) for r in rows if r[0] in {x.doc_id for x in found.where("NOT kept").collect()})
+    assert rejected["big", False] > 200 and rejected["big", True] <= 0.02 * 1900
+
+
 def test_no_labels_no_cutoffs(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id long, good boolean")
     found = quality_rules.quality_rules(odd, none)
@@ -260,7 +285,14 @@ def test_local_search_empties_bins_that_best_fit_leaves():
         assert sorted(i for b in bins for i in b) == list(range(40)) and all(lengths[b].sum() <= 100 for b in bins)
         assert len(bins) <= len(start)
         better += len(bins) < len(start)
-    assert packing.local_search([[0, 1], [2, 3], [4]], np.array([60, 30, 55, 35, 20]), 100) is not None
+    assert better > 0
+
+
+def test_rounds_end_when_nothing_pairs_up(spark):
+    """Pieces of over half a sequence each: no two fit together, in any round."""
+    pieces = spark.createDataFrame([(i, 0, 0, 2100 + i % 900, i) for i in range(900)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    found = packing.pack(pieces, group_pieces=100)
+    assert found.count() == found.select("sequence_id").distinct().count() == 900
 
 
 # 2 token store
@@ -340,3 +372,19 @@ def test_lines_are_taken_out(spark):
     docs = spark.createDataFrame([(1, "first line here\nsecond line there\nfirst line here"), (2, "second line there"), (3, None)], "doc_id long, text string")
     left = line_dedup.without_repeats(docs, line_dedup.fuzzy_lines(docs))
     assert {(r.doc_id, r.text) for r in left.collect()} == {(1, "first line here\nsecond line there"), (2, ""), (3, None)}
+
+
+# Oracle SQL
+
+@pytest.mark.parametrize("key", sorted(registry.ORACLE_SQL))
+def test_oracle(spark, tiny, key):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tiny}/{table}.parquet')")
+    want = con.execute(registry.ORACLE_SQL[key])
+    columns = [d[0] for d in want.description]
+    found = registry.QUERIES[key](spark, tiny)
+    assert sorted(found.columns) == sorted(columns)
+    assert bag(found, *columns) == Counter(want.fetchall())
