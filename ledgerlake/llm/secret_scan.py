@@ -1,6 +1,7 @@
 """Operator 3: secret scan with a random forest against false positives.
 
-A pattern finds candidates (long runs of key-like characters); a forest decides
+A pattern finds candidates (whole runs of 16 or more key-like characters, and
+values of any length assigned to a credential's name); a forest decides
 from the candidate's length, its character transitions, how much of it a
 dictionary covers, the document's path and the neighbouring words.  The forest
 is Spark ML's, trained on labelled findings; at most ``MAX_LABELLED`` of each
@@ -27,7 +28,12 @@ REDACTED = b"[SECRET]"
 THRESHOLD = 0.5
 WINDOW = 48
 
-CANDIDATE = re.compile(rb"[A-Za-z0-9+/=_\-]{16,512}")
+# A run of key-like characters, however long; the parts of a web token (header.payload.signature) are one run.
+CANDIDATE = re.compile(rb"eyJ[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+)+|[A-Za-z0-9+/=_\-]{16,}")
+# Where a value may begin, and a value without quotes.
+_SITE = re.compile(rb"(?:=>|:=|[=:])[ \t]*")
+_BARE = re.compile(rb"""[^\s"'`<>,;&)}\]]+""")
+SHORTEST = 4
 _LEFT_WORDS = re.compile(rb"[a-z]+")
 _ASSIGNED = re.compile(rb"""[a-z0-9_\-]*(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth)[a-z0-9_\-]*["']?\s*(?::|=|=>|:=)\s*["']?$""")
 _CREDENTIAL_WORDS = frozenset([b"token", b"secret", b"password", b"passwd", b"pwd", b"key", b"apikey", b"credential", b"auth", b"bearer"])
@@ -91,6 +97,38 @@ def features(text: bytes, lo: int, hi: int, path: str, words: frozenset[bytes])
             float(bool(_ASSIGNED.search(before))), float(quote in (b'"', b"'") and text[hi : hi + 1] == quote)]
 
 
+def _assigned_values(text: bytes):
+    """(begin, end) of every whole value assigned to a credential's name: what its quotes hold, else up to a delimiter."""
+    for m in _SITE.finditer(text):
+        lo = m.end()
+        if not _ASSIGNED.search(text[max(0, lo - WINDOW) : lo].lower()):
+            continue
+        quote = text[lo : lo + 1]
+        if quote in (b'"', b"'"):
+            lo += 1
+            hi = text.find(quote, lo)
+            if hi < 0 or len(text[lo:hi].split(None, 1)) != 1 or text[lo:hi].strip() != text[lo:hi]:
+                continue
+        else:
+            value = _BARE.match(text, lo)
+            if not value:
+                continue
+            hi = lo + len(value.group().rstrip(b".:!?"))
+        if hi - lo >= SHORTEST:
+            yield lo, hi
+
+
+def candidates(text: bytes) -> list[tuple[int, int]]:
+    """(begin, end) of all candidates, in order and apart: long runs, and values of any length assigned to a credential's name."""
+    spans: list[tuple[int, int]] = []
+    for lo, hi in sorted([*(m.span() for m in CANDIDATE.finditer(text)), *_assigned_values(text)]):
+        if spans and lo < spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(hi, spans[-1][1]))
+        else:
+            spans.append((lo, hi))
+    return spans
+
+
 def _scan_rows(docs: DataFrame, id_col: str, text_col: str, path_col: str | None) -> DataFrame:
     ship(docs.sparkSession)
     path = docs[path_col].cast("string") if path_col else F.lit("")
@@ -105,8 +143,8 @@ def findings(docs: DataFrame, dictionary: str, id_col: str = "doc_id", text_col:
             rows = []
             for key, text, path in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2).to_pylist()):
                 text = text.as_py() or b""
-                for m in CANDIDATE.finditer(text):
-                    rows.append((key, m.start(), m.end(), m.group().decode(), features(text, m.start(), m.end(), path, words)))
+                for lo, hi in candidates(text):
+                    rows.append((key, lo, hi, text[lo:hi].decode("utf-8", "surrogatepass"), features(text, lo, hi, path, words)))
             if rows:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.float64())))],
                                       names=["doc_id", "begin", "end", "finding", "features"])
@@ -217,7 +255,7 @@ def redact(docs: DataFrame, forest: Forest, dictionary: str, id_col: str = "doc_
             texts, column = [], batch.column(at)
             for i, text in enumerate(column.cast(pa.binary())):
                 raw = text.as_py()
-                spans = [m.span() for m in CANDIDATE.finditer(raw or b"")]
+                spans = candidates(raw or b"")
                 if spans:
                     path = str(batch.column(where)[i].as_py() or "") if where >= 0 else ""
                     p = forest.probability(np.array([features(raw, lo, hi, path, words) for lo, hi in spans]))

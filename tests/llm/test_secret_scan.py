@@ -72,3 +72,23 @@ def test_trees_as_arrays_decide_like_the_model(spark, docs):
     trained = secret_scan.train_forest(marked, trees=5)
     scanned = secret_scan.scan(docs, trained, vocabulary_path()).collect()
     assert all((len(r.finding) > 17) == r.is_secret for r in scanned)
+
+
+def spans_of(text):
+    raw = text.encode()
+    return [raw[lo:hi].decode() for lo, hi in secret_scan.candidates(raw)]
+
+
+def always(probability):
+    return secret_scan.Forest([([-1], [0.0], [0], [0], [probability])])
+
+
+def test_long_and_short_secrets_are_whole_candidates(spark):
+    key = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(20))
+    web = f"eyJhbGciOiJIUzI1NiJ9.{key}.c2lnbmF0dXJl"
+    for value in (key, web, "Xk29fQa7", "p#9!x", "a.b-" + key):
+        assert spans_of(f'password = "{value}" end') == [value]
+    assert spans_of("the pin Xk29fQa7 is no candidate") == []
+    docs = spark.createDataFrame([(1, f'a token = "{key}" b'), (2, 'password: "Xk29fQa7"')], "doc_id long, text string")
+    left = secret_scan.redact(docs, always(1.0), vocabulary_path(), path_col=None)
+    assert {r.text for r in left.collect()} == {'a token = "[SECRET]" b', 'password: "[SECRET]"'}
