@@ -28,14 +28,16 @@ REDACTED = b"[SECRET]"
 THRESHOLD = 0.5
 WINDOW = 48
 
-# A run of key-like characters, however long; the parts of a web token (header.payload.signature) are one run.
-CANDIDATE = re.compile(rb"eyJ[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+)+|[A-Za-z0-9+/=_\-]{16,}")
+# A run of key-like characters, however long, with its base64 padding; the parts of a web token (header.payload.signature) are one run.
+CANDIDATE = re.compile(rb"""eyJ[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+)+|[A-Za-z0-9+/_\-]{16,}(?:={1,2}(?!["']?[A-Za-z0-9+/=_\-]))?""")
+# What follows a name that a value is assigned to.
+_NAMED = re.compile(rb"""=["']?[A-Za-z0-9+/_\-]""")
 # Where a value may begin, and a value without quotes.
-_SITE = re.compile(rb"(?:=>|:=|[=:])[ \t]*")
+_SITE = re.compile(rb"(?:=>|:=|[=:]|[Bb]earer(?=[ \t])|BEARER(?=[ \t]))[ \t]*")
 _BARE = re.compile(rb"""[^\s"'`<>,;&)}\]]+""")
 SHORTEST = 4
 _LEFT_WORDS = re.compile(rb"[a-z]+")
-_ASSIGNED = re.compile(rb"""[a-z0-9_\-]*(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth)[a-z0-9_\-]*["']?\s*(?::|=|=>|:=)\s*["']?$""")
+_ASSIGNED = re.compile(rb"""[a-z0-9_\-]*(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth)[a-z0-9_\-]*["']?\s*(?::|=|=>|:=)\s*["']?(?:(?:bearer|basic)\s+)?$|\bbearer\s+["']?$""")
 _CREDENTIAL_WORDS = frozenset([b"token", b"secret", b"password", b"passwd", b"pwd", b"key", b"apikey", b"credential", b"auth", b"bearer"])
 _HARMLESS_WORDS = frozenset([b"example", b"sample", b"dummy", b"test", b"placeholder", b"sha", b"checksum", b"digest", b"commit", b"uuid"])
 _HARMLESS_PATHS = re.compile(r"test|example|sample|mock|fixture|doc")
@@ -114,6 +116,8 @@ def _assigned_values(text: bytes):
             if not value:
                 continue
             hi = lo + len(value.group().rstrip(b".:!?"))
+            if text[lo:hi].lower() in (b"bearer", b"basic"):  # the value follows
+                continue
         if hi - lo >= SHORTEST:
             yield lo, hi
 
@@ -121,7 +125,8 @@ def _assigned_values(text: bytes):
 def candidates(text: bytes) -> list[tuple[int, int]]:
     """(begin, end) of all candidates, in order and apart: long runs, and values of any length assigned to a credential's name."""
     spans: list[tuple[int, int]] = []
-    for lo, hi in sorted([*(m.span() for m in CANDIDATE.finditer(text)), *_assigned_values(text)]):
+    runs = (m.span() for m in CANDIDATE.finditer(text) if not _NAMED.match(text, m.end()))
+    for lo, hi in sorted([*runs, *_assigned_values(text)]):
         if spans and lo < spans[-1][1]:
             spans[-1] = (spans[-1][0], max(hi, spans[-1][1]))
         else:

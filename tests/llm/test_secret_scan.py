@@ -92,3 +92,29 @@ def test_long_and_short_secrets_are_whole_candidates(spark):
     docs = spark.createDataFrame([(1, f'a token = "{key}" b'), (2, 'password: "Xk29fQa7"')], "doc_id long, text string")
     left = secret_scan.redact(docs, always(1.0), vocabulary_path(), path_col=None)
     assert {r.text for r in left.collect()} == {'a token = "[SECRET]" b', 'password: "[SECRET]"'}
+
+
+HEX = "0f3c9a7be2d1485f96a07c3bd2e18f4570bb91de"
+
+
+@pytest.mark.parametrize("text, value", [
+    (f"API_KEY={HEX}", HEX),
+    ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG+bPxRfiCYzz0123abcd", "wJalrXUtnFEMI/K7MDENG+bPxRfiCYzz0123abcd"),
+    (f'export SERVICE_ACCOUNT_TOKEN="{HEX}"', HEX),
+    (f"https://host.org/v1/items?token={HEX}&page=2", HEX),
+    (f"https://host.org/v1/items?page=2&access_token={HEX}", HEX),
+    (f"Authorization: Bearer {HEX}", HEX),
+    ("Authorization: Bearer aX9kQ2", "aX9kQ2"),
+    ("SECRET=c2VjcmV0IHZhbHVlIGhlcmU9PQ==", "c2VjcmV0IHZhbHVlIGhlcmU9PQ=="),
+    ("DB_PASSWORD=Xk29fQa7", "Xk29fQa7"),
+])
+def test_value_is_the_candidate_and_name_its_neighbour(text, value):
+    raw = text.encode()
+    assert spans_of(text) == [value]
+    measures = dict(zip(secret_scan.FEATURES, secret_scan.features(raw, *secret_scan.candidates(raw)[0], "", frozenset())))
+    assert measures["assigned"] == 1 and measures["credential_word"] == 1
+
+
+def test_redaction_leaves_the_name(spark):
+    docs = spark.createDataFrame([(1, f"API_KEY={HEX}\nx")], "doc_id long, text string")
+    assert secret_scan.redact(docs, always(1.0), vocabulary_path(), path_col=None).first().text == "API_KEY=[SECRET]\nx"
