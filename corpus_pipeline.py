@@ -14,7 +14,7 @@ from ledgerlake.llm.common import documents, written
 from ledgerlake.llm.filters import drop_exact_copies, drop_near_copies, keep_good
 from ledgerlake.llm.packing import pack_documents
 from ledgerlake.llm.quality_rules import quality_labels
-from ledgerlake.llm.secret_scan import fit_on_corpus, redact
+from ledgerlake.llm.secret_scan import fitted, redact
 from ledgerlake.llm.simhash import MAX_BITS, SHINGLE_WORDS
 from ledgerlake.llm.word_tokens import vocabulary_path
 
@@ -33,7 +33,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     dictionary = vocabulary_path()
-    return redact(docs, fit_on_corpus(docs, dictionary), dictionary)
+    return redact(docs, fitted(spark, dictionary), dictionary)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,10 +4,10 @@ A pattern finds candidates (whole runs of 16 or more key-like characters, and
 values of any length assigned to a credential's name); a forest decides
 from the candidate's length, its character transitions, how much of it a
 dictionary covers, the document's path and the neighbouring words.  The forest
-is Spark ML's, trained on labelled findings; at most ``MAX_LABELLED`` of each
-label (those with the smallest hash of their place and text) are used.  Its
-trees are read out once, as arrays, and applied where the texts are scanned,
-so a scan is one pass without a shuffle.
+is Spark ML's, trained on the fixed labelled findings of ``secret_examples.py``,
+so the verdict on a document does not depend on what other documents hold, and
+kept for the process.  Its trees are read out once, as arrays, and applied where
+the texts are scanned, so a scan is one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, ship, written
+from .secret_examples import examples
 from .word_tokens import vocabulary_path
 
 MAX_LABELLED = 3000
@@ -41,8 +42,9 @@ _ASSIGNED = re.compile(rb"""[a-z0-9_\-]*(?:token|secret|passw(?:or)?d|pwd|api[_-
 _CREDENTIAL_WORDS = frozenset([b"token", b"secret", b"password", b"passwd", b"pwd", b"key", b"apikey", b"credential", b"auth", b"bearer"])
 _HARMLESS_WORDS = frozenset([b"example", b"sample", b"dummy", b"test", b"placeholder", b"sha", b"checksum", b"digest", b"commit", b"uuid"])
 _HARMLESS_PATHS = re.compile(r"test|example|sample|mock|fixture|doc")
+_PREFIXED = re.compile(rb"(?:AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-|[sr]k_live_|xox[abprs]-|AIza|eyJ|npm_|hf_)")
 FEATURES = ("length", "transitions", "entropy", "digits", "capitals", "hex", "dictionary", "path", "credential_word", "harmless_word",
-            "assigned", "quoted")
+            "assigned", "quoted", "prefixed")
 
 
 def load_words(path: str) -> frozenset[bytes]:
@@ -96,7 +98,8 @@ def features(text: bytes, lo: int, hi: int, path: str, words: frozenset[bytes])
     return [float(len(raw)), float(np.count_nonzero(kind[1:] != kind[:-1]) / max(1, len(raw) - 1)), float(-(share * np.log2(share)).sum()),
             float((kind == 1).mean()), float((kind == 3).mean()), float(hexed), coverage(candidate, words),
             float(bool(_HARMLESS_PATHS.search(path.lower()))), float(bool(near & _CREDENTIAL_WORDS)), float(bool(near & _HARMLESS_WORDS)),
-            float(bool(_ASSIGNED.search(before))), float(quote in (b'"', b"'") and text[hi : hi + 1] == quote)]
+            float(bool(_ASSIGNED.search(before))), float(quote in (b'"', b"'") and text[hi : hi + 1] == quote),
+            float(bool(_PREFIXED.match(candidate)))]
 
 
 def _assigned_values(text: bytes):
@@ -275,12 +278,34 @@ def redact(docs: DataFrame, forest: Forest, dictionary: str, id_col: str = "doc_
     return docs.mapInArrow(run, schema)
 
 
+def example_findings(dictionary: str) -> list[tuple[list[float], float]]:
+    """(features, label) of the fixed examples; what an example does not hold as a candidate needs no label."""
+    words, rows = _words(dictionary), []
+    for text, secret in examples():
+        value = text.find(secret) if secret else -1
+        for lo, hi in candidates(text):
+            rows.append((features(text, lo, hi, "", words), float(lo <= value < hi)))
+    return rows
+
+
+_forests: dict[str, Forest] = {}
+
+
+def fitted(spark: SparkSession, dictionary: str) -> Forest:
+    """The forest of the fixed examples, fitted once for a dictionary."""
+    if dictionary not in _forests:
+        rows = spark.createDataFrame(example_findings(dictionary), "features array<double>, label double").coalesce(1)
+        _forests[dictionary] = train_forest(rows)
+    return _forests[dictionary]
+
+
 def fit_on_corpus(docs: DataFrame, dictionary: str, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> Forest:
-    """A forest from the findings of ``docs`` that the rule labels for sure."""
-    labelled = label_by_rule(findings(docs, dictionary, id_col, text_col, path_col))
-    return train_forest(written(bounded_sample(labelled), "labelled"))
+    """A forest from the fixed examples and the findings of ``docs`` that the rule labels for sure (at most ``MAX_LABELLED`` of each label)."""
+    labelled = bounded_sample(label_by_rule(findings(docs, dictionary, id_col, text_col, path_col)))
+    fixed = docs.sparkSession.createDataFrame(example_findings(dictionary), "features array<double>, label double")
+    return train_forest(written(labelled.select("features", "label").unionAll(fixed), "labelled"))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, dictionary = documents(spark, sf_dir), vocabulary_path()
-    return scan(docs, fit_on_corpus(docs, dictionary), dictionary)
+    return scan(docs, fitted(spark, dictionary), dictionary)
