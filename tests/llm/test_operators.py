@@ -378,7 +378,7 @@ def test_links_by_edit_similarity_alone(spark):
     """Against brute force without any fingerprint: no false link, and at least 95 % of the lines in their whole group."""
     rng = np.random.default_rng(4)
     words = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 10))) for _ in range(400)]
-    lines = ["quick", "quickk", "lazy dogs", "lazy dog"]
+    lines = ["quick", "quickk", "lazy dogs", "lazy dog", "-----", "-----", "------"]
     for size in (5, 12, 20, 40):
         for _ in range(15):
             base = [words[k] for k in rng.integers(0, 400, size)]
@@ -391,13 +391,20 @@ def test_links_by_edit_similarity_alone(spark):
     for i, a in enumerate(plain):
         for j, b in enumerate(plain[:i]):
             most = int(0.2 * max(len(a), len(b)) + 1e-9)
-            if a == b or (abs(len(a) - len(b)) <= most and brute.levenshtein(a, b) <= most):
+            if a == b or (a.strip("-") and abs(len(a) - len(b)) <= most and brute.levenshtein(a, b) <= most):
                 union.join(i, j)
     want = Counter(union.find(i) for i in range(len(lines)))
     assert len(found) == len(lines) and all(union.find(r.doc_id) == union.find(r.keep_doc_id) for r in found)
     assert sum(r.group_size == want[union.find(r.doc_id)] for r in found) >= 0.95 * len(lines)
 
 
+def test_lines_of_marks_are_grouped_exactly(spark):
+    docs = spark.createDataFrame([(1, "-----\n* * *\n \n-----"), (2, "====\n*  * *")], "doc_id long, text string")
+    for bits in (None, 3):
+        found = {(r.doc_id, r.line_no): (r.group_size, r.kept) for r in line_dedup.fuzzy_lines(docs, max_bits=bits).collect()}
+        assert found == {(1, 0): (2, True), (1, 1): (2, True), (1, 3): (2, False), (2, 0): (1, True), (2, 1): (2, False)}
+
+
 # Oracle SQL
 
 @pytest.mark.parametrize("key", sorted(registry.ORACLE_SQL))
