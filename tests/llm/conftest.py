@@ -1,12 +1,7 @@
 from __future__ import annotations
 
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 # Rows that every operator has to stand: nulls, empty and long texts, ties, repeated rows.
 BASE = ("the cat sat on the mat and looked at the moon while seven dogs ran over green hills to find old bones under "
         "wide trees near cold rivers that flow past small towns where people sell bread cheese wine and warm coats ") * 2
