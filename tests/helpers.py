@@ -1,4 +1,4 @@
-"""Builders of raw-shaped test rows (merchants: 9 text columns, transactions: 12)."""
+"""Test data folders and builders of raw-shaped rows (merchants: 9 text columns, transactions: 12)."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 MERCHANT_FIELDS = [
     "merchant_name",
     "merchant_id",

@@ -9,7 +9,7 @@ import tempfile
 import uuid
 
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from pyspark.sql import functions as F
 
 from ledgerlake.plans.layers import (

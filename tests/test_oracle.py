@@ -15,7 +15,7 @@ import sys
 
 import duckdb
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 import __spark_entry__ as entry_mod
 from ledgerlake.plans import oracle, registry

@@ -6,7 +6,7 @@ import re
 import uuid
 
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from ledgerlake import operators as ops
 from ledgerlake.plans.registry import GOLD_OPS, gold

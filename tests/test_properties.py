@@ -6,8 +6,7 @@ from __future__ import annotations
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
-from conftest import SF_SMALL
-from helpers import gold_of, merchant, txn
+from helpers import SF_SMALL, gold_of, merchant, txn
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

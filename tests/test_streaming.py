@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import clean_merchants
