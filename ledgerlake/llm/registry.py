@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .byte_bpe import op6_byte_bpe
 from .exact_dedup import OP5_SQL, op5_exact_dedup
+from .harmonic import op13_harmonic_packing
 from .line_dedup import op1_fuzzy_lines
 from .packing import op4_packing
 from .quality_oracle import quality_sql
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
+    "op13_harmonic_packing": op13_harmonic_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL, "op8_quality_rules": quality_sql()}
