@@ -12,6 +12,7 @@ from .quality_rules import op8_quality_rules
 from .secret_scan import op3_secret_scan
 from .sharding import op7_sharding
 from .simhash import op10_simhash
+from .spelling import op12_spelling_variants
 from .suffix_dedup import op9_suffix_dedup
 from .token_store import op2_token_store
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_harmonic_packing": op13_harmonic_packing,
 }
 
