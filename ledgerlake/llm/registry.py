@@ -7,6 +7,7 @@ from .exact_dedup import OP5_SQL, op5_exact_dedup
 from .harmonic import op13_harmonic_packing
 from .line_dedup import op1_fuzzy_lines
 from .packing import op4_packing
+from .periodic_runs import op11_periodic_runs
 from .quality_oracle import quality_sql
 from .quality_rules import op8_quality_rules
 from .secret_scan import op3_secret_scan
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_harmonic_packing": op13_harmonic_packing,
 }
