@@ -4,15 +4,18 @@ Words and their counts are gathered from whole texts.  The gram dictionary
 holds the grams that are frequent among the distinct words (a bounded number,
 see ``MAX_GRAMS``).  A word, between two end marks, is decomposed at each
 place into the shortest gram that is not frequent, up to ``GRAM_MOST``
-characters; a gram inside an earlier one is left out.
-
-One inserted, deleted or replaced character changes only grams that hold it,
-and those that a longer gram before them may come to cover; the largest number
-of a word's grams that one edit can so affect is its bound.  Two near words
-therefore share a gram among the rarest ``bound + 1`` of each: only those
-lists of the index are merged, by gram, place and length, and what meets there
-is verified by edit distance.  A word of ``2 * GRAM_MOST - 1`` characters or
-more always has more grams than its bound, so no link is lost.
+characters.  A gram's choice looks at its own characters only, so one
+inserted, deleted or replaced character changes no gram but those that hold
+it; the most grams that hold one character are a word's affected-gram bound.
+
+A word of m grams and bound b keeps at least m - b grams through any edit, so
+h of them end before the edit, or m - b + 1 - h begin after it.  In the first
+case everything up to the h-th end is the same in both words, in the second
+everything from that start on.  A gram's list in the index is therefore split
+by the characters before it, and again by those after it; a word merges the
+two lists that its bound names, for words of its own size and of one letter
+more, and what meets there is verified.  The rarer a word's grams, the shorter
+they are, the lower its bound and the longer the context of its two lists.
 """
 
 from __future__ import annotations
@@ -97,74 +100,93 @@ def frequent_grams(words: DataFrame, max_grams: int = MAX_GRAMS, short_list: int
     sizes = range(GRAM_LEAST, most + 1)
     total = marked.agg(sum((F.sum(F.greatest(F.length("m") - (q - 1), F.lit(0))) for q in sizes), F.lit(0)).alias("t")).first().t or 0
     limit = max(short_list, -(-total // max_grams))
-    grams = F.flatten(F.array(*(F.transform(F.sequence(F.lit(1), F.length("m") - (q - 1)), lambda i, q=q: F.substring("m", i, F.lit(q)))
-                                for q in sizes)))
+    grams = F.flatten(F.array(*(F.expr(f"transform(sequence(1, length(m) - {q - 1}), i -> substring(m, i, {q}))") for q in sizes)))
     counted = marked.where(F.length("m") >= most).select(F.explode(grams).alias("gram")).groupBy("gram").count()
     return {r.gram: r["count"] for r in counted.where(F.col("count") > limit).collect()}
 
 
-def decompose(word: str, frequent: dict[str, int], most: int = GRAM_MOST) -> list[tuple[int, str]]:
-    """(place, gram) of ``word``'s variable-length grams; none lies within another."""
-    marked, out, reached = BEGIN + word + END, [], 0
+def decompose(word: str, frequent: dict[str, int], most: int = GRAM_MOST) -> list[int]:
+    """Where the gram that begins at each place of the marked word ends."""
+    marked, ends = BEGIN + word + END, []
     n = len(marked)
     for at in range(n - GRAM_LEAST + 1):
-        size = GRAM_LEAST
-        while size < most and at + size < n and marked[at : at + size] in frequent:
-            size += 1
-        if at + size > reached:
-            reached = at + size
-            out.append((at, marked[at : at + size]))
-    return out
-
-
-def affected_bound(grams: list[tuple[int, str]], most: int = GRAM_MOST) -> int:
-    """Most grams that one edit can change or drop: those whose ends lie within ``most + 1`` places."""
-    ends = [at + len(gram) for at, gram in grams]
-    best = first = 0
-    for last, end in enumerate(ends):
-        while end - ends[first] > most:
-            first += 1
-        best = max(best, last - first + 1)
+        end = at + GRAM_LEAST
+        while end < n and end - at < most and marked[at:end] in frequent:
+            end += 1
+        ends.append(end)
+    return ends
+
+
+def affected_bound(ends: list[int]) -> int:
+    """Most grams that one edit can change: the most that hold one character."""
+    begun = best = 0
+    for at, end in enumerate(sorted(ends)):
+        while begun < len(ends) and begun < end:
+            begun += 1
+        best = max(best, begun - at)
     return best
 
 
-def rarest_grams(word: str, frequent: dict[str, int], most: int = GRAM_MOST) -> list[tuple[int, str]]:
-    """The ``affected_bound + 1`` rarest grams, in an order all words share."""
-    grams = decompose(word, frequent, most)
-    ordered = sorted(grams, key=lambda g: (frequent.get(g[1], 0), g[1], g[0]))
-    return ordered[: affected_bound(grams, most) + 1]
+def _half(size: int) -> int:
+    """Characters of a marked word that a list's context has at most."""
+    return size // 2 + 1
 
 
-def near_pairs(words: DataFrame, frequent: dict[str, int], least_length: int = LEAST_LENGTH, most: int = GRAM_MOST) -> DataFrame:
+def index_lists(word: str, frequent: dict[str, int], most: int = GRAM_MOST) -> list[str]:
+    """The lists a word stands in: each gram with all before it, and each with all after it, up to half the word."""
+    marked, ends = BEGIN + word + END, decompose(word, frequent, most)
+    half = _half(len(marked))
+    return [marked[:end] for end in sorted(set(ends)) if end <= half] + [marked[at:] for at in range(len(marked) - half, len(ends))]
+
+
+def merged_lists(word: str, frequent: dict[str, int], most: int = GRAM_MOST) -> list[str]:
+    """The two lists a word's near words are in: of the grams left by any one edit, so many lie before it, or so many after."""
+    marked, ends = BEGIN + word + END, sorted(decompose(word, frequent, most))
+    n, half, spared = len(marked), _half(len(word) + 2), len(ends) - affected_bound(ends)
+    before = max(range(1, spared + 1), key=lambda h: min(ends[h - 1], n - len(ends) + spared + 1 - h))
+    end = max(e for e in ends[:before] if e <= half)
+    at = max(len(ends) - (spared + 1 - before), n - half)
+    return [marked[:end], marked[at:]]
+
+
+def _letters(word: str) -> int:
+    """One bit per letter (of 64): an edit takes away one at most and adds one at most."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def near_pairs(words: DataFrame, frequent: dict[str, int], most: int = GRAM_MOST) -> DataFrame:
     """(a, b), once each, of distinct words at edit distance one; a is the shorter, or the smaller of equal length.
 
-    ``words(word)`` are distinct, of ``least_length`` characters or more, with
-    ``least_length >= 2 * most - 1``.  ``frequent`` is broadcast (bounded, see
-    :func:`frequent_grams`).
+    ``words(word)`` are distinct, of at least ``most + 1`` characters.
+    ``frequent`` is broadcast (bounded, see :func:`frequent_grams`).
     """
-    if least_length < 2 * most - 1:
-        raise ValueError(f"grams of {most} need words of {2 * most - 1} characters or more")
     shared = words.sparkSession.sparkContext.broadcast(frequent)
 
-    def index(batches):
-        lists = shared.value
-        for batch in batches:
-            rows: list[tuple[str, str, int, int]] = []
-            for word in batch.column(0).to_pylist():
-                rows += [(word, gram, at, len(word)) for at, gram in rarest_grams(word, lists, most)]
-            if rows:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int32(), pa.int32()))],
-                                      names=["word", "gram", "at", "size"])
-
-    lists = written(words.select("word").mapInArrow(index, "word string, gram string, at int, size int"), "grams")
-    short = lists.select(F.col("word").alias("a"), "gram", "at", "size")
-    # What may meet a shorter word's gram: that gram of an equally long word, or of one longer by a letter, before or after that letter.
-    places = F.array(F.struct(F.col("at").alias("at"), F.col("size").alias("size")),
-                     F.struct(F.col("at").alias("at"), (F.col("size") - 1).alias("size")),
-                     F.struct((F.col("at") - 1).alias("at"), (F.col("size") - 1).alias("size")))
-    long = lists.select(F.col("word").alias("b"), "gram", F.explode(places).alias("p")).select("b", "gram", "p.at", "p.size")
-    met = short.join(long, ["gram", "at", "size"]).where("a <> b AND (length(a) < length(b) OR a < b)").select("a", "b")
-    return met.where(F.levenshtein("a", "b", 1) == 1).distinct()
+    def lists_of(kind):
+        def run(batches):
+            grams = shared.value
+            for batch in batches:
+                rows: list[tuple[str, int, str, int]] = []
+                for word in batch.column(0).to_pylist():
+                    letters, size = _letters(word), len(word)
+                    rows += [(word, letters, context, size) for context in kind(word, grams, most)]
+                if rows:
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.string(), pa.int32()))],
+                                          names=["word", "letters", "context", "size"])
+
+        return words.select("word").mapInArrow(run, "word string, letters long, context string, size int")
+
+    # A list is known by the checksum of its context and its words' size; two that share one only meet more words to verify.
+    index = lists_of(index_lists).select(F.col("word").alias("b"), F.col("letters").alias("b_letters"), F.xxhash64("context", "size").alias("list"))
+    sizes = F.explode(F.array("size", F.col("size") + 1))
+    merged = lists_of(merged_lists).select("word", "letters", "context", sizes.alias("size")).select(
+        F.col("word").alias("a"), F.col("letters").alias("a_letters"), F.xxhash64("context", "size").alias("list"))
+    close = F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2
+    met = merged.join(index, (merged["list"] == index["list"]) & close & F.expr("char_length(a) < char_length(b) OR a < b"))
+    return met.where(F.levenshtein("a", "b", 1) == 1).select("a", "b").distinct()
 
 
 def roots_of(forms: DataFrame) -> DataFrame:
@@ -194,8 +216,8 @@ def spelling_variants(docs: DataFrame, least_length: int = LEAST_LENGTH, least_c
     columns are not read.
     """
     words = written(word_counts(docs, least_length, id_col, text_col).where(F.col("n") >= least_count), "words")
-    most = min(GRAM_MOST, (least_length + 1) // 2)
-    pairs = written(near_pairs(words, frequent_grams(words, max_grams, short_list, most), least_length, most), "near")
+    most = min(GRAM_MOST, least_length - 1)
+    pairs = written(near_pairs(words, frequent_grams(words, max_grams, short_list, most), most), "near")
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("near")).unionAll(pairs.select(F.col("b").alias("word"), F.col("a").alias("near")))
     counted = both.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     best = counted.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("rank"), "near")).alias("best"))

@@ -101,20 +101,25 @@ def test_many_near_words(spark, short_list):
     assert any(form and root != form for _, form, root, *_ in want)
 
 
-def test_a_shared_gram_among_the_rarest():
+def test_near_words_meet_in_a_merged_list():
     rng = random.Random(5)
-    for _ in range(4000):
-        a = "".join(rng.choice("abc") for _ in range(rng.randint(7, 14)))
+    for _ in range(20_000):
+        a = "".join(rng.choice("abc") for _ in range(rng.randint(5, 14)))
         at = rng.randrange(len(a))
-        b = rng.choice([a[:at] + a[at + 1 :], a[:at] + rng.choice("abc") + a[at:], a[:at] + rng.choice("abc") + a[at + 1 :]])
-        if a == b or len(b) < 7:
+        b = rng.choice([a[:at] + rng.choice("abc") + a[at:], a[:at] + rng.choice("abc") + a[at + 1 :]])
+        if a == b:
             continue
-        a, b = sorted((a, b), key=lambda w: (len(w), w))
         grams = {x + y: rng.randint(1, 9) for x in "^abc" for y in "abc$" if rng.random() < 0.6}
         grams |= {g + y: rng.randint(1, 9) for g in list(grams) for y in "abc$" if rng.random() < 0.5}
-        grown = len(b) - len(a)
-        of_a, of_b = set(spelling.rarest_grams(a, grams)), spelling.rarest_grams(b, grams)
-        assert any((at - shift, gram) in of_a for at, gram in of_b for shift in range(grown + 1)), (a, b, grams)
+        assert set(spelling.merged_lists(a, grams)) & set(spelling.index_lists(b, grams)), (a, b, grams)
+
+
+def test_affected_bound_is_of_one_character():
+    rng = random.Random(6)
+    for _ in range(2000):
+        n = rng.randint(3, 20)
+        ends = [min(n, at + rng.randint(2, 4)) for at in range(n - 1)]
+        assert spelling.affected_bound(ends) == max(sum(at <= e < end for at, end in enumerate(ends)) for e in range(n))
 
 
 def test_empty(empty):
