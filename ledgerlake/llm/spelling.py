@@ -90,18 +90,22 @@ def word_counts(docs: DataFrame, least_length: int = LEAST_LENGTH, id_col: str =
 
 
 def frequent_grams(words: DataFrame, max_grams: int = MAX_GRAMS, short_list: int = SHORT_LIST, most: int = GRAM_MOST) -> dict[str, int]:
-    """The gram dictionary: grams of ``GRAM_LEAST`` to ``most`` characters met more often than the limit, with their counts.
-
-    The limit is ``short_list`` or, if larger, the number of all grams over
-    ``max_grams``: fewer than ``max_grams`` grams can pass it, so the
-    dictionary's size is bounded however many words there are.
+    """The gram dictionary: grams met more often than the limit, with their counts.
+
+    Grams of ``GRAM_LEAST`` to ``most - 1`` characters (longer ones are never
+    extended) and the words' beginnings and ends from ``most`` characters to
+    half the word, the contexts of the index's lists.  The limit is
+    ``short_list`` or, if larger, the number of all grams over ``max_grams``:
+    fewer than ``max_grams`` can pass it, so the dictionary's size is bounded
+    however many words there are.
     """
-    marked = words.select(F.concat(F.lit(BEGIN), "word", F.lit(END)).alias("m"))
-    sizes = range(GRAM_LEAST, most + 1)
-    total = marked.agg(sum((F.sum(F.greatest(F.length("m") - (q - 1), F.lit(0))) for q in sizes), F.lit(0)).alias("t")).first().t or 0
+    marked = words.select(F.concat(F.lit(BEGIN), "word", F.lit(END)).alias("m")).where(F.length("m") >= most)
+    inner = [f"transform(sequence(1, length(m) - {q - 1}), i -> substring(m, i, {q}))" for q in range(GRAM_LEAST, most)]
+    outer = [f"transform(sequence({most}, greatest({most}, length(m) div 2 + 1)), i -> {side}(m, i))" for side in ("left", "right")]
+    grams = marked.select(F.expr(f"concat({', '.join(inner + outer)})").alias("grams"))
+    total = grams.agg(F.sum(F.size("grams")).alias("t")).first().t or 0
     limit = max(short_list, -(-total // max_grams))
-    grams = F.flatten(F.array(*(F.expr(f"transform(sequence(1, length(m) - {q - 1}), i -> substring(m, i, {q}))") for q in sizes)))
-    counted = marked.where(F.length("m") >= most).select(F.explode(grams).alias("gram")).groupBy("gram").count()
+    counted = grams.select(F.explode("grams").alias("gram")).groupBy("gram").count()
     return {r.gram: r["count"] for r in counted.where(F.col("count") > limit).collect()}
 
 
@@ -140,20 +144,30 @@ def index_lists(word: str, frequent: dict[str, int], most: int = GRAM_MOST) -> l
 
 
 def merged_lists(word: str, frequent: dict[str, int], most: int = GRAM_MOST) -> list[str]:
-    """The two lists a word's near words are in: of the grams left by any one edit, so many lie before it, or so many after."""
+    """The two lists a word's near words are in: of the grams left by any one edit, so many end before it, or so many begin after it.
+
+    Of the ways to share the bound between the two, the one with the shortest lists.
+    """
     marked, ends = BEGIN + word + END, sorted(decompose(word, frequent, most))
-    n, half, spared = len(marked), _half(len(word) + 2), len(ends) - affected_bound(ends)
-    before = max(range(1, spared + 1), key=lambda h: min(ends[h - 1], n - len(ends) + spared + 1 - h))
-    end = max(e for e in ends[:before] if e <= half)
-    at = max(len(ends) - (spared + 1 - before), n - half)
-    return [marked[:end], marked[at:]]
+    n, half, places = len(marked), _half(len(word) + 2), len(ends)
+    spared = places - affected_bound(ends)
+    best = None
+    for before in range(1, spared + 1):
+        end = max(e for e in ends[:before] if e <= half)
+        at = max(places - (spared + 1 - before), n - half)
+        left, right = marked[:end], marked[at:]
+        rank = (frequent.get(left, 0) + frequent.get(right, 0), -min(end, n - at))
+        if best is None or rank < best[0]:
+            best = rank, [left, right]
+    return best[1]
 
 
 def _letters(word: str) -> int:
-    """One bit per letter (of 64): an edit takes away one at most and adds one at most."""
+    """Two bits per kind of letter (of 32): met, and met again.  An edit takes away one letter at most and adds one: two bits."""
     bits = 0
     for c in word:
-        bits |= 1 << (ord(c) & 63)
+        once = 1 << 2 * (ord(c) & 31)
+        bits |= once << 1 if bits & once else once
     return bits - (1 << 64) if bits >> 63 else bits
 
 
@@ -181,12 +195,13 @@ def near_pairs(words: DataFrame, frequent: dict[str, int], most: int = GRAM_MOST
 
     # A list is known by the checksum of its context and its words' size; two that share one only meet more words to verify.
     index = lists_of(index_lists).select(F.col("word").alias("b"), F.col("letters").alias("b_letters"), F.xxhash64("context", "size").alias("list"))
-    sizes = F.explode(F.array("size", F.col("size") + 1))
-    merged = lists_of(merged_lists).select("word", "letters", "context", sizes.alias("size")).select(
-        F.col("word").alias("a"), F.col("letters").alias("a_letters"), F.xxhash64("context", "size").alias("list"))
+    longer = F.explode(F.array(F.lit(0), F.lit(1)))
+    merged = lists_of(merged_lists).select("word", "letters", "context", "size", longer.alias("longer")).select(
+        F.col("word").alias("a"), F.col("letters").alias("a_letters"), "longer", F.xxhash64("context", F.col("size") + F.col("longer")).alias("list"))
     close = F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2
-    met = merged.join(index, (merged["list"] == index["list"]) & close & F.expr("char_length(a) < char_length(b) OR a < b"))
-    return met.where(F.levenshtein("a", "b", 1) == 1).select("a", "b").distinct()
+    met = merged.join(index, (merged["list"] == index["list"]) & close & F.expr("longer = 1 OR a < b"))
+    near = met.where(F.levenshtein("a", "b", 1) == 1).where("char_length(a) < char_length(b) OR char_length(a) = char_length(b) AND a < b")
+    return near.select("a", "b").distinct()
 
 
 def roots_of(forms: DataFrame) -> DataFrame:
