@@ -1,21 +1,31 @@
-"""Layered tables ``bronze.* / silver.* / gold.*``: runs of parquet files under a root.
-
-A refresh of a table writes a new run folder, ``{root}/{namespace}/{table}/
-run-{id}``; the table is its latest *finished* run (the one with Spark's
-``_SUCCESS`` mark), so a write that fails part-way leaves the previous rows in
-place, and any process that knows ``root`` finds the table without a catalog.
-The session catalog is pointed at the new run as well, for SQL by name, and
-only then are older runs removed.  ``root`` is a folder every executor can
-reach (normally ``shared_dir(spark)``).
+"""Layered tables ``bronze.* / silver.* / gold.*``: versioned runs of parquet files under a root.
+
+A refresh writes a new run folder, ``{root}/{namespace}/{table}/run-{id}``, and
+only then makes it the table's current rows by creating one empty file,
+``_versions/{number}-run-{id}``: the entry with the highest name is the table.
+Creating a file is atomic on every file system, numbers are taken after the
+write has ended, and no clock is asked, so of two writers the one that ends
+last is current, and both runs stay.  A write that fails leaves the table as it
+was and removes its own files.
+
+A reader is pinned to the run it found when its DataFrame was made; a run that
+has been replaced is kept for ``keep_seconds`` after that (by the file
+system's own times), so no running read loses its files, and ``run=`` reads an
+earlier one.  Any process that knows ``root`` finds the table without a
+catalog; the session catalog is pointed at the current run as well, for SQL by
+name.  Row counts are taken while a run is written (``run_metrics``).  ``root``
+is a folder every executor can reach (normally ``shared_dir(spark)``).
 """
 
 from __future__ import annotations
 
-import time
+import json
+import threading
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 NAMESPACES = ("bronze", "silver", "gold")
 
@@ -26,7 +36,14 @@ T_SILVER_MERCHANTS = "silver.merchants"
 T_SILVER_TRANSACTIONS = "silver.transactions"
 T_GOLD_TRANSACTIONS = "gold.transactions_enriched"
 
-_RUN, _DONE, _ELSEWHERE = "run-", "_SUCCESS", "_location"
+_RUN, _VERSIONS, _ELSEWHERE, _METRICS, _BUCKETS = "run-", "_versions", "_location", "_metrics", "_buckets"
+
+# How long a replaced run stays readable, and after how long a run folder that
+# never became a version (its writer was killed) counts as abandoned.
+KEEP_SECONDS = 24 * 3600.0
+ABANDONED_SECONDS = 7 * 24 * 3600.0
+
+_catalog = threading.Lock()
 
 
 def table_path(root: str, table: str) -> str:
@@ -46,11 +63,12 @@ class _Files:
         self.path_of = spark._jvm.org.apache.hadoop.fs.Path
         self.fs = self.path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def folders(self, path: str) -> list[str]:
+    def listed(self, path: str) -> dict[str, int]:
+        """Names in a folder with their modification times (ms, the file system's own); empty if there is none."""
         target = self.path_of(path)
         if not self.fs.exists(target):
-            return []
-        return [s.getPath().getName() for s in self.fs.listStatus(target) if s.isDirectory()]
+            return {}
+        return {s.getPath().getName(): s.getModificationTime() for s in self.fs.listStatus(target)}
 
     def exists(self, path: str) -> bool:
         return self.fs.exists(self.path_of(path))
@@ -74,24 +92,41 @@ class _Files:
 
 
 def _new_run(root: str, table: str) -> str:
-    """A run folder whose name sorts after all earlier ones."""
-    return f"{table_path(root, table)}/{_RUN}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    return f"{table_path(root, table)}/{_RUN}{uuid.uuid4().hex[:16]}"
 
 
-def _finished_runs(files: _Files, path: str) -> list[str]:
-    runs = sorted(f"{path}/{name}" for name in files.folders(path) if name.startswith(_RUN))
-    return [run for run in runs if files.exists(f"{run}/{_DONE}")]
+def _versions(files: _Files, path: str) -> list[tuple[int, str, int]]:
+    """(number, run, time it became current), oldest first."""
+    entries = sorted(files.listed(f"{path}/{_VERSIONS}").items())
+    return [(int(name.split("-", 1)[0]), name.split("-", 1)[1], since) for name, since in entries if _RUN in name]
 
 
-def table_location(spark: SparkSession, table: str, root: str) -> str:
-    """Where the table's current rows are; FileNotFoundError if it was never written."""
+def table_runs(spark: SparkSession, table: str, root: str) -> list[str]:
+    """Names of the table's readable runs, oldest first; the last is current."""
     path = table_path(root, table)
-    files = _Files(spark, path)
-    runs = _finished_runs(files, path)
-    if not runs:
-        raise FileNotFoundError(f"{table} has no finished run under {path}")
-    pointer = f"{runs[-1]}/{_ELSEWHERE}"
-    return files.read(pointer) if files.exists(pointer) else runs[-1]
+    return [run for _, run, _ in _versions(_Files(spark, path), path)]
+
+
+def _run_path(spark: SparkSession, table: str, root: str, run: str | None) -> str:
+    runs = table_runs(spark, table, root)
+    if not runs or run not in (None, *runs):
+        raise FileNotFoundError(f"{table} has no {'run ' + run if run else 'finished run'} under {table_path(root, table)}")
+    return f"{table_path(root, table)}/{run or runs[-1]}"
+
+
+def table_location(spark: SparkSession, table: str, root: str, run: str | None = None) -> str:
+    """Where the rows of the table's current run (or of ``run``) are; FileNotFoundError if there is none."""
+    found = _run_path(spark, table, root, run)
+    files = _Files(spark, found)
+    pointer = f"{found}/{_ELSEWHERE}"
+    return files.read(pointer) if files.exists(pointer) else found
+
+
+def run_metrics(spark: SparkSession, table: str, root: str, run: str | None = None) -> dict[str, int]:
+    """What was counted while the current run (or ``run``) was written: ``rows``, and the writer's own counts."""
+    found = f"{_run_path(spark, table, root, run)}/{_METRICS}"
+    files = _Files(spark, found)
+    return json.loads(files.read(found)) if files.exists(found) else {}
 
 
 def ensure_namespaces(spark: SparkSession, root: str, prefix: str = "") -> None:
@@ -107,52 +142,118 @@ def drop_namespaces(spark: SparkSession, root: str, prefix: str = "") -> None:
     _Files(spark, root).remove(root)
 
 
-def _switch(spark: SparkSession, table: str, root: str, run: str, location: str, prefix: str) -> None:
-    """Point the catalog at ``location``, then remove the runs before ``run`` and unfinished ones."""
-    name = qualified(table, prefix)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=location, source="parquet")
+def _switch(spark: SparkSession, table: str, root: str, run: str, prefix: str, keep_seconds: float) -> None:
+    """Make ``run`` the current version, point the catalog at the table, remove what no reader may still hold."""
     path = table_path(root, table)
     files = _Files(spark, path)
-    for old in files.folders(path):
-        if old.startswith(_RUN) and f"{path}/{old}" < run:
-            files.remove(f"{path}/{old}")
+    known = _versions(files, path)
+    number = known[-1][0] + 1 if known else 1
+    files.write(f"{path}/{_VERSIONS}/{number:012d}-{run.rsplit('/', 1)[1]}", "")
+    with _catalog:
+        _point_catalog(spark, qualified(table, prefix), table_location(spark, table, root))
+    _remove_replaced(files, path, keep_seconds)
+
+
+def _point_catalog(spark: SparkSession, name: str, location: str) -> None:
+    """The catalog's table at ``location``, moved there in one step where the columns stay the same."""
+    if spark.catalog.tableExists(name):
+        columns = spark.catalog.listColumns(name)
+        if not any(c.isPartition for c in columns) and spark.read.parquet(location).schema == spark.read.table(name).schema:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path=location, source="parquet")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+
+
+def _remove_replaced(files: _Files, path: str, keep_seconds: float) -> None:
+    """Remove runs replaced at least ``keep_seconds`` ago, and abandoned ones."""
+    versions = _versions(files, path)
+    now = max(since for *_, since in versions)
+    for (number, run, _), (_, _, until) in zip(versions, versions[1:]):
+        if now - until >= keep_seconds * 1000:
+            files.remove(f"{path}/{run}")
+            files.remove(f"{path}/{_VERSIONS}/{number:012d}-{run}")
+    named = {run for _, run, _ in versions}
+    for name, changed in files.listed(path).items():
+        if name.startswith(_RUN) and name not in named and now - changed >= ABANDONED_SECONDS * 1000:
+            files.remove(f"{path}/{name}")
 
 
 def overwrite_table(
-    df: DataFrame, table: str, root: str, partition_by: Sequence[str] = (), prefix: str = ""
+    df: DataFrame, table: str, root: str, partition_by: Sequence[str] = (), prefix: str = "",
+    keep_seconds: float = KEEP_SECONDS, counts: dict[str, Column] | None = None, bucket_by: tuple[str, int] | None = None,
 ) -> None:
-    """Replace ``table`` by ``df``: write a new run, switch to it, remove older runs.
+    """Replace ``table`` by ``df``: write a new run, then make it current.
 
-    If the write fails, the table keeps its rows; the unfinished run is
-    removed by the next refresh that succeeds.  ``partition_by`` lays the
-    files out in one folder per value.
+    If the write fails, the table keeps its rows and the run's files are
+    removed.  ``partition_by`` lays the files out in one folder per value;
+    ``bucket_by`` (column, buckets) deals them out by a hash of a column,
+    sorted by it, so that joins on it read them without a shuffle.  Rows,
+    and the aggregates named in ``counts``, are counted by the write itself.
     """
-    run = _new_run(root, table)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(run)
-    _switch(df.sparkSession, table, root, run, run, prefix)
-
-
-def register_external_parquet(spark: SparkSession, table: str, location: str, root: str, prefix: str = "") -> None:
+    spark, run = df.sparkSession, _new_run(root, table)
+    seen = Observation()
+    measured = {"rows": F.count(F.lit(1)), **(counts or {})}
+    if bucket_by:  # a bucket with very many rows is split over tasks, each writing a file of it
+        df = df.hint("rebalance", bucket_by[1], bucket_by[0])
+    writer = df.observe(seen, *[c.alias(name) for name, c in measured.items()]).write
+    files = _Files(spark, run)
+    try:
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        if bucket_by:
+            writing = f"{qualified(table, prefix)}_{run.rsplit('-', 1)[1]}"
+            writer.bucketBy(bucket_by[1], bucket_by[0]).sortBy(bucket_by[0]).option("path", run).format("parquet").saveAsTable(writing)
+            spark.sql(f"DROP TABLE {writing}")  # external: the files stay
+            files.write(f"{run}/{_BUCKETS}", json.dumps(bucket_by))
+        else:
+            writer.parquet(run)
+        files.write(f"{run}/{_METRICS}", json.dumps({name: int(n or 0) for name, n in seen.get.items()}))
+    except BaseException:
+        files.remove(run)
+        raise
+    _switch(spark, table, root, run, prefix, keep_seconds)
+
+
+def register_external_parquet(spark: SparkSession, table: str, location: str, root: str, prefix: str = "",
+                              keep_seconds: float = KEEP_SECONDS) -> None:
     """Make existing parquet files the current rows of ``table`` without copying them.
 
     The run folder then holds only the files' place; they stay where they are.
     """
     run = _new_run(root, table)
-    files = _Files(spark, run)
-    files.write(f"{run}/{_ELSEWHERE}", location)
-    files.write(f"{run}/{_DONE}", "")
-    _switch(spark, table, root, run, location, prefix)
+    _Files(spark, run).write(f"{run}/{_ELSEWHERE}", location)
+    _switch(spark, table, root, run, prefix, keep_seconds)
 
 
 def read_layer_table(
-    spark: SparkSession, table: str, root: str, columns: Sequence[str] | None = None
+    spark: SparkSession, table: str, root: str, columns: Sequence[str] | None = None, run: str | None = None
 ) -> DataFrame:
-    """Scan the table's current run (lazy; pruning and pushdown reach the files).
+    """Scan the table's current run, or ``run`` (lazy; pruning and pushdown reach the files).
 
+    The DataFrame stays on that run, whatever is written afterwards.
     ``columns`` restores a column order (a partitioned table lists its
     partition columns last).
     """
-    df = spark.read.parquet(table_location(spark, table, root))
+    df = spark.read.parquet(table_location(spark, table, root, run))
     return df.select(*columns) if columns else df
+
+
+def read_bucketed_table(spark: SparkSession, table: str, root: str, run: str | None = None) -> DataFrame:
+    """Like :func:`read_layer_table` for a run written with ``bucket_by``, its buckets known to the planner.
+
+    Only a catalog tells Spark of buckets: the run gets an external entry of
+    its own (``default.run_...``), from the bucket count stored with the run.
+    """
+    found = _run_path(spark, table, root, run)
+    column, buckets = json.loads(_Files(spark, found).read(f"{found}/{_BUCKETS}"))
+    name = "default." + found.rsplit("/", 1)[1].replace("-", "_")
+    with _catalog:
+        if not spark.catalog.tableExists(name):
+            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(found).schema.fields)
+            spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY ({column}) SORTED BY ({column}) "
+                      f"INTO {buckets} BUCKETS LOCATION '{found}'")
+    return spark.read.table(name)

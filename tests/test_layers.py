@@ -155,7 +155,7 @@ def test_a_failed_write_keeps_the_rows_and_a_rerun_succeeds(spark):
         overwrite_table(fails, "gold.kept", root, prefix="f_")
     assert read_layer_table(spark, "gold.kept", root).count() == 5
     assert spark.read.table("f_gold.kept").count() == 5
-    overwrite_table(spark.range(7).toDF("v"), "gold.kept", root, prefix="f_")
+    overwrite_table(spark.range(7).toDF("v"), "gold.kept", root, prefix="f_", keep_seconds=0)
     assert read_layer_table(spark, "gold.kept", root).count() == spark.read.table("f_gold.kept").count() == 7
     runs = os.listdir(f"{root}/gold/kept".removeprefix("file:"))
     assert len([r for r in runs if r.startswith("run-")]) == 1
