@@ -17,9 +17,11 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.cleaning import build_gold, clean_merchants, clean_transactions
-from ..operators.quality import layer_row_counts
+from ..operators.cleaning import build_gold, build_gold_bucketed, clean_merchants, clean_transactions, hot_merchants
+from ..operators.joins import measured_bytes
+from ..operators.rollup import merchant_evidence, merge_rollups, sales_rollup
 from ..session import shared_dir
 from ..sources.files import (
     read_merchants_csv,
@@ -28,16 +30,21 @@ from ..sources.files import (
     write_parquet,
 )
 from ..sources.tables import (
+    KEEP_SECONDS,
     T_BRONZE_MERCHANTS,
     T_BRONZE_TRANSACTIONS,
+    T_GOLD_EVIDENCE,
+    T_GOLD_ROLLUP,
     T_GOLD_TRANSACTIONS,
     T_SILVER_MERCHANTS,
     T_SILVER_TRANSACTIONS,
     drop_namespaces,
     ensure_namespaces,
     overwrite_table,
+    read_bucketed_table,
     read_layer_table,
     register_external_parquet,
+    run_metrics,
 )
 from ..sources.schemas import GOLD_COLUMNS
 from ..sources.testdata import raw_merchants, raw_merchants_csv_layout, raw_transactions
@@ -76,6 +83,11 @@ class LayerPaths:
     bronze_copy_transactions: bool = True
     # Files to cluster Gold into by (month, city); 0 leaves it as the join gives it.
     gold_cluster_files: int = 0
+    # Buckets of merchant_id that both Silver tables are written in; 0 for none.  With buckets, a merchant
+    # side beyond ``broadcast_max_bytes`` is joined without a shuffle.
+    silver_buckets: int = 0
+    # How long a replaced run of a table stays readable.
+    keep_seconds: float = KEEP_SECONDS
     # Catalog namespaces become {prefix}bronze, {prefix}silver, {prefix}gold,
     # so several pipelines (or test runs) can share one session.
     catalog_prefix: str = ""
@@ -115,14 +127,14 @@ def run_bronze(spark: SparkSession, paths: LayerPaths) -> None:
 
     def merchants() -> None:
         raw = read_merchants_csv(spark, paths.merchants_csv)
-        overwrite_table(raw, T_BRONZE_MERCHANTS, paths.root, prefix=pre)
+        overwrite_table(raw, T_BRONZE_MERCHANTS, paths.root, prefix=pre, keep_seconds=paths.keep_seconds)
 
     def transactions() -> None:
         if paths.bronze_copy_transactions:
             raw = read_transactions_parquet(spark, paths.transactions_parquet)
-            overwrite_table(raw, T_BRONZE_TRANSACTIONS, paths.root, prefix=pre)
+            overwrite_table(raw, T_BRONZE_TRANSACTIONS, paths.root, prefix=pre, keep_seconds=paths.keep_seconds)
         else:
-            register_external_parquet(spark, T_BRONZE_TRANSACTIONS, paths.transactions_parquet, paths.root, prefix=pre)
+            register_external_parquet(spark, T_BRONZE_TRANSACTIONS, paths.transactions_parquet, paths.root, pre, paths.keep_seconds)
 
     _run_together(merchants, transactions)
 
@@ -131,14 +143,15 @@ def run_silver(spark: SparkSession, paths: LayerPaths) -> None:
     """Clean Bronze into the two Silver tables."""
     pre = paths.catalog_prefix
     ensure_namespaces(spark, paths.root, pre)
+    buckets = ("merchant_id", paths.silver_buckets) if paths.silver_buckets else None
 
     def merchants() -> None:
         clean = clean_merchants(read_layer_table(spark, T_BRONZE_MERCHANTS, paths.root))
-        overwrite_table(clean, T_SILVER_MERCHANTS, paths.root, prefix=pre)
+        overwrite_table(clean, T_SILVER_MERCHANTS, paths.root, prefix=pre, keep_seconds=paths.keep_seconds, bucket_by=buckets)
 
     def transactions() -> None:
         clean = clean_transactions(read_layer_table(spark, T_BRONZE_TRANSACTIONS, paths.root))
-        overwrite_table(clean, T_SILVER_TRANSACTIONS, paths.root, prefix=pre)
+        overwrite_table(clean, T_SILVER_TRANSACTIONS, paths.root, prefix=pre, keep_seconds=paths.keep_seconds, bucket_by=buckets)
 
     _run_together(merchants, transactions)
 
@@ -147,15 +160,41 @@ def run_gold(spark: SparkSession, paths: LayerPaths) -> None:
     """Join Silver into the Gold enriched-transactions table."""
     pre = paths.catalog_prefix
     ensure_namespaces(spark, paths.root, pre)
-    gold = build_gold(
-        read_layer_table(spark, T_SILVER_TRANSACTIONS, paths.root),
-        read_layer_table(spark, T_SILVER_MERCHANTS, paths.root),
-        broadcast_max_bytes=paths.broadcast_max_bytes,
-        salt_buckets=paths.salt_buckets,
-    )
+    merchants = read_layer_table(spark, T_SILVER_MERCHANTS, paths.root)
+    if paths.silver_buckets and measured_bytes(merchants) > paths.broadcast_max_bytes:
+        gold = _bucketed_gold(spark, paths)
+    else:
+        gold = build_gold(
+            read_layer_table(spark, T_SILVER_TRANSACTIONS, paths.root),
+            merchants,
+            broadcast_max_bytes=paths.broadcast_max_bytes,
+            salt_buckets=paths.salt_buckets,
+        )
     if paths.gold_cluster_files:
         gold = cluster_gold(gold, paths.gold_cluster_files)
-    overwrite_table(gold, T_GOLD_TRANSACTIONS, paths.root, paths.gold_partition_by, prefix=pre)
+    named = F.col("merchant_name") != F.col("merchant_id")
+    counts = {"named": F.count_if(named), "unnamed": F.count_if(~named)}  # the rest: without name or id
+    overwrite_table(gold, T_GOLD_TRANSACTIONS, paths.root, paths.gold_partition_by, pre, paths.keep_seconds, counts)
+
+
+def _bucketed_gold(spark: SparkSession, paths: LayerPaths) -> DataFrame:
+    transactions = read_bucketed_table(spark, T_SILVER_TRANSACTIONS, paths.root)
+    rows = run_metrics(spark, T_SILVER_TRANSACTIONS, paths.root)["rows"]
+    hot = hot_merchants(transactions, rows, 1 / paths.silver_buckets)
+    return build_gold_bucketed(transactions, read_bucketed_table(spark, T_SILVER_MERCHANTS, paths.root), hot)
+
+
+def run_rollups(spark: SparkSession, paths: LayerPaths) -> None:
+    """Write Gold's sales rollup and the evidence for a new merchant, as tables beside Gold."""
+    gold, pre = read_gold(spark, paths.root), paths.catalog_prefix
+    overwrite_table(sales_rollup(gold), T_GOLD_ROLLUP, paths.root, prefix=pre, keep_seconds=paths.keep_seconds)
+    overwrite_table(merchant_evidence(gold), T_GOLD_EVIDENCE, paths.root, prefix=pre, keep_seconds=paths.keep_seconds)
+
+
+def add_to_rollup(spark: SparkSession, paths: LayerPaths, new_gold: DataFrame) -> None:
+    """Merge rows that were not in the stored rollup (such as a new month's) into it; older Gold rows are not read."""
+    rolled = merge_rollups(read_layer_table(spark, T_GOLD_ROLLUP, paths.root), sales_rollup(new_gold))
+    overwrite_table(rolled, T_GOLD_ROLLUP, paths.root, prefix=paths.catalog_prefix, keep_seconds=paths.keep_seconds)
 
 
 def cluster_gold(gold: DataFrame, files: int) -> DataFrame:
@@ -231,10 +270,19 @@ def bronze_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def written_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of the five written layer tables."""
+    """Row counts of the five layer tables, as counted by their writes: no table is scanned."""
     names = (T_BRONZE_MERCHANTS, T_SILVER_MERCHANTS, T_BRONZE_TRANSACTIONS, T_SILVER_TRANSACTIONS, T_GOLD_TRANSACTIONS)
     with testdata_layers(spark, sf_dir, ["all"]) as paths:
-        return layer_row_counts({name: read_layer_table(spark, name, paths.root) for name in names}).checkpoint()
+        counted = [(name, run_metrics(spark, name, paths.root)["rows"]) for name in names]
+    return spark.createDataFrame(counted, "layer_table string, row_count long")
+
+
+def written_fanout_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and Gold rows, and how Gold's rows are named, as counted by the writes."""
+    with testdata_layers(spark, sf_dir, ["all"]) as paths:
+        silver, gold = (run_metrics(spark, name, paths.root) for name in (T_SILVER_TRANSACTIONS, T_GOLD_TRANSACTIONS))
+    row = (silver["rows"], gold["rows"], gold["named"], gold["unnamed"])
+    return spark.createDataFrame([row], "silver_rows long, gold_rows long, named long, unnamed long")
 
 
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:

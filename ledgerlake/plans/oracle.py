@@ -271,6 +271,22 @@ BODIES: dict[str, str] = {
     "join_fanout_check": (
         "SELECT (SELECT count(*) FROM st) AS silver_rows, (SELECT count(*) FROM gold) AS gold_rows"
     ),
+    "written_fanout_check": (
+        "SELECT (SELECT count(*) FROM st) AS silver_rows, count(*) AS gold_rows, "
+        "count(*) FILTER (WHERE merchant_name <> merchant_id) AS named, "
+        "count(*) FILTER (WHERE merchant_name = merchant_id) AS unnamed FROM gold"
+    ),
+    "sales_rollup": (
+        "SELECT txn_month_key, city_id, state_id, merchant_name, category, txn_hour, "
+        f"{_MONEY} AS purchase_total, count(*) AS no_of_sales FROM gold GROUP BY 1, 2, 3, 4, 5, 6"
+    ),
+    "merchant_evidence": (
+        "SELECT city_id, category, txn_month_key, txn_hour, installments, CASE WHEN grouping(city_id) = 0 THEN 'city_id' "
+        "WHEN grouping(category) = 0 THEN 'category' WHEN grouping(txn_month_key) = 0 THEN 'txn_month_key' "
+        "WHEN grouping(txn_hour) = 0 THEN 'txn_hour' ELSE 'installments' END AS part, "
+        f"{_MONEY} AS revenue, count(*) AS txns, round({_MEAN}, 2) AS avg_ticket FROM gold GROUP BY GROUPING SETS "
+        "((city_id), (category), (txn_month_key), (txn_hour), (installments))"
+    ),
     "amount_scale_check": (
         "SELECT count(*) AS n, count(*) FILTER (WHERE purchase_amount IS NULL) AS null_amounts, "
         "count(*) FILTER (WHERE purchase_amount IS NOT NULL AND NOT (abs(purchase_amount) < 134217728 "
@@ -279,6 +295,11 @@ BODIES: dict[str, str] = {
 }
 
 
+# The same answers from a rollup's states.
+for _key in ("top_merchants_by_city_month", "avg_sale_by_merchant_state", "top_hours_by_category", "popular_merchants"):
+    BODIES[f"{_key}_from_rollup"] = BODIES[_key]
+
+
 def oracle_sql() -> dict[str, str]:
     """Full DuckDB statements: prelude + body, per key."""
     return {key: PRELUDE + body for key, body in BODIES.items()}

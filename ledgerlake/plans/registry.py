@@ -16,7 +16,7 @@ from .. import operators as ops
 from ..functions import ProfitModel
 from ..sources.testdata import raw_merchants, raw_transactions
 from ..sources.tables import T_BRONZE_MERCHANTS, T_BRONZE_TRANSACTIONS
-from .layers import bronze_table, gold_incremental, layer_round_trip, written_row_counts
+from .layers import bronze_table, gold_incremental, layer_round_trip, written_fanout_check, written_row_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,6 +96,13 @@ GOLD_OPS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "installment_profit": ops.installment_profit,
     "installment_profit_flat": partial(ops.installment_profit, model=FLAT_MODEL),
     "installment_schedule": ops.installment_schedule,
+    "merchant_evidence": ops.merchant_evidence,
+    # mergeable states, and the questions asked of them
+    "sales_rollup": lambda gold: ops.rollup_totals(ops.sales_rollup(gold)),
+    "top_merchants_by_city_month_from_rollup": lambda gold: ops.q1_top_merchants_by_city_month(ops.sales_rollup(gold), n=Q1_TOP_N),
+    "avg_sale_by_merchant_state_from_rollup": lambda gold: ops.q2_avg_sale_by_merchant_state(ops.sales_rollup(gold)),
+    "top_hours_by_category_from_rollup": lambda gold: ops.q3_top_hours_by_category(ops.sales_rollup(gold), n=Q3_TOP_N),
+    "popular_merchants_from_rollup": lambda gold: ops.q4_popular_merchants(ops.sales_rollup(gold), n=Q4_TOP_N),
     # published figures
     "revenue_share_by_category": ops.revenue_share_by_category,
     "top_city_share": partial(ops.top_city_share, k=TOP_SHARE_CITIES),
@@ -128,4 +135,5 @@ QUERIES: dict[str, Query] = {
     "layer_row_counts": written_row_counts,
     "merchant_key_uniqueness": merchant_key_uniqueness,
     "join_fanout_check": join_fanout_check,
+    "written_fanout_check": written_fanout_check,
 }

@@ -35,6 +35,8 @@ T_BRONZE_TRANSACTIONS = "bronze.transactions"
 T_SILVER_MERCHANTS = "silver.merchants"
 T_SILVER_TRANSACTIONS = "silver.transactions"
 T_GOLD_TRANSACTIONS = "gold.transactions_enriched"
+T_GOLD_ROLLUP = "gold.sales_rollup"
+T_GOLD_EVIDENCE = "gold.merchant_evidence"
 
 _RUN, _VERSIONS, _ELSEWHERE, _METRICS, _BUCKETS = "run-", "_versions", "_location", "_metrics", "_buckets"
 
