@@ -1,7 +1,7 @@
 """Operators: ``DataFrame -> DataFrame`` functions, all lazy."""
 
 from .association import category_mix_top_cities, contingency, cramers_v, cramers_v_of_cells, dominant_category_by_city
-from .cleaning import build_gold, build_gold_bucketed, clean_merchants, clean_transactions, hot_merchants
+from .cleaning import build_gold, build_gold_bucketed, changed_merchants, clean_merchants, clean_transactions, hot_merchants
 from .quality import (
     amount_scale_check,
     category_profile,
@@ -31,7 +31,17 @@ from .reports import (
     revenue_share_by_category,
     top_city_share,
 )
-from .rollup import evidence_report, measures, merchant_evidence, merge_rollups, rollup_totals, sales_rollup
+from .rollup import (
+    distinct_profile_of,
+    distinct_states,
+    evidence_report,
+    measures,
+    merchant_evidence,
+    merge_distinct_states,
+    merge_rollups,
+    rollup_totals,
+    sales_rollup,
+)
 from .scorecards import (
     category_scorecard,
     city_scorecard,

@@ -3,7 +3,8 @@
 A money total is kept as the parts of ``functions.money`` (whole units,
 decimals, plain-double rest) and means as total and count, so states of any
 two sets of rows add up to the state of both: a rollup is merged with that of
-new months, and questions regroup it instead of reading Gold.
+new months, and questions regroup it instead of reading Gold.  Distinct counts
+are kept as bitmaps, merged by OR.
 """
 
 from __future__ import annotations
@@ -58,6 +59,39 @@ def rollup_totals(rollup: DataFrame) -> DataFrame:
     return rollup.groupBy(*ROLLUP_KEYS).agg(m["total"].alias("purchase_total"), m["sales"].alias("no_of_sales"))
 
 
+def distinct_states(gold: DataFrame) -> DataFrame:
+    """Mergeable exact states of Gold's distinct cities, states and categories.
+
+    One row per category and block of 32,768 city and state ids, with a bitmap
+    of the ids met in each: one partial aggregation, no row is multiplied as a
+    plan of several DISTINCT counts does.  NULL is a block, or a category, of its own.
+    """
+    blocks = {"city_block": F.bitmap_bucket_number("city_id"), "state_block": F.bitmap_bucket_number("state_id")}
+    return gold.groupBy(*[c.alias(name) for name, c in blocks.items()], "category").agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("city_id")).alias("cities"),
+        F.bitmap_construct_agg(F.bitmap_bit_position("state_id")).alias("states"))
+
+
+def merge_distinct_states(*states: DataFrame) -> DataFrame:
+    """The states of all rows that ``states`` stand for (rows may be in several)."""
+    return reduce(DataFrame.unionByName, states).groupBy("city_block", "state_block", "category").agg(
+        F.bitmap_or_agg("cities").alias("cities"), F.bitmap_or_agg("states").alias("states"))
+
+
+def distinct_profile_of(states: DataFrame) -> DataFrame:
+    """Distinct cities, states and categories (NULL counted as a value) of :func:`distinct_states`."""
+    def entry(what: str, block: Column, name: Column, bits: str) -> Column:
+        return F.struct(F.lit(what).alias("what"), block.alias("block"), name.alias("name"), F.col(bits).alias("bits"))
+
+    unnamed = F.lit(None).cast("string")
+    entries = F.array(entry("cities", F.col("city_block"), unnamed, "cities"), entry("states", F.col("state_block"), unnamed, "states"),
+                      entry("categories", F.lit(None).cast("long"), F.col("category"), "cities"))
+    each = states.select(F.explode(entries).alias("e")).select("e.*").groupBy("what", "block", "name").agg(F.bitmap_or_agg("bits").alias("bits"))
+    ids = F.when(F.col("block").isNull(), F.lit(1).cast("long")).otherwise(F.bitmap_count("bits"))
+    return each.agg(*[F.coalesce(F.sum(F.when(F.col("what") == name, ids)), F.lit(0).cast("long")).alias(name)
+                      for name in ("cities", "states", "categories")])
+
+
 def merchant_evidence(gold: DataFrame) -> DataFrame:
     """Revenue, transactions and average ticket per city, category, month, hour and installment count, in one pass.
 

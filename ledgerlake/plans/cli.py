@@ -26,6 +26,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--gold-partition-by", nargs="*", default=[])
     p.add_argument("--gold-cluster-files", type=int, default=0, help="cluster Gold by month and city into this many files")
     p.add_argument("--salt-buckets", type=int, default=0)
+    p.add_argument("--silver-buckets", type=int, default=0, help="write Silver in this many buckets of merchant_id")
+    p.add_argument("--resume", action="store_true", help="skip tables that are already made from their present inputs")
     p.add_argument("--catalog-prefix", default="", help="namespace prefix, e.g. 'staging_'")
     p.add_argument("--bronze-register", action="store_true",
                    help="register the landed transaction parquet as Bronze instead of copying it")
@@ -44,11 +46,12 @@ def main(argv: list[str] | None = None) -> list[str]:
         broadcast_max_bytes=args.broadcast_max_bytes,
         salt_buckets=args.salt_buckets,
         gold_cluster_files=args.gold_cluster_files,
+        silver_buckets=args.silver_buckets,
         bronze_copy_transactions=not args.bronze_register,
         catalog_prefix=args.catalog_prefix,
     )
     spark = SparkSession.builder.getOrCreate()
-    return run_layers(spark, paths, args.layers)
+    return run_layers(spark, paths, args.layers, args.resume)
 
 
 if __name__ == "__main__":

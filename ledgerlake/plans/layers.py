@@ -19,8 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cleaning import build_gold, build_gold_bucketed, clean_merchants, clean_transactions, hot_merchants
-from ..operators.joins import measured_bytes
+from ..operators.cleaning import build_gold, build_gold_bucketed, changed_merchants, clean_merchants, clean_transactions, hot_merchants
+from ..operators.joins import broadcast_if_small, measured_bytes
 from ..operators.rollup import merchant_evidence, merge_rollups, sales_rollup
 from ..session import shared_dir
 from ..sources.files import (
@@ -40,11 +40,15 @@ from ..sources.tables import (
     T_SILVER_TRANSACTIONS,
     drop_namespaces,
     ensure_namespaces,
+    overwrite_partitions,
     overwrite_table,
     read_bucketed_table,
     read_layer_table,
     register_external_parquet,
+    run_inputs,
     run_metrics,
+    source_state,
+    table_runs,
 )
 from ..sources.schemas import GOLD_COLUMNS
 from ..sources.testdata import raw_merchants, raw_merchants_csv_layout, raw_transactions
@@ -57,6 +61,10 @@ LAYERS = ("bronze", "silver", "gold")
 DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
+# Distinct merchant ids that a Bloom filter of one row group of Gold is sized for.
+BLOOM_MERCHANTS = 100_000
+
+
 @dataclass(frozen=True)
 class LayerPaths:
     """Where the raw sources are landed and where layer tables are written.
@@ -81,11 +89,14 @@ class LayerPaths:
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
     salt_buckets: int = 0
     bronze_copy_transactions: bool = True
-    # Files to cluster Gold into by (month, city); 0 leaves it as the join gives it.
+    # Files to cluster Gold into by ranges of (month, city); 0 leaves rows in the files the join gives.
     gold_cluster_files: int = 0
     # Buckets of merchant_id that both Silver tables are written in; 0 for none.  With buckets, a merchant
     # side beyond ``broadcast_max_bytes`` is joined without a shuffle.
     silver_buckets: int = 0
+    # Rows to a parquet page of Gold.  Files are sorted by month and city, so the pages' own minima and maxima
+    # let a slice skip the others; merchant ids get Bloom filters.
+    gold_page_rows: int = 20_000
     # How long a replaced run of a table stays readable.
     keep_seconds: float = KEEP_SECONDS
     # Catalog namespaces become {prefix}bronze, {prefix}silver, {prefix}gold,
@@ -120,68 +131,127 @@ def _run_together(*jobs: Callable[[], None]) -> None:
             future.result()
 
 
-def run_bronze(spark: SparkSession, paths: LayerPaths) -> None:
+def _made_from(spark: SparkSession, root: str, *names: str, **settings) -> dict:
+    """The present runs of a job's input tables, and the settings its result depends on."""
+    return {name: table_runs(spark, name, root)[-1] for name in names} | settings
+
+
+def _refresh(spark: SparkSession, paths: LayerPaths, table: str, inputs: dict, resume: bool, write: Callable[[dict], None]) -> None:
+    """Run ``write`` with what every table write of these paths shares, unless resuming and the table is already made from ``inputs``."""
+    if resume and run_inputs(spark, table, paths.root) == inputs:
+        return
+    write({"root": paths.root, "prefix": paths.catalog_prefix, "keep_seconds": paths.keep_seconds, "inputs": inputs})
+
+
+def run_bronze(spark: SparkSession, paths: LayerPaths, resume: bool = False) -> None:
     """Land both raw sources verbatim as Bronze tables."""
-    pre = paths.catalog_prefix
-    ensure_namespaces(spark, paths.root, pre)
+    ensure_namespaces(spark, paths.root, paths.catalog_prefix)
 
-    def merchants() -> None:
-        raw = read_merchants_csv(spark, paths.merchants_csv)
-        overwrite_table(raw, T_BRONZE_MERCHANTS, paths.root, prefix=pre, keep_seconds=paths.keep_seconds)
+    def merchants(shared: dict) -> None:
+        overwrite_table(read_merchants_csv(spark, paths.merchants_csv), T_BRONZE_MERCHANTS, **shared)
 
-    def transactions() -> None:
+    def transactions(shared: dict) -> None:
         if paths.bronze_copy_transactions:
-            raw = read_transactions_parquet(spark, paths.transactions_parquet)
-            overwrite_table(raw, T_BRONZE_TRANSACTIONS, paths.root, prefix=pre, keep_seconds=paths.keep_seconds)
+            overwrite_table(read_transactions_parquet(spark, paths.transactions_parquet), T_BRONZE_TRANSACTIONS, **shared)
         else:
-            register_external_parquet(spark, T_BRONZE_TRANSACTIONS, paths.transactions_parquet, paths.root, pre, paths.keep_seconds)
+            register_external_parquet(spark, T_BRONZE_TRANSACTIONS, paths.transactions_parquet, **shared)
 
-    _run_together(merchants, transactions)
+    def land(table: str, source: str, write: Callable[[dict], None], **settings) -> None:
+        _refresh(spark, paths, table, {"files": source_state(spark, source), **settings}, resume, write)
 
+    _run_together(lambda: land(T_BRONZE_MERCHANTS, paths.merchants_csv, merchants),
+                  lambda: land(T_BRONZE_TRANSACTIONS, paths.transactions_parquet, transactions, copy=paths.bronze_copy_transactions))
 
-def run_silver(spark: SparkSession, paths: LayerPaths) -> None:
+
+def run_silver(spark: SparkSession, paths: LayerPaths, resume: bool = False) -> None:
     """Clean Bronze into the two Silver tables."""
-    pre = paths.catalog_prefix
-    ensure_namespaces(spark, paths.root, pre)
+    ensure_namespaces(spark, paths.root, paths.catalog_prefix)
     buckets = ("merchant_id", paths.silver_buckets) if paths.silver_buckets else None
 
-    def merchants() -> None:
-        clean = clean_merchants(read_layer_table(spark, T_BRONZE_MERCHANTS, paths.root))
-        overwrite_table(clean, T_SILVER_MERCHANTS, paths.root, prefix=pre, keep_seconds=paths.keep_seconds, bucket_by=buckets)
+    def clean(source: str, table: str, operator: Callable[[DataFrame], DataFrame]) -> None:
+        inputs = _made_from(spark, paths.root, source, buckets=paths.silver_buckets)
+
+        def write(shared: dict) -> None:
+            cleaned = operator(read_layer_table(spark, source, paths.root, run=inputs[source]))
+            overwrite_table(cleaned, table, bucket_by=buckets, **shared)
+
+        _refresh(spark, paths, table, inputs, resume, write)
+
+    _run_together(lambda: clean(T_BRONZE_MERCHANTS, T_SILVER_MERCHANTS, clean_merchants),
+                  lambda: clean(T_BRONZE_TRANSACTIONS, T_SILVER_TRANSACTIONS, clean_transactions))
+
+
+def _skipping(paths: LayerPaths) -> dict[str, str]:
+    """Writer options that let readers skip pages and row groups of Gold."""
+    return {"parquet.page.row.count.limit": str(paths.gold_page_rows), "parquet.bloom.filter.enabled#merchant_id": "true",
+            "parquet.bloom.filter.expected.ndv#merchant_id": str(BLOOM_MERCHANTS)}
 
-    def transactions() -> None:
-        clean = clean_transactions(read_layer_table(spark, T_BRONZE_TRANSACTIONS, paths.root))
-        overwrite_table(clean, T_SILVER_TRANSACTIONS, paths.root, prefix=pre, keep_seconds=paths.keep_seconds, bucket_by=buckets)
 
-    _run_together(merchants, transactions)
+def _gold_inputs(spark: SparkSession, paths: LayerPaths) -> dict:
+    return _made_from(spark, paths.root, T_SILVER_MERCHANTS, T_SILVER_TRANSACTIONS, partitions=list(paths.gold_partition_by),
+                      files=paths.gold_cluster_files, page_rows=paths.gold_page_rows)
 
 
-def run_gold(spark: SparkSession, paths: LayerPaths) -> None:
+def run_gold(spark: SparkSession, paths: LayerPaths, resume: bool = False) -> None:
     """Join Silver into the Gold enriched-transactions table."""
-    pre = paths.catalog_prefix
-    ensure_namespaces(spark, paths.root, pre)
-    merchants = read_layer_table(spark, T_SILVER_MERCHANTS, paths.root)
-    if paths.silver_buckets and measured_bytes(merchants) > paths.broadcast_max_bytes:
-        gold = _bucketed_gold(spark, paths)
-    else:
-        gold = build_gold(
-            read_layer_table(spark, T_SILVER_TRANSACTIONS, paths.root),
-            merchants,
-            broadcast_max_bytes=paths.broadcast_max_bytes,
-            salt_buckets=paths.salt_buckets,
-        )
-    if paths.gold_cluster_files:
+    ensure_namespaces(spark, paths.root, paths.catalog_prefix)
+    inputs = _gold_inputs(spark, paths)
+
+    def write(shared: dict) -> None:
+        merchants = read_layer_table(spark, T_SILVER_MERCHANTS, paths.root, run=inputs[T_SILVER_MERCHANTS])
+        if paths.silver_buckets and measured_bytes(merchants) > paths.broadcast_max_bytes:
+            gold = _bucketed_gold(spark, paths, inputs)
+        else:
+            gold = build_gold(
+                read_layer_table(spark, T_SILVER_TRANSACTIONS, paths.root, run=inputs[T_SILVER_TRANSACTIONS]),
+                merchants,
+                broadcast_max_bytes=paths.broadcast_max_bytes,
+                salt_buckets=paths.salt_buckets,
+            )
         gold = cluster_gold(gold, paths.gold_cluster_files)
-    named = F.col("merchant_name") != F.col("merchant_id")
-    counts = {"named": F.count_if(named), "unnamed": F.count_if(~named)}  # the rest: without name or id
-    overwrite_table(gold, T_GOLD_TRANSACTIONS, paths.root, paths.gold_partition_by, pre, paths.keep_seconds, counts)
+        named = F.col("merchant_name") != F.col("merchant_id")
+        counts = {"named": F.count_if(named), "unnamed": F.count_if(~named)}  # the rest: without name or id
+        overwrite_table(gold, T_GOLD_TRANSACTIONS, partition_by=paths.gold_partition_by, counts=counts, options=_skipping(paths), **shared)
+
+    _refresh(spark, paths, T_GOLD_TRANSACTIONS, inputs, resume, write)
+
+
+def _bucketed_gold(spark: SparkSession, paths: LayerPaths, runs: dict) -> DataFrame:
+    transactions, merchants = (read_bucketed_table(spark, t, paths.root, runs[t]) for t in (T_SILVER_TRANSACTIONS, T_SILVER_MERCHANTS))
+    rows = run_metrics(spark, T_SILVER_TRANSACTIONS, paths.root, runs[T_SILVER_TRANSACTIONS])["rows"]
+    return build_gold_bucketed(transactions, merchants, hot_merchants(transactions, rows, 1 / paths.silver_buckets))
 
 
-def _bucketed_gold(spark: SparkSession, paths: LayerPaths) -> DataFrame:
-    transactions = read_bucketed_table(spark, T_SILVER_TRANSACTIONS, paths.root)
-    rows = run_metrics(spark, T_SILVER_TRANSACTIONS, paths.root)["rows"]
-    hot = hot_merchants(transactions, rows, 1 / paths.silver_buckets)
-    return build_gold_bucketed(transactions, read_bucketed_table(spark, T_SILVER_MERCHANTS, paths.root), hot)
+_MONTH = "txn_month_key"
+
+
+def refresh_gold_months(spark: SparkSession, paths: LayerPaths) -> list:
+    """Bring Gold up to date after a merchant refresh: only months with sales of changed merchants are rewritten.
+
+    Needs Gold partitioned by month.  Changed merchants are found by comparing
+    the Silver run that Gold was made from with the present one; their months
+    by a semi-join (the ids are broadcast if they measure small enough).
+    Returns the months rewritten.  Where anything but the merchants has
+    changed, or the earlier run is gone, Gold is refreshed whole (returns [] after it).
+    """
+    before, now = run_inputs(spark, T_GOLD_TRANSACTIONS, paths.root), _gold_inputs(spark, paths)
+    alone = {k: v for k, v in before.items() if k != T_SILVER_MERCHANTS} == {k: v for k, v in now.items() if k != T_SILVER_MERCHANTS}
+    if paths.gold_partition_by != (_MONTH,) or not alone or before[T_SILVER_MERCHANTS] not in table_runs(spark, T_SILVER_MERCHANTS, paths.root):
+        run_gold(spark, paths, resume=True)
+        return []
+    old, new = (read_layer_table(spark, T_SILVER_MERCHANTS, paths.root, run=r[T_SILVER_MERCHANTS]) for r in (before, now))
+    transactions = read_layer_table(spark, T_SILVER_TRANSACTIONS, paths.root, run=now[T_SILVER_TRANSACTIONS])
+    changed, _ = broadcast_if_small(changed_merchants(old, new), paths.broadcast_max_bytes)
+    touched = transactions.join(changed, "merchant_id", "left_semi").select(_MONTH).distinct()
+    months = sorted((r[0] for r in touched.collect()), key=lambda m: (m is not None, m or 0))
+    if months:
+        known = [m for m in months if m is not None]
+        wanted = F.col(_MONTH).isin(known) if known else F.lit(False)
+        if None in months:
+            wanted = wanted | F.col(_MONTH).isNull()
+        gold = cluster_gold(build_gold(transactions.where(wanted), new, paths.broadcast_max_bytes, paths.salt_buckets), paths.gold_cluster_files)
+        overwrite_partitions(gold, T_GOLD_TRANSACTIONS, paths.root, _MONTH, months, paths.catalog_prefix, paths.keep_seconds, now, _skipping(paths))
+    return months
 
 
 def run_rollups(spark: SparkSession, paths: LayerPaths) -> None:
@@ -197,14 +267,18 @@ def add_to_rollup(spark: SparkSession, paths: LayerPaths, new_gold: DataFrame) -
     overwrite_table(rolled, T_GOLD_ROLLUP, paths.root, prefix=paths.catalog_prefix, keep_seconds=paths.keep_seconds)
 
 
-def cluster_gold(gold: DataFrame, files: int) -> DataFrame:
-    """Gold in ``files`` ranges of (month key, city): a slice's rows lie in few files and row groups.
+def cluster_gold(gold: DataFrame, files: int = 0) -> DataFrame:
+    """Gold sorted by (month key, city) within each file; with ``files``, dealt out to that many ranges of them first.
 
-    A month or city with very many rows is spread over several ranges by the
-    merchant id and the time of purchase, so no task gathers it.
+    Sorting alone costs no shuffle: a slice then reads a few pages of each
+    file.  Ranges put a slice into few files, for one shuffle of Gold; a month
+    or city with very many rows is spread over several by the merchant id and
+    the time of purchase, so no task gathers it.
     """
     place = ["txn_month_key", "city_id"]
-    return gold.repartitionByRange(files, *place, "merchant_id", "purchase_ts").sortWithinPartitions(*place)
+    if files:
+        gold = gold.repartitionByRange(files, *place, "merchant_id", "purchase_ts")
+    return gold.sortWithinPartitions(*place)
 
 
 def read_gold(spark: SparkSession, root: str) -> DataFrame:
@@ -215,11 +289,16 @@ def read_gold(spark: SparkSession, root: str) -> DataFrame:
 _RUNNERS = {"bronze": run_bronze, "silver": run_silver, "gold": run_gold}
 
 
-def run_layers(spark: SparkSession, paths: LayerPaths, layers: Iterable[str] = ("all",)) -> list[str]:
-    """Run the chosen layers in canonical order; returns the layers run."""
+def run_layers(spark: SparkSession, paths: LayerPaths, layers: Iterable[str] = ("all",), resume: bool = False) -> list[str]:
+    """Run the chosen layers in canonical order; returns the layers asked for.
+
+    With ``resume`` a table is written only if its inputs (source files, runs
+    of the layer below, settings it depends on) are not those its current run
+    was made from: a call repeated after a failure goes on where it ended.
+    """
     chosen = resolve_layers(layers)
     for layer in chosen:
-        _RUNNERS[layer](spark, paths)
+        _RUNNERS[layer](spark, paths, resume)
     return chosen
 
 

@@ -298,6 +298,7 @@ BODIES: dict[str, str] = {
 # The same answers from a rollup's states.
 for _key in ("top_merchants_by_city_month", "avg_sale_by_merchant_state", "top_hours_by_category", "popular_merchants"):
     BODIES[f"{_key}_from_rollup"] = BODIES[_key]
+BODIES["distinct_profile_from_states"] = BODIES["distinct_profile"]
 
 
 def oracle_sql() -> dict[str, str]:

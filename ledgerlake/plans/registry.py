@@ -103,6 +103,7 @@ GOLD_OPS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "avg_sale_by_merchant_state_from_rollup": lambda gold: ops.q2_avg_sale_by_merchant_state(ops.sales_rollup(gold)),
     "top_hours_by_category_from_rollup": lambda gold: ops.q3_top_hours_by_category(ops.sales_rollup(gold), n=Q3_TOP_N),
     "popular_merchants_from_rollup": lambda gold: ops.q4_popular_merchants(ops.sales_rollup(gold), n=Q4_TOP_N),
+    "distinct_profile_from_states": lambda gold: ops.distinct_profile_of(ops.distinct_states(gold)),
     # published figures
     "revenue_share_by_category": ops.revenue_share_by_category,
     "top_city_share": partial(ops.top_city_share, k=TOP_SHARE_CITIES),

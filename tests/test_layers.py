@@ -183,8 +183,9 @@ def test_a_slice_of_clustered_gold_reads_less(spark):
 
     paths = stage_testdata_sources(spark, SF_SMALL, _fresh(spark))
     rows = {}
-    for files in (0, 12):
-        own = replace(paths, root=f"{paths.root}-{files}", gold_cluster_files=files, catalog_prefix=f"c{files}_")
+    layouts = {"as written": {"gold_page_rows": 10_000}, "pages": {"gold_page_rows": 50}, "files": {"gold_cluster_files": 12}}
+    for files, layout in layouts.items():
+        own = replace(paths, root=f"{paths.root}-{files.replace(' ', '')}", catalog_prefix=f"c{len(files)}_", **layout)
         run_layers(spark, own, ["all"])
         scanned = read_gold(spark, own.root)
         part = q1_slice(scanned, ["Oct 1997", "Nov 1997"], [2, 3])
@@ -195,5 +196,109 @@ def test_a_slice_of_clustered_gold_reads_less(spark):
         while any(x.getClass().getSimpleName().endswith("QueryStageExec") for x in scans):
             scans = [y.apply(i) for x in scans for y in [x.plan().collectLeaves() if x.getClass().getSimpleName().endswith("QueryStageExec") else None] if y is not None for i in range(y.length())]
         rows[files] = sum(x.metrics().apply("numOutputRows").value() for x in scans if x.metrics().contains("numOutputRows")), result
-    assert rows[12][1] == rows[0][1]
-    assert rows[12][0] < rows[0][0] / 2
+    whole, answer = rows["as written"]
+    assert rows["files"][1] == rows["pages"][1] == answer
+    assert rows["files"][0] < whole / 2
+    assert rows["pages"][0] < whole / 4  # no shuffle: each file's pages of other months and cities are skipped
+
+
+def test_a_repeated_call_resumes(spark, monkeypatch):
+    """Killed between layers, then called again: nothing is written twice, and a changed source is followed through."""
+    from ledgerlake.plans import layers
+    from ledgerlake.sources import tables
+
+    paths = stage_testdata_sources(spark, SF_SMALL, _fresh(spark), "res_")
+    names = (T_BRONZE_MERCHANTS, tables.T_BRONZE_TRANSACTIONS, T_SILVER_MERCHANTS, tables.T_SILVER_TRANSACTIONS, tables.T_GOLD_TRANSACTIONS)
+
+    def runs():
+        return {name: tables.table_runs(spark, name, paths.root) for name in names}
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setitem(layers._RUNNERS, "gold", killed)
+    with pytest.raises(KeyboardInterrupt):
+        run_layers(spark, paths, resume=True)
+    monkeypatch.undo()
+    half = runs()
+    assert [len(r) for r in half.values()] == [1, 1, 1, 1, 0]
+    for _ in range(2):
+        run_layers(spark, paths, resume=True)
+        assert runs() | {names[4]: []} == half and len(runs()[names[4]]) == 1
+    sources_of = raw_merchants(spark, SF_SMALL).limit(5)
+    from ledgerlake.sources.files import write_merchants_csv
+    from ledgerlake.sources.testdata import raw_merchants_csv_layout
+
+    write_merchants_csv(raw_merchants_csv_layout(sources_of), paths.merchants_csv)
+    run_layers(spark, paths, resume=True)
+    assert [len(r) for r in runs().values()] == [2, 1, 2, 1, 2]
+    assert read_gold(spark, paths.root).count() == 6000
+    run_layers(spark, paths, ["silver"])
+    assert [len(r) for r in runs().values()] == [2, 1, 3, 2, 2]
+
+
+def test_only_months_of_changed_merchants_are_rewritten(spark):
+    from helpers import merchant, merchants, txn, txns
+
+    from ledgerlake.plans.layers import refresh_gold_months, run_gold, run_silver
+    from ledgerlake.sources import tables
+
+    landing = _fresh(spark)
+    paths = LayerPaths(f"{landing}/csv", f"{landing}/sales", f"{landing}/root", gold_partition_by=("txn_month_key",), catalog_prefix="mon_", keep_seconds=0)
+    sales = [txn(f"M_{k % 7}", 1.5 * k, date=f"2017-{1 + k % 10:02d}-01 13:00:00") for k in range(70) if k % 7 != 3 or k % 10 == 4]
+    txns(spark, [*sales, txn("M_3", 9.0, date="bad"), txn("M_9", 1.0, date="2017-03-01 01:00:00"), txn(None, 2.0)]).write.parquet(paths.transactions_parquet)
+
+    def land(rows):
+        from ledgerlake.sources.schemas import MERCHANT_CSV_COLUMNS
+
+        raw = merchants(spark, rows)
+        wide = raw.select(*[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in MERCHANT_CSV_COLUMNS])
+        wide.write.mode("overwrite").option("header", True).csv(paths.merchants_csv)
+        run_layers(spark, paths, ["bronze", "silver"], resume=True)
+
+    def parts():
+        return tables.table_parts(spark, tables.T_GOLD_TRANSACTIONS, paths.root)
+
+    land([merchant(f"M_{k}") for k in range(7)])
+    run_gold(spark, paths)
+    first = parts()
+    assert refresh_gold_months(spark, paths) == [] and parts() == first
+    # M_3 (one month, and rows without one) is renamed, M_9 is new: its only month changes.
+    paths_kept = paths.__class__(**{**paths.__dict__, "keep_seconds": 3600.0})
+    paths = paths_kept
+    land([merchant(f"M_{k}", "Renamed" if k == 3 else None) for k in range(7)] + [merchant("M_9")])
+    months = refresh_gold_months(spark, paths)
+    assert months == [None, 201703, 201705]
+    second = parts()
+    assert sum(second[p] != first[p] for p in first) == 3 and set(second) == set(first)
+    written = read_gold(spark, paths.root)
+    assert written.where("merchant_name = 'Renamed'").count() == 2
+    by_name = spark.read.table("mon_gold.transactions_enriched").select(*GOLD_COLUMNS)
+    metrics = tables.run_metrics(spark, tables.T_GOLD_TRANSACTIONS, paths.root)
+    run_gold(spark, paths)
+    whole = read_gold(spark, paths.root)
+    assert metrics["rows"] == whole.count() == written.count()
+    assert written.exceptAll(whole).count() == whole.exceptAll(written).count() == 0
+    assert by_name.columns == GOLD_COLUMNS
+    # A change of the sales is a refresh of all.
+    run_silver(spark, paths)
+    assert refresh_gold_months(spark, paths) == [] and read_gold(spark, paths.root).count() == metrics["rows"]
+
+
+def test_partitions_kept_by_a_version_outlive_their_run(spark):
+    from ledgerlake.sources import tables
+
+    root = _fresh(spark)
+    ensure_namespaces(spark, root, "p_")
+    rows = spark.range(20).selectExpr("id", "if(id < 2, null, id % 3) AS k")
+    overwrite_table(rows, "gold.parts", root, ["k"], prefix="p_")
+    for turn in range(2):
+        changed = rows.where("k = 1").selectExpr(f"id + {100 * (turn + 1)} AS id", "k")
+        tables.overwrite_partitions(changed, "gold.parts", root, "k", [1], prefix="p_", keep_seconds=0)
+        want = sorted(((r.id + (100 * (turn + 1) if r.k == 1 else 0), r.k) for r in rows.collect()))
+        assert sorted(tuple(r) for r in read_layer_table(spark, "gold.parts", root).select("id", "k").collect()) == want
+        assert sorted(tuple(r) for r in spark.read.table("p_gold.parts").select("id", "k").collect()) == want
+    assert len(tables.table_runs(spark, "gold.parts", root)) == 1
+    with pytest.raises(ValueError, match="other partitions"):
+        tables.overwrite_partitions(rows, "gold.parts", root, "k", [1], prefix="p_")
+    assert len([f for f in os.listdir(f"{root}/gold/parts".removeprefix("file:")) if f.startswith("run-")]) <= 3

@@ -86,6 +86,19 @@ def test_odd_amounts_and_nulls(spark):
     assert ops.sales_rollup(g.limit(0)).count() == 0
 
 
+def test_distinct_states(spark, built):
+    whole = layers.read_gold(spark, built.root)
+    states = ops.distinct_states(whole)
+    assert rows(ops.distinct_profile_of(states)) == rows(ops.distinct_profile(whole))
+    assert "Expand" not in ops.distinct_profile_of(states)._jdf.queryExecution().executedPlan().toString()
+    parts = [ops.distinct_states(whole.where(F.pmod(F.xxhash64("purchase_ts"), F.lit(3)) == k)) for k in range(3)]
+    wide = whole.limit(50).withColumn("city_id", (F.monotonically_increasing_id() * 40_000 - 900_000).cast("int"))
+    merged = ops.merge_distinct_states(*parts, parts[0], ops.distinct_states(wide))
+    assert rows(ops.distinct_profile_of(merged)) == rows(ops.distinct_profile(whole.unionByName(wide)))
+    none = whole.limit(0)
+    assert rows(ops.distinct_profile_of(ops.distinct_states(none))) == rows(ops.distinct_profile(none))
+
+
 def test_bucketed_gold_is_the_same_gold(spark, built):
     written, lazy = layers.read_gold(spark, built.root), gold(spark, SF_SMALL)
     assert written.count() == 6000 and written.exceptAll(lazy).count() == 0 and lazy.exceptAll(written).count() == 0

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+import tempfile
 import threading
 import time
 import uuid
@@ -111,7 +115,7 @@ def test_changed_columns(spark, root):
 
 
 def test_counts_are_taken_by_the_write(spark, root):
-    """Each row once, with a task that fails at first and a shuffle before the write."""
+    """Each row once, behind a shuffle, and without another pass over them."""
     path, prefix = root
     scans = spark.sparkContext.accumulator(0)
 
@@ -138,3 +142,28 @@ def test_bucketed_run_joins_without_a_shuffle(spark, root):
     assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
     assert both.count() == 3000 and both.where("size IS NULL").count() == 0
     assert tables.run_metrics(spark, "silver.facts", path)["rows"] == 3000
+
+
+def test_counts_with_a_task_that_is_repeated():
+    """The first attempt of a task fails after most of its rows: each row is still counted once."""
+    code = """
+import sys, uuid
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from ledgerlake.sources import tables
+spark = (SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate())
+def failing(batches):
+    for batch in batches:
+        yield batch
+    if TaskContext.get().attemptNumber() == 0 and TaskContext.get().partitionId() == 1:
+        raise RuntimeError("lost")
+tables.ensure_namespaces(spark, sys.argv[1])
+tables.overwrite_table(spark.range(900, numPartitions=3).mapInArrow(failing, "id long"), "gold.t", sys.argv[1])
+assert tables.run_metrics(spark, "gold.t", sys.argv[1]) == {"rows": 900}
+assert tables.read_layer_table(spark, "gold.t", sys.argv[1]).count() == 900
+"""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    with tempfile.TemporaryDirectory() as folder:
+        env = {k: v for k, v in os.environ.items() if k != "PYSPARK_SUBMIT_ARGS"} | {"PYTHONPATH": repo}
+        said = subprocess.run([sys.executable, "-c", code, f"{folder}/root"], cwd=folder, env=env, capture_output=True, text=True, timeout=200)
+    assert said.returncode == 0, said.stderr[-2000:]
