@@ -15,16 +15,19 @@ two equal strings always meet in an anchor's bucket.  The levels:
 1. q-gram buckets of the anchors; those with a single suffix are finished.
 2. refined by the bucket of everything that a string through the anchor can
    reach to either side.  Suffixes that share that bucket repeat as a whole.
-3. where a q-gram bucket fell into several, refined again by depth.  The
-   ``length``-byte strings through a suffix's anchor, taken by their distance to
-   it, fall into ranges of ``CORE_STARTS`` neighbouring starts.  What all strings
-   of a range have in common is its core, all that they cover its extent.
-   A core met once: none of its strings repeats.  An extent met twice: all do.
-4. only where a core is met with several extents, its strings are bucketed one
-   by one, one range speaking for each extent.
-
-Every level is a count that is pre-aggregated before the shuffle, whatever a
-bucket's size; no pairs are formed and no bucket gathers in a task.
+3. where a q-gram bucket fell into several, its strings of ``length`` bytes
+   through the anchor are bucketed one by one, one suffix speaking for each
+   bucket of level 2.  A task takes whole buckets of at most ``HOT_CONTEXTS``
+   suffixes.  Larger ones are refined again by depth, over all tasks.  Their
+   strings, taken by the distance to the anchor, fall into ranges of
+   ``CORE_STARTS`` neighbouring starts.  What all strings of a range have in
+   common is its core, all that they cover its extent.  A core met once: none
+   of its strings repeats.  An extent met twice: all do.  Single strings are
+   counted only where a core is met with several extents, one range speaking
+   for each extent.
+
+Work is linear in the anchors: a bucket is counted before the shuffle, and no
+pairs are formed.
 """
 
 from __future__ import annotations
@@ -43,6 +46,8 @@ from .common import discard, documents, slices, text_rows, utf8, written
 LENGTH = 200
 QGRAM = 32
 BATCH_BYTES = 2 << 20
+# Contexts of one q-gram bucket that a task takes together; larger buckets are refined over all tasks, with equal results.
+HOT_CONTEXTS = 8000
 # Neighbouring starts that share a core.
 CORE_STARTS = 24
 
@@ -139,7 +144,7 @@ def spans_of(places: list[int], runs: list[tuple[int, int]], size: int, length:
 
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                    ("spans", pa.list_(pa.list_(pa.int64()))), ("kept_sha256", pa.string())])
-_PART = pa.struct([("ctx", pa.int64()), ("begin", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
+_PART = pa.struct([("ctx", pa.int64()), ("bucket", pa.int64()), ("hot", pa.bool_()), ("begin", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
 _OPEN = pa.schema([("mark", pa.int64()), ("text", pa.string()), ("shared", pa.list_(pa.int64())), ("parts", pa.list_(_PART)), *_KEPT])
 
 
@@ -169,9 +174,10 @@ def _open_rows(length: int, q: int):
                     rows.append((mark, None, None, None, *_kept(key, text, shared, [], length, q)))
                     continue
                 parts = []
-                for place in open_:
-                    lo = max(0, place + q - length)
-                    parts.append({"ctx": number, "begin": lo, "at": place - lo, "bytes": text[lo : place + length]})
+                for o in open_:
+                    lo = max(0, o["place"] + q - length)
+                    parts.append({"ctx": number, "bucket": o["bucket"], "hot": o["hot"], "begin": lo, "at": o["place"] - lo,
+                                  "bytes": text[lo : o["place"] + length]})
                     number += 1
                 rows.append((mark, text.decode("utf-8", "surrogatepass"), shared, parts, key, None, None, None, None, None))
             for lo in range(0, len(rows), 200):
@@ -180,6 +186,57 @@ def _open_rows(length: int, q: int):
     return run
 
 
+_RUNS = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
+
+
+def repeated_in_buckets(rows: pa.RecordBatch, length: int) -> pa.RecordBatch:
+    """Runs of each document that repeat within whole buckets, given as rows (bucket, doc_id, mark, begin, at, bytes).
+
+    Equal strings through the anchors lie at the same distance from them, so a
+    string's bucket is the anchor's bucket, that distance and the string's
+    own identifier.
+    """
+    bucket, begin, at = (rows.column(i).to_numpy() for i in (0, 3, 4))
+    buf, offsets = utf8(rows.column(5))
+    many = np.maximum(0, np.minimum(at, np.diff(offsets) - length) + 1)
+    row = np.repeat(np.arange(len(many)), many)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    ids = bucket_ids(buf, length)[offsets[row] + place]
+    number = np.concatenate([[0], np.cumsum(bucket[1:] != bucket[:-1])]) if len(bucket) else bucket
+    where = number[row] * (length + 1) + at[row] - place
+    order = np.lexsort((ids, where))
+    same = (ids[order[1:]] == ids[order[:-1]]) & (where[order[1:]] == where[order[:-1]])
+    again = np.zeros(len(row), bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    row, place = row[again], place[again]
+    starts = np.ones(len(row), bool)
+    starts[1:] = (row[1:] != row[:-1]) | (np.diff(place) > length)
+    first = np.flatnonzero(starts)
+    last = np.append(first[1:], len(row))[: len(first)] - 1
+    own = pa.array(row[first])
+    return pa.record_batch([rows.column(1).take(own), rows.column(2).take(own), pa.array(begin[row[first]] + place[first]),
+                            pa.array(begin[row[last]] + place[last] + length)], names=["doc_id", "mark", "lo", "hi"])
+
+
+def _bucket_rows(length: int):
+    """Level 3: rows (bucket, doc_id, mark, begin, at, bytes) sorted by bucket -> repeated runs, whole buckets at a time."""
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            bucket = held.column(0).to_numpy()
+            cut = int(np.searchsorted(bucket, bucket[-1]))
+            if cut:
+                yield repeated_in_buckets(held.slice(0, cut), length)
+                held = held.slice(cut)
+        if held is not None:
+            yield repeated_in_buckets(held, length)
+
+    return run
+
+
 _CORES = pa.schema([("core", pa.int64()), ("extent", pa.int64()), ("ctx", pa.int64()), ("near", pa.int32()), ("far", pa.int32())])
 _STRINGS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("ctx", pa.int64()), ("near", pa.int32()), ("alone", pa.bool_())])
 _BATCH_ROWS = 20_000
@@ -211,7 +268,7 @@ def core_ranges(context: bytes, at: int, length: int, starts: int):
 
 
 def _core_rows(length: int, starts: int):
-    """Level 3: contexts (ctx, at, bytes) -> identifiers of the core and extent of every range."""
+    """Hot buckets: contexts (ctx, at, bytes) -> identifiers of the core and extent of every range."""
     digest = xxhash.xxh3_64_intdigest
 
     def rows(batch):
@@ -227,7 +284,7 @@ def _core_rows(length: int, starts: int):
 
 
 def _string_rows(length: int):
-    """Level 4: (ctx, at, bytes, ranges) -> two identifiers of each string of the ranges."""
+    """Hot buckets: (ctx, at, bytes, ranges) -> two identifiers of each string of the ranges."""
     def rows(batch):
         for ctx, at, context, ranges in zip(*[c.to_pylist() for c in batch.columns]):
             for r in ranges:
@@ -274,7 +331,7 @@ def _removal(length: int, q: int):
 
 
 def repeated_strings(docs: DataFrame, length: int = LENGTH, q: int = QGRAM, id_col: str = "doc_id", text_col: str = "text",
-                     starts: int = CORE_STARTS) -> DataFrame:
+                     hot_contexts: int = HOT_CONTEXTS, starts: int = CORE_STARTS) -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_bytes, n_removed, n_spans, spans, kept_sha256).
 
     A byte goes if a string of ``length`` bytes that covers it also starts
@@ -295,26 +352,30 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, q: int = QGRAM, id_c
     refined = written(active.groupBy("bucket", "context").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "place")).alias("first")), "refined")
     split = refined.groupBy("bucket").agg(F.count("*").alias("parts")).where("parts > 1")
-    again = refined.join(split, "bucket", "left_semi").select("first.*")
+    again = refined.join(split, "bucket").select("first.*", "bucket", (F.col("parts") > hot_contexts).alias("hot"))
     shared = active.join(refined.where("n > 1").select("bucket", "context"), ["bucket", "context"])
-    per_doc = shared.select("doc_id", "mark", "place", F.lit(False).alias("open")).unionAll(
-        again.select("doc_id", "mark", "place", F.lit(True).alias("open")))
+    per_doc = shared.select("doc_id", "mark", "place", "bucket", F.lit(None).cast("boolean").alias("hot")).unionAll(
+        again.select("doc_id", "mark", "place", "bucket", "hot"))
     per_doc = per_doc.groupBy(F.col("doc_id").alias("d"), F.col("mark").alias("m")).agg(
-        F.collect_set(F.when(~F.col("open"), F.col("place"))).alias("shared"),
-        F.collect_set(F.when(F.col("open"), F.col("place"))).alias("open"))
+        F.collect_set(F.when(F.col("hot").isNull(), F.col("place"))).alias("shared"),
+        F.collect_set(F.when(F.col("hot").isNotNull(), F.struct("place", "bucket", "hot"))).alias("open"))
     of = lambda left, right: left["doc_id"].eqNullSafe(right["d"]) & (left["mark"] == right["m"])
     joined = rows.join(per_doc, of(rows, per_doc), "left").select("doc_id", "mark", "text", "shared", "open")
-    # Levels 3 and 4: cores and extents, then single strings, where a bucket fell into several.
+    # Level 3: the strings themselves, where a bucket fell into several.
     kept = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<array<long>>, kept_sha256 string"
     strings = written(joined.mapInArrow(_open_rows(length, q), "mark long, text string, shared array<long>, "
-                                        f"parts array<struct<ctx:long,begin:long,at:long,bytes:binary>>, {kept}"), "strings")
+                                        f"parts array<struct<ctx:long,bucket:long,hot:boolean,begin:long,at:long,bytes:binary>>, {kept}"), "strings")
     parts = strings.select("doc_id", "mark", F.explode("parts").alias("p")).select("doc_id", "mark", "p.*")
-    repeats, spent = _repeated_ranges(parts.select("ctx", "at", "bytes").where(F.length("bytes") >= length), length, starts)
+    usual = parts.where("NOT hot").select("bucket", "doc_id", "mark", "begin", "at", "bytes").repartition("bucket").sortWithinPartitions("bucket")
+    found = usual.mapInArrow(_bucket_rows(length), "doc_id long, mark long, lo long, hi long")
+    hot = parts.where("hot")
+    repeats, spent = _repeated_ranges(hot.where(F.length("bytes") >= length).select("ctx", "at", "bytes"), length, starts)
     # A distance from the anchor is a start in the document.
     begin = F.col("begin") + F.col("at")
-    spans = F.transform("ranges", lambda r: F.struct((begin - r["far"]).alias("lo"), (begin - r["near"] + length).alias("hi")))
-    found = parts.select("ctx", "doc_id", "mark", "begin", "at").join(repeats, "ctx").select("doc_id", "mark", spans.alias("spans"))
-    found = found.groupBy(F.col("doc_id").alias("d"), F.col("mark").alias("m")).agg(F.flatten(F.collect_list("spans")).alias("runs"))
+    runs = F.transform("ranges", lambda r: F.struct((begin - r["far"]).alias("lo"), (begin - r["near"] + length).alias("hi")))
+    more = hot.select("ctx", "doc_id", "mark", "begin", "at").join(repeats, "ctx").select("doc_id", "mark", F.explode(runs).alias("r"))
+    found = found.unionAll(more.select("doc_id", "mark", "r.lo", "r.hi"))
+    found = found.groupBy(F.col("doc_id").alias("d"), F.col("mark").alias("m")).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
     pending = strings.where("text IS NOT NULL").select("doc_id", "mark", "text", "shared")
     last = pending.join(found, of(pending, found), "left").select("doc_id", "text", "shared", "runs")
     names = _KEPT.names

@@ -81,16 +81,21 @@ def test_repeated_strings(spark, odd, odd_rows, tiny, tiny_rows, which):
     assert bag(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(brute.repeated(rows))
 
 
-@pytest.mark.parametrize("starts", [1, 4, suffix_dedup.CORE_STARTS])
-def test_repeated_strings_of_a_small_alphabet(spark, starts):
+@pytest.mark.parametrize("hot,starts", [(suffix_dedup.HOT_CONTEXTS, 4), (2, 4), (1, suffix_dedup.CORE_STARTS)])
+def test_repeated_strings_of_a_small_alphabet(spark, hot, starts):
     rng = np.random.default_rng(4)
     base = "".join(rng.choice(list("abcé"), 400))
     rows = [(i, base[int(rng.integers(0, 300)):][: int(rng.integers(0, 90))] + "".join(rng.choice(list("abcé"), int(rng.integers(0, 50))))) for i in range(60)]
     rows += [(100, "ab" * 60), (101, "c" * 30), (102, "c" * 19), (103, base), (103, base)]
-    found = suffix_dedup.repeated_strings(spark.createDataFrame(rows, "doc_id long, text string"), length=20, q=6, starts=starts)
+    found = suffix_dedup.repeated_strings(spark.createDataFrame(rows, "doc_id long, text string"), length=20, q=6, hot_contexts=hot, starts=starts)
     assert bag(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(brute.repeated(rows, 20))
 
 
+def test_repeated_strings_of_hot_buckets_alone(spark, tiny, tiny_rows):
+    found = suffix_dedup.repeated_strings(spark.read.parquet(f"{tiny}/documents.parquet"), hot_contexts=1)
+    assert bag(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(brute.repeated(tiny_rows))
+
+
 def test_repeated_strings_empty(empty):
     assert suffix_dedup.repeated_strings(empty).count() == 0
 
