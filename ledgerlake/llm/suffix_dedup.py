@@ -130,11 +130,10 @@ def _anchor_rows(length: int, q: int, contexts: bool):
     return run
 
 
-def spans_of(places: list[int], runs: list[tuple[int, int]], size: int, length: int, q: int) -> list[tuple[int, int]]:
-    """Maximal removed runs: the contexts of ``places`` and the ``runs`` together."""
-    reach = [(max(0, p + q - length), min(size, p + length)) for p in places]
+def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """``runs`` with those that touch or overlap as one."""
     out: list[tuple[int, int]] = []
-    for lo, hi in sorted([r for r in reach if r[1] - r[0] >= length] + runs):
+    for lo, hi in sorted(runs):
         if out and lo <= out[-1][1]:
             out[-1] = (out[-1][0], max(hi, out[-1][1]))
         else:
@@ -142,6 +141,12 @@ def spans_of(places: list[int], runs: list[tuple[int, int]], size: int, length:
     return out
 
 
+def spans_of(places: list[int], runs: list[tuple[int, int]], size: int, length: int, q: int) -> list[tuple[int, int]]:
+    """Maximal removed runs: the contexts of ``places`` and the ``runs`` together."""
+    reach = [(max(0, p + q - length), min(size, p + length)) for p in places]
+    return _merged([r for r in reach if r[1] - r[0] >= length] + runs)
+
+
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                    ("spans", pa.list_(pa.list_(pa.int64()))), ("kept_sha256", pa.string())])
 _PART = pa.struct([("ctx", pa.int64()), ("bucket", pa.int64()), ("hot", pa.bool_()), ("begin", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
@@ -299,6 +304,21 @@ def _string_rows(length: int):
     return run
 
 
+def _range_runs(length: int):
+    """Hot buckets: (doc_id, mark, begin, at, ranges of distances) -> repeated runs of the document, neighbours as one."""
+    def rows(batch):
+        for key, mark, begin, at, ranges in zip(*[c.to_pylist() for c in batch.columns]):
+            reach = [(begin + at - r["far"], begin + at - r["near"] + length) for r in ranges]
+            for lo, hi in _merged(reach):
+                yield key, mark, lo, hi
+
+    def run(batches):
+        for batch in batches:
+            yield from _batches_of(rows(batch), _RUNS)
+
+    return run
+
+
 def _repeated_ranges(contexts: DataFrame, length: int, starts: int) -> tuple[DataFrame, list[DataFrame]]:
     """(ctx, runs of distances whose strings repeat) for ``contexts(ctx, at, bytes)``, and the tables to discard."""
     fields = "core long, extent long, ctx long, near int, far int"
@@ -370,11 +390,8 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, q: int = QGRAM, id_c
     found = usual.mapInArrow(_bucket_rows(length), "doc_id long, mark long, lo long, hi long")
     hot = parts.where("hot")
     repeats, spent = _repeated_ranges(hot.where(F.length("bytes") >= length).select("ctx", "at", "bytes"), length, starts)
-    # A distance from the anchor is a start in the document.
-    begin = F.col("begin") + F.col("at")
-    runs = F.transform("ranges", lambda r: F.struct((begin - r["far"]).alias("lo"), (begin - r["near"] + length).alias("hi")))
-    more = hot.select("ctx", "doc_id", "mark", "begin", "at").join(repeats, "ctx").select("doc_id", "mark", F.explode(runs).alias("r"))
-    found = found.unionAll(more.select("doc_id", "mark", "r.lo", "r.hi"))
+    more = hot.select("ctx", "doc_id", "mark", "begin", "at").join(repeats, "ctx").select("doc_id", "mark", "begin", "at", "ranges")
+    found = found.unionAll(more.mapInArrow(_range_runs(length), "doc_id long, mark long, lo long, hi long"))
     found = found.groupBy(F.col("doc_id").alias("d"), F.col("mark").alias("m")).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
     pending = strings.where("text IS NOT NULL").select("doc_id", "mark", "text", "shared")
     last = pending.join(found, of(pending, found), "left").select("doc_id", "text", "shared", "runs")
