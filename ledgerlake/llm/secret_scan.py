@@ -1,9 +1,10 @@
 """Operator 3: secret scan with a random forest against false positives.
 
-A pattern finds candidates (whole runs of 16 or more key-like characters, and
-values of any length assigned to a credential's name); a forest decides
-from the candidate's length, its character transitions, how much of it a
-dictionary covers, the document's path and the neighbouring words.  The forest
+A pattern finds candidates (whole runs of 16 or more key-like characters, key
+blocks, and values of any length given to a credential's name by a sign, a tag,
+a flag, a call or a URL); a forest decides from the candidate's length, its
+character transitions, how much of it a dictionary covers, the kind of the
+document's path and the neighbouring words.  The forest
 is Spark ML's, trained on the fixed labelled findings of ``secret_examples.py``,
 so the verdict on a document does not depend on what other documents hold, and
 kept for the process.  Its trees are read out once, as arrays, and applied where
@@ -24,27 +25,48 @@ from .secret_examples import examples
 from .word_tokens import vocabulary_path
 
 MAX_LABELLED = 3000
-TREES, DEPTH, SEED = 20, 6, 7
+TREES, DEPTH, SEED = 30, 8, 7
 REDACTED = b"[SECRET]"
 THRESHOLD = 0.5
 WINDOW = 48
 
-# A run of key-like characters, however long, with its base64 padding; the parts of a web token (header.payload.signature) are one run.
-CANDIDATE = re.compile(rb"""eyJ[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+)+|[A-Za-z0-9+/_\-]{16,}(?:={1,2}(?!["']?[A-Za-z0-9+/=_\-]))?""")
+# A block with a heading, a web token or another key of dotted parts as one run, or a run of key-like characters, however long, with its padding.
+CANDIDATE = re.compile(rb"""-----BEGIN [A-Z ]{0,30}-----[A-Za-z0-9+/=\s]++(?=-----END)|eyJ[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+)+|SG\.[A-Za-z0-9_\-]{16,}\.[A-Za-z0-9_\-]{16,}"""
+                       rb"""|[A-Za-z0-9+/_\-]{16,}(?:={1,2}(?!["']?[A-Za-z0-9+/=_\-]))?""")
 # What follows a name that a value is assigned to.
 _NAMED = re.compile(rb"""=["']?[A-Za-z0-9+/_\-]""")
 # Where a value may begin, and a value without quotes.
-_SITE = re.compile(rb"(?:=>|:=|[=:]|[Bb]earer(?=[ \t])|BEARER(?=[ \t]))[ \t]*")
+_SITE = re.compile(rb"(?:=>|:=|[=:>]|[Bb]earer(?=[ \t])|BEARER(?=[ \t])|(?<=\s)--?[A-Za-z][A-Za-z\-]*(?=[ \t]))[ \t]*")
 _BARE = re.compile(rb"""[^\s"'`<>,;&)}\]]+""")
+# The password of a URL's user.
+_USERINFO = re.compile(rb"""://[^\s/:@"'<>]*:([^\s/@"'<>]+)@""")
+_USER = re.compile(rb"""://[^\s/:@"'<>]*:$""")
 SHORTEST = 4
 _LEFT_WORDS = re.compile(rb"[a-z]+")
-_ASSIGNED = re.compile(rb"""[a-z0-9_\-]*(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth)[a-z0-9_\-]*["']?\s*(?::|=|=>|:=)\s*["']?(?:(?:bearer|basic)\s+)?$|\bbearer\s+["']?$""")
+_NAME = rb"(?:token|secret|passw(?:or)?d|pass[_-]?phrase|mnemonic|pwd|(?:api|access|account|private|signing|encryption|shared)[_-]?key|credential|auth)"
+# The text before a value: a name and a sign, a bearer, a tag, a command's flag, an argument of a call.
+_ASSIGNED = re.compile(
+    _NAME + rb"""[a-z0-9_\-]*["']?\s*(?::|=|=>|:=)\s*["']?(?:(?:bearer|basic)\s+)?$|\bbearer\s+["']?$"""
+    rb"|<[a-z0-9_:\-]*" + _NAME + rb"[a-z0-9_\-]*>\s*$"
+    rb"|(?:^|\s)--?[a-z\-]*" + _NAME + rb"""[a-z\-]*[ \t]+["']?$"""
+    rb"""|\b(?:mysql(?:dump|admin)?|sshpass|htpasswd|login|psql|ldapsearch|redis-cli)\b[^\n]*\s-[pwa][ \t]+["']?$"""
+    rb"|(?:" + _NAME + rb"""|login|connect|client|session)[a-z0-9_]*\((?:\s*["'][^"'\n]*["']\s*,|\s*[a-z_.]+\s*,){0,3}\s*["']$""")
+_PHRASE = re.compile(rb"""(?:pass[_-]?phrase|mnemonic|seed[_-](?:phrase|words))[a-z0-9_\-]*["']?\s*(?::|=|=>|:=)\s*$""")
 _CREDENTIAL_WORDS = frozenset([b"token", b"secret", b"password", b"passwd", b"pwd", b"key", b"apikey", b"credential", b"auth", b"bearer"])
 _HARMLESS_WORDS = frozenset([b"example", b"sample", b"dummy", b"test", b"placeholder", b"sha", b"checksum", b"digest", b"commit", b"uuid"])
-_HARMLESS_PATHS = re.compile(r"test|example|sample|mock|fixture|doc")
-_PREFIXED = re.compile(rb"(?:AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-|[sr]k_live_|xox[abprs]-|AIza|eyJ|npm_|hf_)")
+_HARMLESS_PATHS = re.compile(r"(?:^|[/._\-])(?:tests?|testing|examples?|samples?|mocks?|fixtures?|docs?|spec|demo|tutorials?)(?:[/._\-]|$)")
+_SECRET_PATHS = re.compile(r"(?:^|[/._\-])(?:env|config|conf|settings|secrets?|credentials?|deploy|prod|production|vault|netrc|npmrc|pgpass|htpasswd|pem)(?:[/._\-]|$)")
+_PREFIXED = re.compile(rb"(?:AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-|[prs]k_live_|xox[abprs]-|AIza|eyJ|npm_|hf_|SG\.|-----BEGIN [A-Z ]*PRIVATE)")
+_PUBLIC = re.compile(rb"AAAA(?:B3NzaC1|C3NzaC1|E2VjZHNh)|-----BEGIN (?![A-Z ]*PRIVATE)")
+_PLACEHOLDER = re.compile(rb"example|sample|dummy|placeholder|change.?me|your|enter|required|redacted|xxxx|\*\*\*|^[<$%{\[]|^(?:password|passwd|secret|token|none|null|true|false)$")
 FEATURES = ("length", "transitions", "entropy", "digits", "capitals", "hex", "dictionary", "path", "credential_word", "harmless_word",
-            "assigned", "quoted", "prefixed")
+            "assigned", "quoted", "prefixed", "public", "placeholder", "spaced")
+
+
+def path_kind(path: str) -> float:
+    """-1: tests, examples or documentation; 1: settings or credentials; 0: any other path, or none."""
+    low = path.lower()
+    return -1.0 if _HARMLESS_PATHS.search(low) else float(bool(_SECRET_PATHS.search(low)))
 
 
 def load_words(path: str) -> frozenset[bytes]:
@@ -97,22 +119,28 @@ def features(text: bytes, lo: int, hi: int, path: str, words: frozenset[bytes])
     quote = text[lo - 1 : lo] if lo else b""
     return [float(len(raw)), float(np.count_nonzero(kind[1:] != kind[:-1]) / max(1, len(raw) - 1)), float(-(share * np.log2(share)).sum()),
             float((kind == 1).mean()), float((kind == 3).mean()), float(hexed), coverage(candidate, words),
-            float(bool(_HARMLESS_PATHS.search(path.lower()))), float(bool(near & _CREDENTIAL_WORDS)), float(bool(near & _HARMLESS_WORDS)),
-            float(bool(_ASSIGNED.search(before))), float(quote in (b'"', b"'") and text[hi : hi + 1] == quote),
-            float(bool(_PREFIXED.match(candidate)))]
+            path_kind(path), float(bool(near & _CREDENTIAL_WORDS)), float(bool(near & _HARMLESS_WORDS)),
+            float(bool(_ASSIGNED.search(before) or text[hi : hi + 1] == b"@" and _USER.search(before))),
+            float(quote in (b'"', b"'") and text[hi : hi + 1] == quote), float(bool(_PREFIXED.match(candidate))),
+            float(bool(_PUBLIC.match(candidate))), float(bool(_PLACEHOLDER.search(candidate.lower()))), float(b" " in candidate)]
 
 
 def _assigned_values(text: bytes):
-    """(begin, end) of every whole value assigned to a credential's name: what its quotes hold, else up to a delimiter."""
+    """(begin, end) of every whole value given to a credential's name: what its quotes hold, else up to a delimiter; passwords of URLs."""
+    for m in _USERINFO.finditer(text):
+        if m.end(1) - m.start(1) >= SHORTEST:
+            yield m.span(1)
     for m in _SITE.finditer(text):
         lo = m.end()
-        if not _ASSIGNED.search(text[max(0, lo - WINDOW) : lo].lower()):
+        before = text[max(0, lo - WINDOW) : lo].lower()
+        if not _ASSIGNED.search(before) and not _PHRASE.search(before):
             continue
         quote = text[lo : lo + 1]
         if quote in (b'"', b"'"):
             lo += 1
             hi = text.find(quote, lo)
-            if hi < 0 or len(text[lo:hi].split(None, 1)) != 1 or text[lo:hi].strip() != text[lo:hi]:
+            value = text[lo : max(lo, hi)]
+            if hi < 0 or value.strip() != value or len(value.split(None, 1)) != 1 and (b"\n" in value or not _PHRASE.search(before)):
                 continue
         else:
             value = _BARE.match(text, lo)
@@ -206,7 +234,7 @@ def train_forest(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, se
     rows = labelled.select(array_to_vector("features").alias("features"), "label")
     if labelled.select(F.count_distinct("label")).first()[0] < 2:
         return Forest([([-1], [0.0], [0], [0], [0.0])])
-    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label").fit(rows)
+    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="0.5", featuresCol="features", labelCol="label").fit(rows)
 
     def read(tree) -> tuple:
         out: tuple = ([], [], [], [], [])
@@ -278,13 +306,15 @@ def redact(docs: DataFrame, forest: Forest, dictionary: str, id_col: str = "doc_
     return docs.mapInArrow(run, schema)
 
 
-def example_findings(dictionary: str) -> list[tuple[list[float], float]]:
-    """(features, label) of the fixed examples; what an example does not hold as a candidate needs no label."""
+def example_findings(dictionary: str, without: frozenset[str] = frozenset()) -> list[tuple[list[float], float]]:
+    """(features, label) of the fixed examples but for the forms of ``without``; what an example does not hold as a candidate needs no label."""
     words, rows = _words(dictionary), []
-    for text, secret in examples():
+    for form, path, text, secret in examples():
+        if form in without:
+            continue
         value = text.find(secret) if secret else -1
         for lo, hi in candidates(text):
-            rows.append((features(text, lo, hi, "", words), float(lo <= value < hi)))
+            rows.append((features(text, lo, hi, path, words), float(lo <= value < hi)))
     return rows
 
 
@@ -299,6 +329,11 @@ def fitted(spark: SparkSession, dictionary: str) -> Forest:
     return _forests[dictionary]
 
 
+def fit_without(spark: SparkSession, dictionary: str, forms: frozenset[str]) -> Forest:
+    """A forest that never saw the ``forms``: to measure it on them."""
+    return train_forest(spark.createDataFrame(example_findings(dictionary, forms), "features array<double>, label double").coalesce(1))
+
+
 def fit_on_corpus(docs: DataFrame, dictionary: str, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> Forest:
     """A forest from the fixed examples and the findings of ``docs`` that the rule labels for sure (at most ``MAX_LABELLED`` of each label)."""
     labelled = bounded_sample(label_by_rule(findings(docs, dictionary, id_col, text_col, path_col)))
