@@ -11,7 +11,7 @@ re-reads the previous layer rather than recomputing the whole chain.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -40,6 +40,7 @@ from ..sources.tables import (
     T_SILVER_TRANSACTIONS,
     drop_namespaces,
     ensure_namespaces,
+    move_files,
     overwrite_partitions,
     overwrite_table,
     read_bucketed_table,
@@ -48,6 +49,7 @@ from ..sources.tables import (
     run_inputs,
     run_metrics,
     source_state,
+    table_location,
     table_runs,
 )
 from ..sources.schemas import GOLD_COLUMNS
@@ -324,7 +326,8 @@ def testdata_layers(spark: SparkSession, sf_dir: str, layers: Iterable[str]) ->
     """The test sources landed and ``layers`` built, all removed again afterwards.
 
     Names and files belong to this call alone.  What is to outlive it must be
-    checkpointed (its files are then the session's).
+    taken out with :func:`kept_table` or written elsewhere (its files are then
+    the session's).
     """
     run = uuid.uuid4().hex[:12]
     landing = f"{shared_dir(spark)}/layers-{run}"
@@ -336,16 +339,24 @@ def testdata_layers(spark: SparkSession, sf_dir: str, layers: Iterable[str]) ->
         drop_namespaces(spark, landing, paths.catalog_prefix)
 
 
+def kept_table(spark: SparkSession, table: str, root: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """A layer table that outlives the layers: its files are moved out of ``root``, not copied."""
+    kept = f"{shared_dir(spark)}/kept-{uuid.uuid4().hex[:12]}"
+    schema = read_layer_table(spark, table, root, columns).schema
+    move_files(spark, table_location(spark, table, root), kept)
+    return spark.read.schema(schema).parquet(kept)
+
+
 def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage sources, run all layers, and read the Gold table back."""
     with testdata_layers(spark, sf_dir, ["all"]) as paths:
-        return read_gold(spark, paths.root).checkpoint()
+        return kept_table(spark, T_GOLD_TRANSACTIONS, paths.root, GOLD_COLUMNS)
 
 
 def bronze_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A Bronze table as landed from its source file (CSV or parquet) and written."""
     with testdata_layers(spark, sf_dir, ["bronze"]) as paths:
-        return read_layer_table(spark, table, paths.root).checkpoint()
+        return kept_table(spark, table, paths.root)
 
 
 def written_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,14 +383,15 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from ..streaming import IncrementalGold, start_incremental_gold
 
+    kept = f"{shared_dir(spark)}/kept-{uuid.uuid4().hex[:12]}"  # the sink outlives the layers
     with testdata_layers(spark, sf_dir, ["bronze", "silver"]) as paths:
         cfg = IncrementalGold(
             transactions_dir=paths.transactions_parquet,
-            gold_path=f"{paths.root}/gold_stream",
+            gold_path=kept,
             checkpoint=f"{paths.root}/checkpoints/gold_stream",
         )
         query = start_incremental_gold(spark, cfg, read_layer_table(spark, T_SILVER_MERCHANTS, paths.root))
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(f"incremental gold failed: {query.exception()}")
-        return spark.read.parquet(cfg.gold_path).select(*GOLD_COLUMNS).checkpoint()
+    return spark.read.parquet(kept).select(*GOLD_COLUMNS)

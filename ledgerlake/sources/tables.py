@@ -84,6 +84,10 @@ class _Files:
     def remove(self, path: str) -> None:
         self.fs.delete(self.path_of(path), True)
 
+    def move(self, path: str, target: str) -> None:
+        if not self.fs.rename(self.path_of(path), self.path_of(target)):
+            raise OSError(f"cannot move {path} to {target}")
+
     def write(self, path: str, text: str) -> None:
         out = self.fs.create(self.path_of(path), True)
         try:
@@ -159,6 +163,11 @@ def source_state(spark: SparkSession, path: str) -> dict[str, list[int]]:
     return state
 
 
+def move_files(spark: SparkSession, path: str, target: str) -> None:
+    """Move a folder to ``target``, a new name in an existing folder of the same file system."""
+    _Files(spark, path).move(path, target)
+
+
 def ensure_namespaces(spark: SparkSession, root: str, prefix: str = "") -> None:
     """Create the three layer namespaces (located under ``root``) if absent."""
     for ns in NAMESPACES:

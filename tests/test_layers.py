@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.plans.layers import (
     LayerPaths,
+    bronze_table,
     gold_incremental,
     layer_round_trip,
     read_gold,
@@ -99,6 +100,17 @@ def test_registered_round_trip(spark):
     assert layer_round_trip(spark, SF_SMALL).count() == 6000
 
 
+def test_results_that_outlive_their_layers_are_the_written_files(spark):
+    """Taken over, not copied: a checkpoint would write every row once more, and has no input files."""
+    found = layer_round_trip(spark, SF_SMALL)
+    assert found.inputFiles() and all("/kept-" in f for f in found.inputFiles())
+    assert found.columns == list(GOLD_COLUMNS)
+    lazy = gold(spark, SF_SMALL)
+    assert found.exceptAll(lazy).count() == 0 and lazy.exceptAll(found).count() == 0
+    assert bronze_table(spark, SF_SMALL, T_BRONZE_MERCHANTS).inputFiles()
+    assert gold_incremental(spark, SF_SMALL).inputFiles()
+
+
 def test_cli_runs_chosen_layers(spark):
     from ledgerlake.plans.cli import main, parse_args
 
