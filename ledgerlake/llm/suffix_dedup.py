@@ -22,9 +22,10 @@ two equal strings always meet in an anchor's bucket.  The levels:
    strings, taken by the distance to the anchor, fall into ranges of
    ``CORE_STARTS`` neighbouring starts.  What all strings of a range have in
    common is its core, all that they cover its extent.  A core met once: none
-   of its strings repeats.  An extent met twice: all do.  Single strings are
-   counted only where a core is met with several extents, one range speaking
-   for each extent.
+   of its strings repeats.  An extent met twice: all do.  Where a core is met
+   with several extents, one range speaks for each extent, is cut into
+   ``FINER_PARTS`` and judged again; what then is still open (the parts that
+   hold the very edge of a passage) is counted string by string.
 
 Work is linear in the anchors: a bucket is counted before the shuffle, and no
 pairs are formed.
@@ -50,6 +51,8 @@ BATCH_BYTES = 2 << 20
 HOT_CONTEXTS = 8000
 # Neighbouring starts that share a core.
 CORE_STARTS = 24
+# Finer ranges that a range still open is cut into, before its strings are taken one by one.
+FINER_PARTS = 4
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_IDS = np.array([xxhash.xxh64_intdigest(bytes([b]), 9) for b in range(256)], np.uint64)
@@ -243,6 +246,7 @@ def _bucket_rows(length: int):
 
 
 _CORES = pa.schema([("core", pa.int64()), ("extent", pa.int64()), ("ctx", pa.int64()), ("near", pa.int32()), ("far", pa.int32())])
+_FINER = pa.schema([*_CORES, ("alone", pa.bool_())])
 _STRINGS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("ctx", pa.int64()), ("near", pa.int32()), ("alone", pa.bool_())])
 _BATCH_ROWS = 20_000
 
@@ -258,14 +262,16 @@ def _batches_of(rows, schema: pa.Schema):
         yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
-def core_ranges(context: bytes, at: int, length: int, starts: int):
+def core_ranges(context: bytes, at: int, length: int, starts: int, nearest: int = 0, farthest: int | None = None):
     """(core, extent, nearest, farthest distance from the anchor) of each range of a context's strings.
 
+    Only strings between the distances ``nearest`` and ``farthest`` are taken, if given.
+
     Ranges are cut at multiples of ``starts`` of the distance, so equal strings
     are in equal ranges; a range cut short by the document's edge has the core
     of the whole one, and an extent of its own.
     """
-    first, last = max(0, at + length - len(context)), at
+    first, last = max(nearest, at + length - len(context)), at if farthest is None else min(at, farthest)
     for number in range(first // starts, last // starts + 1):
         begin, end = number * starts, number * starts + starts - 1
         near, far = max(first, begin), min(last, end)
@@ -319,20 +325,53 @@ def _range_runs(length: int):
     return run
 
 
+def _finer_rows(length: int, starts: int):
+    """Hot buckets: contexts (ctx, at, bytes, ranges) -> identifiers of every range cut at multiples of ``starts``."""
+    digest = xxhash.xxh3_64_intdigest
+
+    def rows(batch):
+        for ctx, at, context, ranges in zip(*[c.to_pylist() for c in batch.columns]):
+            for r in ranges:
+                for core, extent, near, far in core_ranges(context, at, length, starts, r["near"], r["far"]):
+                    yield (digest(core, seed=near // starts) - 2**63, digest(extent, seed=near * (length + 1) + far) - 2**63, ctx, near, far, r["alone"])
+
+    def run(batches):
+        for batch in batches:
+            yield from _batches_of(rows(batch), _FINER)
+
+    return run
+
+
+def _sorted_out(ranges: DataFrame, contexts: DataFrame, tag: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of ``ranges(core, extent, ctx, near, far, alone)``: the whole ones that repeat, and (ctx, at, bytes, ranges) of those still open.
+
+    One range speaks for each extent; it is alone if no other has that extent
+    and its strings are not known to repeat already.
+    """
+    extents = written(ranges.groupBy("core", "extent").agg(
+        F.count("*").alias("n"), F.min(F.struct("ctx", "near", "far", "alone")).alias("first")), tag)
+    twice = extents.where("n > 1").select("core", "extent")
+    whole = ranges.where("alone").join(twice, ["core", "extent"], "left_semi").select("ctx", "near", "far")
+    several = extents.groupBy("core").agg(F.count("*").alias("parts")).where("parts > 1").select("core")
+    speaking = extents.join(several, "core", "left_semi").select(
+        "first.ctx", "first.near", "first.far", (F.col("first.alone") & (F.col("n") == 1)).alias("alone"))
+    speaking = speaking.groupBy("ctx").agg(F.collect_list(F.struct("near", "far", "alone")).alias("ranges"))
+    return whole, contexts.join(speaking, "ctx").select("ctx", "at", "bytes", "ranges"), extents
+
+
 def _repeated_ranges(contexts: DataFrame, length: int, starts: int) -> tuple[DataFrame, list[DataFrame]]:
     """(ctx, runs of distances whose strings repeat) for ``contexts(ctx, at, bytes)``, and the tables to discard."""
     fields = "core long, extent long, ctx long, near int, far int"
     ranges = written(contexts.mapInArrow(_core_rows(length, starts), fields), "cores")
-    extents = written(ranges.groupBy("core", "extent").agg(F.count("*").alias("n"), F.min(F.struct("ctx", "near", "far")).alias("first")), "extents")
-    whole = ranges.join(extents.where("n > 1").select("core", "extent"), ["core", "extent"], "left_semi").select("ctx", "near", "far")
-    several = extents.groupBy("core").agg(F.count("*").alias("parts")).where("parts > 1").select("core")
-    speaking = extents.join(several, "core", "left_semi").select("first.*", (F.col("n") == 1).alias("alone"))
-    speaking = speaking.groupBy("ctx").agg(F.collect_list(F.struct("near", "far", "alone")).alias("ranges"))
-    read = contexts.join(speaking, "ctx").select("ctx", "at", "bytes", "ranges")
+    whole, read, extents = _sorted_out(ranges.withColumn("alone", F.lit(True)), contexts, "extents")
+    # An edge of a passage lies in one finer range of several: the others are settled whole.
+    finer = written(read.mapInArrow(_finer_rows(length, -(-starts // FINER_PARTS)), fields + ", alone boolean"), "finer-cores")
+    parts, read, finer_extents = _sorted_out(finer, contexts, "finer-extents")
     each = written(read.mapInArrow(_string_rows(length), "a long, b long, ctx long, near int, alone boolean"), "each")
     twice = each.groupBy("a", "b").count().where("count > 1").select("a", "b")
     single = each.where("alone").join(twice, ["a", "b"], "left_semi").select("ctx", "near", F.col("near").alias("far"))
-    return whole.unionAll(single).groupBy("ctx").agg(F.collect_set(F.struct("near", "far")).alias("ranges")), [ranges, extents, each]
+    found = whole.unionAll(parts).unionAll(single).groupBy("ctx").agg(F.collect_set(F.struct("near", "far")).alias("ranges"))
+    return found, [ranges, extents, finer, finer_extents, each]
 
 
 def _removal(length: int, q: int):

@@ -96,6 +96,16 @@ def test_repeated_strings_of_hot_buckets_alone(spark, tiny, tiny_rows):
     assert bag(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(brute.repeated(tiny_rows))
 
 
+def test_only_the_edges_of_a_passage_are_counted_string_by_string(spark):
+    """Fifty contexts of one passage: the strings at distances 52 to 100 repeat, and one finer range at either edge is taken apart."""
+    rng = np.random.default_rng(6)
+    passage = rng.bytes(248)
+    rows = [(k, 160, rng.bytes(60) + passage + rng.bytes(60)) for k in range(50)]
+    found, tables = suffix_dedup._repeated_ranges(spark.createDataFrame(rows, "ctx long, at long, bytes binary"), 200, 24)
+    assert {(r.ctx, d) for r in found.collect() for x in r.ranges for d in range(x.near, x.far + 1)} == {(k, d) for k in range(50) for d in range(52, 101)}
+    assert tables[-1].count() == 50 * 2 * 6  # 24 each without the finer ranges
+
+
 def test_repeated_strings_empty(empty):
     assert suffix_dedup.repeated_strings(empty).count() == 0
 
