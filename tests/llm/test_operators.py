@@ -414,6 +414,27 @@ def test_links_by_edit_similarity_alone(spark):
     assert sum(r.group_size == want[union.find(r.doc_id)] for r in found) >= 0.95 * len(lines)
 
 
+def test_profiles_never_part_close_lines(spark):
+    """Against the edit distance: no pair within it is told apart, and of unrelated lines of like letters most are."""
+    rng = np.random.default_rng(8)
+    parts = ["the", "ation", "er", "ing", "nd", "é", "ble", "wh", "s"]
+    lines = ["", "a"]
+    for _ in range(60):
+        base = list(" ".join("".join(parts[k] for k in rng.integers(0, 9, 3)) for _ in range(int(rng.integers(1, 8)))))
+        lines.append("".join(base))
+        for _ in range(int(rng.integers(1, 6))):
+            at = int(rng.integers(0, len(base)))
+            base[at : at + int(rng.integers(0, 2))] = "x" * int(rng.integers(0, 2))
+        lines.append("".join(base))
+    most = lambda a, b: int(0.2 * max(len(a), len(b)) + 1e-9)
+    pairs = [(i, j) for i, a in enumerate(lines) for j, b in enumerate(lines[:i]) if abs(len(a) - len(b)) <= most(a, b)]
+    signs = line_dedup.profiles(lines).tolist()
+    df = spark.createDataFrame([(i, j, signs[i], signs[j], most(lines[i], lines[j])) for i, j in pairs], "i int, j int, pa array<long>, pb array<long>, most int")
+    passed = {(r.i, r.j) for r in df.where(line_dedup.may_be_close("pa", "pb", F.col("most"))).collect()}
+    linked = {(i, j) for i, j in pairs if brute.levenshtein(lines[i], lines[j]) <= most(lines[i], lines[j])}
+    assert linked and linked <= passed and len(passed) < 0.3 * len(pairs)
+
+
 def test_lines_of_marks_are_grouped_exactly(spark):
     docs = spark.createDataFrame([(1, "-----\n* * *\n \n-----"), (2, "====\n*  * *")], "doc_id long, text string")
     for bits in (None, 3):
