@@ -46,7 +46,10 @@ from .common import discard, documents, slices, text_rows, utf8, written
 
 LENGTH = 200
 QGRAM = 32
-BATCH_BYTES = 2 << 20
+# Text that a task takes at a time; its arrays are some 70 times that.
+BATCH_BYTES = 1 << 19
+# Contexts whose strings a task holds at a time, as far as buckets allow (a bucket stays whole).
+HELD_CONTEXTS = 1000
 # Contexts of one q-gram bucket that a task takes together; larger buckets are refined over all tasks, with equal results.
 HOT_CONTEXTS = 8000
 # Neighbouring starts that share a core.
@@ -174,22 +177,27 @@ def _open_rows(length: int, q: int):
     def run(batches):
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            rows = []
-            texts = batch.column(2).cast(pa.binary())
-            for i, (key, mark) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                text, shared, open_ = texts[i].as_py(), batch.column(3)[i].as_py() or [], batch.column(4)[i].as_py() or []
-                if not open_:
-                    rows.append((mark, None, None, None, *_kept(key, text, shared, [], length, q)))
-                    continue
-                parts = []
-                for o in open_:
-                    lo = max(0, o["place"] + q - length)
-                    parts.append({"ctx": number, "bucket": o["bucket"], "hot": o["hot"], "begin": lo, "at": o["place"] - lo,
-                                  "bytes": text[lo : o["place"] + length]})
-                    number += 1
-                rows.append((mark, text.decode("utf-8", "surrogatepass"), shared, parts, key, None, None, None, None, None))
-            for lo in range(0, len(rows), 200):
-                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows[lo : lo + 200]), _OPEN)], schema=_OPEN)
+            for part in slices(batch, "text", BATCH_BYTES):
+                rows, held = [], 0
+                texts = part.column(2).cast(pa.binary())
+                for i, (key, mark) in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist())):
+                    text, shared, open_ = texts[i].as_py(), part.column(3)[i].as_py() or [], part.column(4)[i].as_py() or []
+                    if not open_:
+                        rows.append((mark, None, None, None, *_kept(key, text, shared, [], length, q)))
+                    else:
+                        parts = []
+                        for o in open_:
+                            lo = max(0, o["place"] + q - length)
+                            parts.append({"ctx": number, "bucket": o["bucket"], "hot": o["hot"], "begin": lo, "at": o["place"] - lo,
+                                          "bytes": text[lo : o["place"] + length]})
+                            number += 1
+                        held += len(parts)
+                        rows.append((mark, text.decode("utf-8", "surrogatepass"), shared, parts, key, None, None, None, None, None))
+                    if len(rows) == 200 or held > HELD_CONTEXTS:
+                        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _OPEN)], schema=_OPEN)
+                        rows, held = [], 0
+                if rows:
+                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _OPEN)], schema=_OPEN)
 
     return run
 
@@ -226,6 +234,16 @@ def repeated_in_buckets(rows: pa.RecordBatch, length: int) -> pa.RecordBatch:
                             pa.array(begin[row[last]] + place[last] + length)], names=["doc_id", "mark", "lo", "hi"])
 
 
+def bucket_groups(bucket: np.ndarray, most: int):
+    """(begin, end) of runs of whole buckets in sorted ``bucket``: ``most`` rows at the most, or a single bucket."""
+    ends = np.append(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket))
+    at = 0
+    while at < len(bucket):
+        k = max(int(np.searchsorted(ends, at + most, "right")) - 1, int(np.searchsorted(ends, at, "right")))
+        yield at, int(ends[k])
+        at = int(ends[k])
+
+
 def _bucket_rows(length: int):
     """Level 3: rows (bucket, doc_id, mark, begin, at, bytes) sorted by bucket -> repeated runs, whole buckets at a time."""
     def run(batches):
@@ -236,9 +254,9 @@ def _bucket_rows(length: int):
             held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
             bucket = held.column(0).to_numpy()
             cut = int(np.searchsorted(bucket, bucket[-1]))
-            if cut:
-                yield repeated_in_buckets(held.slice(0, cut), length)
-                held = held.slice(cut)
+            for begin, end in bucket_groups(bucket[:cut], HELD_CONTEXTS):
+                yield repeated_in_buckets(held.slice(begin, end - begin), length)
+            held = held.slice(cut)
         if held is not None:
             yield repeated_in_buckets(held, length)
 
