@@ -175,7 +175,9 @@ def near_pairs(words: DataFrame, frequent: dict[str, int], most: int = GRAM_MOST
     """(a, b), once each, of distinct words at edit distance one; a is the shorter, or the smaller of equal length.
 
     ``words(word)`` are distinct, of at least ``most + 1`` characters.
-    ``frequent`` is broadcast (bounded, see :func:`frequent_grams`).
+    ``frequent`` is broadcast (bounded, see :func:`frequent_grams`); no table
+    is: Spark sizes one by its compressed files, and takes the lists that a
+    word stands in for as many rows as words.
     """
     shared = words.sparkSession.sparkContext.broadcast(frequent)
 
@@ -199,7 +201,7 @@ def near_pairs(words: DataFrame, frequent: dict[str, int], most: int = GRAM_MOST
     merged = lists_of(merged_lists).select("word", "letters", "context", "size", longer.alias("longer")).select(
         F.col("word").alias("a"), F.col("letters").alias("a_letters"), "longer", F.xxhash64("context", F.col("size") + F.col("longer")).alias("list"))
     close = F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2
-    met = merged.join(index, (merged["list"] == index["list"]) & close & F.expr("longer = 1 OR a < b"))
+    met = merged.join(index.hint("merge"), (merged["list"] == index["list"]) & close & F.expr("longer = 1 OR a < b"))
     near = met.where(F.levenshtein("a", "b", 1) == 1).where("char_length(a) < char_length(b) OR char_length(a) = char_length(b) AND a < b")
     return near.select("a", "b").distinct()
 
@@ -209,11 +211,12 @@ def roots_of(forms: DataFrame) -> DataFrame:
 
     A form has ten times its word's count or more, so a chain is shorter than
     the digits of the largest count; each round doubles what is followed.
+    As in :func:`near_pairs`, no table is broadcast.
     """
     now = forms.select("word", F.col("form").alias("root")).checkpoint()
     while True:
         step = now.select(F.col("word").alias("root"), F.col("root").alias("beyond"))
-        then = now.join(step, "root", "left").select("word", F.coalesce("beyond", "root").alias("root"), F.col("beyond").isNotNull().alias("moved")).checkpoint()
+        then = now.join(step.hint("merge"), "root", "left").select("word", F.coalesce("beyond", "root").alias("root"), F.col("beyond").isNotNull().alias("moved")).checkpoint()
         moved = then.where("moved").limit(1).count()
         now = then.drop("moved")
         if not moved:
@@ -234,14 +237,14 @@ def spelling_variants(docs: DataFrame, least_length: int = LEAST_LENGTH, least_c
     most = min(GRAM_MOST, least_length - 1)
     pairs = written(near_pairs(words, frequent_grams(words, max_grams, short_list, most), most), "near")
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("near")).unionAll(pairs.select(F.col("b").alias("word"), F.col("a").alias("near")))
-    counted = both.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    counted = both.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")).hint("merge"), "near")
     best = counted.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("rank"), "near")).alias("best"))
-    judged = words.join(best, "word", "left").select(
+    judged = words.join(best.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
         F.when(-F.col("best.rank") >= form_factor * F.col("n"), F.struct(F.col("best.near").alias("form"), (-F.col("best.rank")).alias("form_n"))).alias("f"))
     judged = written(judged.select("word", "n", "n_near", "f.form", "f.form_n"), "forms")
     roots = roots_of(judged.where("form IS NOT NULL"))
-    return judged.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return judged.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,3 +130,13 @@ def test_dictionary_is_bounded(spark):
     words = spark.createDataFrame([("".join(random.Random(k).choices("abcdefgh", k=9)),) for k in range(3000)], "word string").distinct()
     for most in (10, 200):
         assert len(spelling.frequent_grams(words, max_grams=most, short_list=0)) < most
+
+
+def test_no_table_of_words_is_broadcast(spark):
+    """A few tiny tables, which Spark would broadcast; the lists of many words are larger than they look."""
+    docs = spark.createDataFrame([(k, "kingdoms kingdom " * 3 + "kingdomz " * 40) for k in range(4)], "doc_id long, text string")
+    words = spark.createDataFrame([("kingdom",), ("kingdoms",)], "word string")
+    forms = spark.createDataFrame([("kingdoms", "kingdomz")], "word string, form string")
+    for found in (spelling.spelling_variants(docs), spelling.near_pairs(words, {}), spelling.roots_of(forms)):
+        assert found.count()
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
